@@ -171,3 +171,38 @@ ANSWER_FORMAT = {
         "strict": True,
     },
 }
+
+# --- fixed values: international scoring tokenisation, applied in this order -------------------
+# literal replacements, then (pattern, replacement) on the text padded with one space at each end
+SCORE_LITERALS = [
+    ("<skipped>", ""), ("-\n", ""), ("\n", " "), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"),
+]
+SCORE_RULES = [
+    (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", r" \1 "),
+    (r"([^0-9])([\.,])", r"\1 \2 "),
+    (r"([\.,])([^0-9])", r" \1 \2"),
+    (r"([0-9])(-)", r"\1 \2 "),
+]
+
+# --- fixed values: suffix rules of the 1980 stemmer, with its later additions -------------------
+STEM_IRREGULAR = {
+    "skies": "sky", "sky": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+    "innings": "inning", "inning": "inning", "outings": "outing", "outing": "outing", "cannings": "canning",
+    "canning": "canning", "howe": "howe", "proceed": "proceed", "exceed": "exceed", "succeed": "succeed",
+}
+STEM_STEP_2 = [
+    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"), ("bli", "ble"),
+    ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"),
+    ("ator", "ate"), ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"),
+    ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"), ("fulli", "ful"), ("logi", "log"),
+]
+STEM_STEP_3 = [
+    ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""), ("ness", ""),
+]
+STEM_STEP_4 = [
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate",
+    "iti", "ous", "ive", "ize",
+]
+
+# --- fixed values: weights of the alignment score ------------------------------------------------
+METEOR_ALPHA, METEOR_BETA, METEOR_GAMMA = 0.9, 3.0, 0.5

@@ -55,11 +55,12 @@ def between(pieces: Column, start: Column, stop: Column, size: int = CHUNK) -> C
     """Characters ``start`` to ``stop`` of a text given as ``cut(text, size)``.
 
     ``substring`` walks a string from its first byte; on pieces the walk stays
-    within one piece, so cutting m spans out of a long text is linear.
+    within one piece, so cutting m spans out of a long text is linear. Pieces are
+    taken one by one because ``slice`` copies its whole input array.
     """
     first = F.floor(start / size).cast("int")
     last = F.floor(stop / size).cast("int")
-    window = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+    window = F.array_join(F.transform(F.sequence(first, last), lambda i: F.get(pieces, i)), "")
     return F.substring(window, start - first * size + 1, F.greatest(stop - start, F.lit(0)))
 
 
