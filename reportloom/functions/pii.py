@@ -100,31 +100,35 @@ def _advance(state: Column, result: tuple[Column, Column]) -> Column:
     return F.struct(result[0].alias("carry"), F.concat(state["items"], result[1]).alias("items"))
 
 
-def pattern_spans(text: Column, pattern: Pattern, order: int, any_digit: Column) -> Column:
-    """All non-overlapping matches of one pattern with their offsets."""
-    none = F.array().cast(FOUND)
+def _cut_at_matches(text: Column, pattern: Pattern, order: int, any_digit: Column) -> Column:
+    """``struct<order, label, parts>``; parts alternate text, match, text, match, ..., text."""
     marked = F.regexp_replace(text, F.lit(pattern.java_regex), F.lit(f"{MARK}$0{MARK}"))
-
-    def locate(parts: Column) -> Column:
-        # parts: text, match, text, match, ..., text
-        def step(position: Column, i: Column) -> tuple[Column, Column]:
-            hit = F.get(parts, 2 * i + 1)
-            start = position + F.length(F.get(parts, 2 * i))
-            end = start + F.length(hit)
-            span = F.struct(
-                start.alias("start"), F.lit(order).alias("order"), end.alias("end"),
-                F.lit(pattern.label).alias("label"), hit.alias("original"),
-            )
-            return end, F.array(span)
-
-        matches = F.floor((F.size(parts) - 1) / 2).cast("int")
-        return F.when(matches > 0, _scan(matches, F.lit(0), none, step)["items"]).otherwise(none)
-
-    spans = let(F.split(marked, MARK, -1), locate)
+    parts = F.split(marked, MARK, -1)
     needs = [any_digit] if pattern.digits else []
     if pattern.needles:
         needs.append(reduce(lambda a, b: a | b, [text.contains(n) for n in pattern.needles]))
-    return F.when(reduce(lambda a, b: a & b, needs), spans).otherwise(none) if needs else spans
+    if needs:
+        parts = F.when(reduce(lambda a, b: a & b, needs), parts).otherwise(F.array().cast("array<string>"))
+    return F.struct(F.lit(order).alias("order"), F.lit(pattern.label).alias("label"), parts.alias("parts"))
+
+
+def _located(cuts: Column) -> Column:
+    """Spans of one pattern from its ``struct<order, label, parts>``."""
+    parts = cuts["parts"]
+    none = F.array().cast(FOUND)
+
+    def step(position: Column, i: Column) -> tuple[Column, Column]:
+        hit = F.get(parts, 2 * i + 1)
+        start = position + F.length(F.get(parts, 2 * i))
+        end = start + F.length(hit)
+        span = F.struct(
+            start.alias("start"), cuts["order"].alias("order"), end.alias("end"), cuts["label"].alias("label"),
+            hit.alias("original"),
+        )
+        return end, F.array(span)
+
+    matches = F.floor((F.size(parts) - 1) / 2).cast("int")
+    return F.when(F.size(parts) > 1, _scan(matches, F.lit(0), none, step)["items"]).otherwise(none)
 
 
 def find_spans(text: Column, patterns: Sequence[Pattern] = DEFAULT_PATTERNS) -> Column:
@@ -132,7 +136,8 @@ def find_spans(text: Column, patterns: Sequence[Pattern] = DEFAULT_PATTERNS) ->
     clean = F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit("\ufffd"))
 
     def all_patterns(t: Column, any_digit: Column) -> Column:
-        return F.concat(*[pattern_spans(t, p, i, any_digit) for i, p in enumerate(patterns)])
+        cuts = F.array(*[_cut_at_matches(t, p, i, any_digit) for i, p in enumerate(patterns)])
+        return F.flatten(F.transform(cuts, _located))
 
     return F.sort_array(let(clean, lambda t: let(t.rlike(r"\p{Nd}"), lambda d: all_patterns(t, d))))
 

@@ -49,15 +49,17 @@ def redact_in_stages(df: DataFrame, stages: Sequence[RegexStage], *, text: str =
         part = f"__stage_{number}"
         staged = staged.withColumn(part, merge_spans(find_spans(F.col(out), stage.patterns)))
         staged = staged.withColumn(out, replace_spans(F.col(out), F.col(part), stage.tokens))
-        parts.append(
-            F.transform(part, lambda s, n=number: F.struct(F.lit(n).alias("stage"), s["start"].alias("start"),
-                        s["end"].alias("end"), s["label"].alias("label"), s["original"].alias("original")))
-        )
+        parts.append(F.transform(part, _staged(number)))
     empty = F.array().cast("array<struct<stage:int,start:int,end:int,label:string,original:string>>")
     staged = staged.withColumn(spans, F.concat(empty, *parts))
     return staged.drop(*[f"__stage_{i}" for i in range(len(stages))])
 
 
+def _staged(number: int):
+    return lambda s: F.struct(F.lit(number).alias("stage"), s["start"].alias("start"), s["end"].alias("end"),
+                              s["label"].alias("label"), s["original"].alias("original"))
+
+
 def chunks(df: DataFrame, *, key: str, text: str = "text", size: int = CHUNK_CHARS) -> DataFrame:
     """One row per piece of ``size`` characters: (key, chunk_no, chunk_start, chunk)."""
     return df.select(key, F.posexplode(cut(F.col(text), size)).alias("chunk_no", "chunk")).select(
