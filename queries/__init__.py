@@ -1,6 +1,6 @@
 """Registered queries with equivalent SQL."""
 
-from queries import redaction  # noqa: F401
+from queries import preparing, redaction, retrieval  # noqa: F401
 from queries.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from reportloom.fixed_values import NA_TEXTS, PROMPTS
 from reportloom.functions.modality import folder_modality, modality, modality_hint, path_part
 from reportloom.functions.text import fill, has_text, or_empty, strip
-from reportloom.operators.split import three_way_split
+from reportloom.operators.split import number_rows, three_way_split
 
 ORIGIN = ["origin_folder", "modality"]
 MAP_LIMIT = 1000
@@ -155,11 +155,15 @@ def retrieval_train_rows(df: DataFrame, *, split: str = "split") -> DataFrame:
     )
 
 
-def retrieval_test_rows(df: DataFrame, *, split: str = "split", index: str = "orig_index") -> DataFrame:
-    """Eval rows; a missing modality is read from the finding."""
+def retrieval_test_rows(df: DataFrame, *, key: str, seed: int = 42, split: str = "split") -> DataFrame:
+    """Eval rows with a dense ``id``; a missing modality is read from the finding.
+
+    Eval rows come first in hash order, so their numbers among all rows are their
+    numbers among themselves and the train rows need not be numbered.
+    """
     stated = F.nullif(F.col("modality"), F.lit(""))
-    return df.filter(F.col(split) == "eval").select(
-        F.col(index).alias("id"),
+    return number_rows(df.filter(F.col(split) == "eval"), key=key, seed=seed, out="id").select(
+        "id",
         *[or_empty(F.col(c)).alias(c) for c in ("organ", "finding_text", "result_text")],
         F.coalesce(stated, modality(F.col("finding_text"), fallback="")).alias("modality"),
     )

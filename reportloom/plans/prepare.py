@@ -7,20 +7,28 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from reportloom.operators.compiling import build_prompts, chat_messages
-from reportloom.operators.split import number_rows, train_eval_split
+from reportloom.operators.split import train_eval_split
+from reportloom.session import fresh_folder
 
 
 def prepare_chat(prompts: DataFrame, *, key: str, test_size: float = 0.1, seed: int = 42,
                  split_enabled: bool = True) -> DataFrame:
-    """Usable prompt rows with messages, dense ``orig_index`` and ``split``.
+    """Usable prompt rows with ``messages`` and ``split``.
 
-    Source columns ride along, so no join back to the prompts is needed.
+    The messages are written once to the shared folder: the split's passes then
+    read the key column alone. Source columns ride along, so no join back is needed.
     """
-    numbered = number_rows(chat_messages(prompts), key=key, seed=seed)
-    return train_eval_split(numbered, key=key, test_size=test_size, seed=seed, enabled=split_enabled)
+    spark = prompts.sparkSession
+    folder = fresh_folder(spark, "chat")
+    chat_messages(prompts).write.parquet(folder)
+    return train_eval_split(spark.read.parquet(folder), key=key, test_size=test_size, seed=seed, enabled=split_enabled)
 
 
 def prepare(compiled: DataFrame, *, key: str, organs: Mapping[str, str] | DataFrame | None = None,
             columns: Mapping[str, str] | None = None, test_size: float = 0.1, seed: int = 42) -> DataFrame:
-    return prepare_chat(build_prompts(compiled, key=key, organs=organs, columns=columns, seed=seed), key=key,
+    """Compiled rows to chat rows; fails if no usable pair is left."""
+    chat = prepare_chat(build_prompts(compiled, key=key, organs=organs, columns=columns, seed=seed), key=key,
                         test_size=test_size, seed=seed)
+    if chat.select(key).isEmpty():
+        raise ValueError("no usable prompt and answer pairs")
+    return chat
