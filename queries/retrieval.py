@@ -20,6 +20,7 @@ from reportloom.operators.vector_index import build_index, load_index, save_inde
 from reportloom.plans.answering import few_shot_requests
 from reportloom.session import fresh_folder
 from reportloom.sources.readers import spread
+from reportloom.sources.writers import write_splits
 
 K = 5
 
@@ -67,7 +68,7 @@ def nearest_by_distance(spark, sf_dir):
 @query("nearest_in_blocks", top_sql(ALL_QUERIES, ALL_CORPUS))
 def nearest_in_blocks(spark, sf_dir):
     df = vectors(spark, sf_dir)
-    return top_k(as_queries(df), as_corpus(df), K, sent_bytes=1, block_rows=200)
+    return top_k(as_queries(df), as_corpus(df), K, sent_rows=1, block_rows=200)
 
 
 LABEL_VECTORS = """SELECT CAST(label AS bigint) AS corpus_id, list(m ORDER BY i) AS embedding FROM (
@@ -106,7 +107,9 @@ def cosines(spark, sf_dir):
 
 # ---- few-shot requests: eval documents ask, train documents answer ------------------------------
 def cases(spark, sf_dir):
-    return train_eval_split(table(spark, sf_dir, CASES), key="row_id")
+    folder = fresh_folder(spark, "cases")
+    write_splits(train_eval_split(table(spark, sf_dir, CASES), key="row_id"), folder)
+    return spark.read.parquet(folder)
 
 
 def asked(df):
@@ -151,7 +154,7 @@ for cot, as_json in FEW_SHOT_PROMPTS:
 @query("few_shot_without_examples", f"SELECT row_id, md5({few_shot_sql(False, True, chr(39) + NO_EXAMPLES + chr(39))}) AS prompt_md5 FROM (SELECT row_id, origin_folder AS organ, coalesce(finding, '') AS finding FROM ({COMPILED}) c)")
 def few_shot_without_examples(spark, sf_dir):
     rows = compiled(spark, sf_dir)
-    none = rows.select(F.col("row_id").alias("query_id"), F.lit(None).cast("array<struct<finding:string,result:string,score:double>>").alias("examples")).filter("query_id < 0")
+    none = spark.createDataFrame([], "query_id bigint, examples array<struct<finding:string,result:string,score:double>>")
     made = X.with_prompts(rows.withColumnRenamed("row_id", "query_id"), none, organ="origin_folder")
     return made.select(F.col("query_id").alias("row_id"), F.md5("prompt").alias("prompt_md5"))
 
@@ -192,7 +195,7 @@ COUNTS = "[" + ", ".join(f"length({{0}}) - length(replace({{0}}, '{c}', ''))" fo
 
 def encoded_sql(source: str, key: str, text: str) -> str:
     counts = COUNTS.format(text)
-    return f"""SELECT {key}, i - 1 AS i, round(CASE WHEN n > 0 THEN x / n ELSE 0 END, 5) AS x FROM (
+    return f"""SELECT {key}, i - 1 AS i, round(CAST(CAST(CASE WHEN n > 0 THEN x / n ELSE 0 END AS FLOAT) AS double), 5) AS x FROM (
 SELECT {key}, unnest(v) AS x, generate_subscripts(v, 1) AS i, sqrt(list_sum(list_transform(v, lambda y: CAST(y * y AS double)))) AS n
 FROM (SELECT {key}, {counts} AS v FROM ({source}) s))"""
 

@@ -16,14 +16,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SENT_BYTES = 64 * 1024 * 1024  # largest query side sent to every task
+SENT_ROWS, SENT_BYTES = 10_000, 64 * 1024 * 1024  # largest query side sent to every task
 BLOCK_ROWS = 50_000
 CELLS = 4_000_000  # scores held at once in a task
 DIGITS = 6  # scores are rounded before ranking, ties go to the smaller id
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    if not len(column):
+        return np.empty((0, 0))
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks)
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
@@ -72,7 +73,7 @@ def _output(schema: pa.Schema, query_ids: np.ndarray, best) -> pa.Table:
 
 def top_k(queries: DataFrame, corpus: DataFrame, k: int = 5, *, query_id: str = "query_id",
           corpus_id: str = "corpus_id", query_vector: str = "embedding", corpus_vector: str = "embedding",
-          normalized: bool = True, sent_bytes: int = SENT_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
+          normalized: bool = True, sent_rows: int = SENT_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, corpus_id, score, rank) of the k nearest corpus rows per query.
 
     Inner product, largest first, on normalised vectors; squared distance, smallest
@@ -86,16 +87,11 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int = 5, *, query_id: str =
         T.StructField("c_id", right.schema["c_id"].dataType),
         T.StructField("score", T.DoubleType()),
     ])
-    first = left.select(F.size("q_vec").alias("d")).first()
-    if first is None:
-        found = left.sparkSession.createDataFrame([], schema)
+    head = left.limit(sent_rows + 1).toArrow()
+    if head.num_rows <= sent_rows and head.nbytes <= SENT_BYTES:
+        found = _by_sending(head, right, k, normalized, schema)
     else:
-        fits = max(1, sent_bytes // (8 * max(1, first["d"]) + 32))
-        head = left.limit(fits + 1).toArrow()
-        if head.num_rows <= fits:
-            found = _by_sending(head, right, k, normalized, schema)
-        else:
-            found = _by_blocks(left, right, k, normalized, schema, block_rows)
+        found = _by_blocks(left, right, k, normalized, schema, block_rows)
     better = F.col("score").desc() if normalized else F.col("score").asc()
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("q_id").orderBy(better, "c_id")))
     return ranked.filter(F.col("rank") <= k).select(
@@ -117,7 +113,7 @@ def _by_sending(head: pa.Table, corpus: DataFrame, k: int, largest: bool, schema
         query_ids, matrix = sent.value
         best = None
         for batch in batches:
-            if not batch.num_rows:
+            if not batch.num_rows or not len(query_ids):
                 continue
             found = _best_in_block(matrix, _matrix(batch["c_vec"]), _ids(batch["c_id"]), k, largest)
             best = found if best is None else _keep_best(

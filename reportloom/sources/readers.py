@@ -103,7 +103,7 @@ def compile_result_tables(spark: SparkSession, root: str) -> DataFrame | None:
     listed = (
         _files(spark, root, "*.[cC][sS][vV]")
         .select(_plain_path(F.col("path")).alias("path"),
-                F.regexp_replace(F.substring_index(content, "\n", 1), "\r$|﻿", "").alias("header"))
+                F.regexp_replace(F.substring_index(content, "\n", 1), r"\r$|\x{FEFF}", "").alias("header"))
         .filter(F.lower(path_part(F.col("path"), 1)).isin(RESULT_FILES))
     )
     groups = listed.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header").collect()
