@@ -173,12 +173,13 @@ ANSWER_FORMAT = {
 }
 
 # --- fixed values: international scoring tokenisation, applied in this order -------------------
-# literal replacements, then (pattern, replacement) on the text padded with one space at each end
+# literal replacements, then (pattern, replacement) on the text padded with one space at each end;
+# the first class is published with the blank in it, which only adds blanks to blanks
 SCORE_LITERALS = [
     ("<skipped>", ""), ("-\n", ""), ("\n", " "), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"),
 ]
 SCORE_RULES = [
-    (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", r" \1 "),
+    (r"([\{-\~\[-\`\!-\&\(-\+\:-\@\/])", r" \1 "),
     (r"([^0-9])([\.,])", r"\1 \2 "),
     (r"([\.,])([^0-9])", r" \1 \2"),
     (r"([0-9])(-)", r"\1 \2 "),

@@ -20,8 +20,9 @@ from reportloom.functions.text import CHUNK, between, cut, let
 FOUND = "array<struct<start:int,order:int,end:int,label:string,original:string>>"
 SPANS = "array<struct<start:int,end:int,label:string,original:string>>"
 
-# Noncharacter reserved for process-internal use; marks match borders inside one expression.
-MARK = "\ufdd0"
+# Noncharacters reserved for process-internal use: one marks match borders inside an
+# expression, the other stands in for the mark should a text hold it.
+MARK, STAND_IN = "\ufdd0", "\ufdd1"
 BLOCK = 256
 
 
@@ -123,7 +124,7 @@ def _located(cuts: Column) -> Column:
         end = start + F.length(hit)
         span = F.struct(
             start.alias("start"), cuts["order"].alias("order"), end.alias("end"), cuts["label"].alias("label"),
-            hit.alias("original"),
+            F.replace(hit, F.lit(STAND_IN), F.lit(MARK)).alias("original"),
         )
         return end, F.array(span)
 
@@ -133,7 +134,7 @@ def _located(cuts: Column) -> Column:
 
 def find_spans(text: Column, patterns: Sequence[Pattern] = DEFAULT_PATTERNS) -> Column:
     """Matches of all patterns, sorted by start, ties in pattern order."""
-    clean = F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit("\ufffd"))
+    clean = F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit(STAND_IN))
 
     def all_patterns(t: Column, any_digit: Column) -> Column:
         cuts = F.array(*[_cut_at_matches(t, p, i, any_digit) for i, p in enumerate(patterns)])

@@ -170,25 +170,38 @@ def _table_rows(ref: Sequence[str], places: Mapping[str, int], full: int) -> lis
     return rows
 
 
-def _lcs_members(ref: Sequence[str], cand: Sequence[str], rows: Sequence[int], offset: int) -> set[int]:
-    """Positions of ``ref`` on a longest common subsequence with the sentence at ``offset``."""
-
-    def length(i: int, j: int) -> int:
-        return j - ((rows[i] >> offset) & ((1 << j) - 1)).bit_count()
+def _lcs_members(ref: Sequence[str], cand: Sequence[str], rows: Sequence[int], offset: int,
+                 places: Mapping[str, int]) -> set[int]:
+    """Positions of ``ref`` on a longest common subsequence with the sentence at ``offset``.
 
+    Walks the table from its end: up while the length stays, else left to the last
+    equal token of the row; so one step per token of ``ref``.
+    """
+    segment = [(row >> offset) & ((1 << len(cand)) - 1) for row in rows]
     i, j, members = len(ref), len(cand), set()
-    left = length(i, j)
+    left = j - segment[i].bit_count()
     while left:
+        below = (1 << j) - 1
         if ref[i - 1] == cand[j - 1]:
-            i, j, left = i - 1, j - 1, left - 1
-            members.add(i)
-        elif rows[i] >> (offset + j - 1) & 1 and length(i - 1, j) < left:
             j -= 1
-        else:
+        elif j - (segment[i - 1] & below).bit_count() == left:
             i -= 1
+            continue
+        else:
+            j = ((places[ref[i - 1]] >> offset) & below).bit_length() - 1
+        i, left = i - 1, left - 1
+        members.add(i)
     return members
 
 
+def _places_of(ref: Sequence[str], union: set[int], places: Mapping[str, int]) -> int:
+    """Candidate positions of the reference tokens not yet in ``union``."""
+    bits = 0
+    for token in {w for i, w in enumerate(ref) if i not in union}:
+        bits |= places.get(token, 0)
+    return bits
+
+
 def lcs_f_score(reference: str, prediction: str, *, stemmed: bool = True, ascii_only: bool = False) -> float:
     """F-score of the union LCS over newline-separated sentences."""
     pattern = _ASCII_WORD if ascii_only else _WORD
@@ -215,10 +228,12 @@ def lcs_f_score(reference: str, prediction: str, *, stemmed: bool = True, ascii_
     for ref in refs:
         rows = _table_rows(ref, places, full)
         union: set[int] = set(range(len(ref))) if ref in cands else set()
+        open_ = _places_of(ref, union, places)
         for cand, offset in zip(cands, offsets):
-            if len(union) == len(ref):
-                break
-            union |= _lcs_members(ref, cand, rows, offset)
+            # A sentence can add only positions whose token it holds.
+            if (open_ >> offset) & ((1 << len(cand)) - 1):
+                union |= _lcs_members(ref, cand, rows, offset, places)
+                open_ = _places_of(ref, union, places)
         for i in sorted(union):
             if ref_left[ref[i]] > 0 and cand_left[ref[i]] > 0:
                 ref_left[ref[i]] -= 1

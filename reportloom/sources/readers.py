@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,11 +42,12 @@ def read_report_files(spark: SparkSession, root: str) -> DataFrame:
 
     Text files are decoded, malformed bytes dropped; other files are listed without content.
     """
-    base = root.rstrip("/") + "/"
+    base = re.sub(r"^file:/+", "/", root.rstrip("/")) + "/"
     path = _plain_path(F.col("path"))
+    at = F.locate(base, path)
     files = _files(spark, root).select(
         path.alias("path"),
-        F.when(path.startswith(base), F.substring(path, F.lit(len(base) + 1), F.length(path))).otherwise(path).alias("rel_path"),
+        F.when(at > 0, F.substring(path, at + len(base), F.length(path))).otherwise(path).alias("rel_path"),
         folder_of(path).alias("folder"),
         F.when(F.lower(path).endswith(".txt"), utf8_dropping_bad_bytes(F.col("content"))).alias("content"),
     )
