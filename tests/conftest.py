@@ -12,5 +12,6 @@ from reportloom.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     session = local_session("4", memory="6g")
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     return session

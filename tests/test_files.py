@@ -128,6 +128,6 @@ def test_stream_equals_batch(spark, tmp_path):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert shared_folder(spark) == spark.sparkContext.getCheckpointDir()
+    assert shared_folder(spark) == (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
     one, other = fresh_folder(spark, "x"), fresh_folder(spark, "x")
     assert one.startswith(shared_folder(spark)) and one != other
