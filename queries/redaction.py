@@ -192,8 +192,7 @@ FROM chunks c JOIN {{documents}} d ON d.doc_id = c.doc_id)
 SELECT doc_id, string_agg(text, '' ORDER BY chunk_no) AS redacted, coalesce(string_agg(span, ',' ORDER BY chunk_no), '') AS spans
 FROM texts GROUP BY doc_id""")
 def chunk_responses_applied(spark, sf_dir):
-    pieces = R.chunks(documents(spark, sf_dir), key="doc_id")
-    whole = R.apply_chunk_responses(pieces, table(spark, sf_dir, CHUNK_ANSWERS), key="doc_id")
+    whole = R.apply_chunk_responses(documents(spark, sf_dir), table(spark, sf_dir, CHUNK_ANSWERS), key="doc_id")
     shown = F.transform("spans", lambda s: F.format_string("%s@%d-%d:%s", s["label"], s["start"], s["end"], s["original"]))
     return whole.select("doc_id", "redacted", F.array_join(shown, ",").alias("spans"))
 

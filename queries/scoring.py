@@ -143,13 +143,13 @@ FROM sides s LEFT JOIN agg a ON a.id = s.id"""
 
 @query("meteor_by_equal_words", METEOR_SQL)
 def meteor_by_equal_words(spark, sf_dir):
-    scored = pairs(spark, sf_dir).withColumn("s", text_scores(F.col("reference"), F.col("predicted"), stemmed=False))
+    scored = pairs(spark, sf_dir).withColumn("s", text_scores(F.col("reference"), F.col("predicted"), ["meteor"], stemmed=False))
     return scored.select("id", F.round("s.meteor", 6).alias("meteor"))
 
 
 @query("alignment_scores")
 def alignment_scores(spark, sf_dir):
-    scored = pairs(spark, sf_dir).withColumn("s", text_scores(F.col("reference"), F.col("predicted")))
+    scored = pairs(spark, sf_dir).withColumn("s", text_scores(F.col("reference"), F.col("predicted"), ["rouge", "meteor"]))
     return scored.select("id", F.round("s.rouge", 6).alias("rouge"), F.round("s.meteor", 6).alias("meteor"))
 
 

@@ -11,7 +11,7 @@ from reportloom.functions.similarity import (
     edit_similarity, exact_match, has_finding_hit, modality_hit, organ_hit, true_has_finding,
 )
 from reportloom.functions.text import four_decimals, has_text, or_empty
-from reportloom.functions.text_scores import COUNT_FIELDS, bleu_of, text_scores, token_overlap
+from reportloom.functions.text_scores import COUNT_FIELDS, bleu_of, text_scores
 
 TEXT_METRICS = ["bleu", "rouge", "meteor", "levenshtein", "exact_match"]
 CLASS_METRICS = ["acc_has_finding", "acc_organ", "acc_modality"]
@@ -58,7 +58,7 @@ def mean_metrics(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 
 def corpus_bleu(df: DataFrame, *, reference: str = "reference", prediction: str = "predicted") -> DataFrame:
     """One row: BLEU over the summed counts of all rows."""
-    counted = df.select(token_overlap(F.col(reference), F.col(prediction)).alias("c"))
+    counted = df.select(text_scores(F.col(reference), F.col(prediction), ["overlap"]).alias("c"))
     summed = counted.agg(*[F.coalesce(F.sum(f"c.{f}"), F.lit(0)).alias(f) for f in COUNT_FIELDS])
     return summed.select(bleu_of(F.struct(*COUNT_FIELDS)).alias("bleu"))
 
@@ -66,7 +66,7 @@ def corpus_bleu(df: DataFrame, *, reference: str = "reference", prediction: str
 def sentence_bleu(df: DataFrame, *, reference: str = "reference", prediction: str = "predicted",
                   out: str = "bleu") -> DataFrame:
     """Add the BLEU score of each row alone."""
-    counted = df.withColumn("__counts", token_overlap(F.col(reference), F.col(prediction)))
+    counted = df.withColumn("__counts", text_scores(F.col(reference), F.col(prediction), ["overlap"]))
     return counted.withColumn(out, bleu_of(F.col("__counts"))).drop("__counts")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SENT_ROWS, SENT_BYTES = 10_000, 64 * 1024 * 1024  # largest query side sent to every task
-BLOCK_ROWS = 50_000
+BLOCK_ROWS, BLOCK_BYTES = 50_000, 64 * 1024 * 1024  # largest block of either side
 CELLS = 4_000_000  # scores held at once in a task
 DIGITS = 6  # scores are rounded before ranking, ties go to the smaller id
 
@@ -91,7 +91,8 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int = 5, *, query_id: str =
     if head.num_rows <= sent_rows and head.nbytes <= SENT_BYTES:
         found = _by_sending(head, right, k, normalized, schema)
     else:
-        found = _by_blocks(left, right, k, normalized, schema, block_rows)
+        dimensions = max(1, len(head["q_vec"][0]))
+        found = _by_blocks(left, right, k, normalized, schema, max(1, min(block_rows, BLOCK_BYTES // (8 * dimensions))))
     better = F.col("score").desc() if normalized else F.col("score").asc()
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("q_id").orderBy(better, "c_id")))
     return ranked.filter(F.col("rank") <= k).select(

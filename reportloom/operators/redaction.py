@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportloom.fixed_values import LABEL_TOKENS, REDACTION_REQUEST, REPORT_EXTENSIONS
@@ -72,37 +72,36 @@ def redaction_requests(pieces: DataFrame) -> DataFrame:
     return pieces.withColumn("prompt", fill(REDACTION_REQUEST, chunk=F.col("chunk")))
 
 
-def apply_chunk_responses(pieces: DataFrame, responses: DataFrame, *, key: str, content: str = "content") -> DataFrame:
-    """Put a text back together from model responses per chunk.
+def apply_chunk_responses(df: DataFrame, responses: DataFrame, *, key: str, text: str = "text",
+                          content: str = "content", size: int = CHUNK_CHARS) -> DataFrame:
+    """Add ``redacted`` and ``spans`` from model responses to the chunks of each text.
 
-    ``responses`` holds (key, chunk_no, content). Spans move by their chunk's
-    start. A chunk without a response, or whose response lacks a text, stays as it was.
-    Pieces of one text meet again in one row, so a group is as large as one text.
+    ``responses`` holds (key, chunk_no, content). Spans move by their chunk's start. A
+    chunk without a response, or whose response lacks a text, stays as it was. Responses
+    are gathered per text, at most one per chunk, and meet the text in one join; the
+    chunks are cut again in the row and never shuffled.
     """
-    answered = (
-        pieces.join(responses.select(key, "chunk_no", content), [key, "chunk_no"], "left")
-        .withColumn("answer", parse_redaction(F.col(content)))
-        .select(
-            key, "chunk_no",
-            F.coalesce(F.col("answer.text"), F.col("chunk")).alias("text"),
-            F.transform(
-                F.coalesce("answer.spans", F.array().cast(SPANS)),
-                lambda s: F.struct(
-                    (s["start"] + F.col("chunk_start")).alias("start"),
-                    (s["end"] + F.col("chunk_start")).alias("end"),
-                    s["label"].alias("label"),
-                    s["original"].alias("original"),
-                ),
-            ).alias("spans"),
-        )
-    )
-    ordered = F.sort_array(F.collect_list(F.struct("chunk_no", "text", "spans")))
-    return answered.groupBy(key).agg(ordered.alias("parts")).select(
-        key,
-        F.array_join(F.col("parts.text"), "").alias("redacted"),
-        F.flatten(F.col("parts.spans")).alias("spans"),
+    answer = parse_redaction(F.col(content))
+    listed = F.sort_array(F.collect_list(F.struct("chunk_no", answer.alias("answer"))))
+    last_ones = F.filter("listed", lambda e, i: ~F.coalesce(F.get(F.col("listed"), i + 1)["chunk_no"] == e["chunk_no"], F.lit(False)))
+    answers = (
+        responses.filter(F.col(content).isNotNull()).groupBy(key).agg(listed.alias("listed"))
+        .select(key, F.map_from_entries(last_ones).alias("__answers"))
     )
 
+    def settled(chunk: Column, i: Column) -> Column:
+        given = F.col("__answers")[i]
+        moved = F.transform(given["spans"], lambda s: F.struct(
+            (s["start"] + i * size).alias("start"), (s["end"] + i * size).alias("end"),
+            s["label"].alias("label"), s["original"].alias("original"),
+        ))
+        return F.struct(F.coalesce(given["text"], chunk).alias("text"), F.coalesce(moved, F.array().cast(SPANS)).alias("spans"))
+
+    joined = df.join(answers, key, "left").withColumn("__parts", F.transform(cut(F.col(text), size), settled))
+    return joined.withColumns({
+        "redacted": F.array_join("__parts.text", ""), "spans": F.flatten("__parts.spans"),
+    }).drop("__answers", "__parts")
+
 
 def counts_per_text(df: DataFrame, *, key: str, spans: str = "spans") -> DataFrame:
     """(key, label, n): counted inside each row, without a shuffle."""

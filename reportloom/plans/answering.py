@@ -27,11 +27,15 @@ def few_shot_requests(rows: DataFrame, corpus: DataFrame, *, k: int = 5, style:
                       normalized: bool = True) -> DataFrame:
     """Rows (id, organ, finding, ..., embedding) with ``examples`` and ``prompt``.
 
-    ``corpus`` holds (corpus_id, finding, result, embedding).
+    ``corpus`` holds (corpus_id, finding, result, embedding). The neighbours, k short rows
+    per query, are written once: their size is then known, and a small table is broadcast to
+    the corpus instead of shuffling the corpus texts.
     """
     style = style or PromptStyle(max_examples=k)
     keyed = rows.filter(has_text(F.col("finding"))).withColumnRenamed("id", "query_id")
-    near = top_k(keyed, corpus, k, normalized=normalized)
+    folder = fresh_folder(rows.sparkSession, "neighbours")
+    top_k(keyed, corpus, k, normalized=normalized).write.parquet(folder)
+    near = rows.sparkSession.read.parquet(folder)
     examples = gather_examples(near, corpus)
     return with_prompts(keyed.drop("embedding"), examples, style=style).withColumnRenamed("query_id", "id")
 

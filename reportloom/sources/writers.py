@@ -32,8 +32,11 @@ def write_redaction_summary(df: DataFrame, folder: str, *, path: str = "rel_path
 
 
 def write_pairs_by_folder(pairs: DataFrame, folder: str) -> None:
-    """CSV files of (finding, file_name, result), one directory per report folder."""
-    pairs.select("folder", *RESULT_COLUMNS).write.mode("overwrite").partitionBy("folder").options(**CSV_OPTIONS).csv(folder)
+    """CSV files of (finding, file_name, result), one directory per report folder.
+
+    Rows are rebalanced by folder: small folders get one file, a large one is split over tasks.
+    """
+    pairs.select("folder", *RESULT_COLUMNS).hint("rebalance", "folder").write.mode("overwrite").partitionBy("folder").options(**CSV_OPTIONS).csv(folder)
 
 
 def write_pairs(pairs: DataFrame, folder: str) -> None:

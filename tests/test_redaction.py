@@ -117,13 +117,15 @@ def test_counts(spark):
 
 def test_chunks_and_their_responses(spark):
     text = "😀" * 800 + "конец"
-    pieces = chunks(spark.createDataFrame([(1, text), (2, ""), (3, "ab")], "id int, text string"), key="id")
-    assert {(r.id, r.chunk_no, r.chunk_start, r.chunk) for r in pieces.collect()} == {
+    texts = spark.createDataFrame([(1, text), (2, ""), (3, "ab")], "id int, text string")
+    assert {(r.id, r.chunk_no, r.chunk_start, r.chunk) for r in chunks(texts, key="id").collect()} == {
         (1, 0, 0, text[:750]), (1, 1, 750, text[750:]), (3, 0, 0, "ab")}
-    answers = spark.createDataFrame([(1, 1, '{"text": "T", "spans": [{"start": 2, "end": 4, "label": "NAME"}]}')], "id int, chunk_no int, content string")
-    whole = {r.id: r for r in apply_chunk_responses(pieces, answers, key="id").collect()}
+    answers = spark.createDataFrame([(1, 1, '{"text": "T", "spans": [{"start": 2, "end": 4, "label": "NAME"}]}'),
+                                     (3, 0, None), (3, 5, "beyond the text")], "id int, chunk_no int, content string")
+    answers = answers.union(answers.filter("id = 1"))  # a repeated response counts once
+    whole = {r.id: r for r in apply_chunk_responses(texts, answers, key="id").collect()}
     assert whole[1].redacted == text[:750] + "T" and tuple(whole[1].spans[0])[:3] == (752, 754, "NAME")
-    assert whole[3].redacted == "ab" and whole[3].spans == []
+    assert whole[3].redacted == "ab" and whole[3].spans == [] and whole[2].redacted == ""
 
 
 def test_piecewise_substring(spark):
