@@ -290,7 +290,7 @@ def prompt_table(spark, sf_dir):
     return C.build_prompts(compiled(spark, sf_dir), key="row_id", organs=ORGANS)
 
 
-@query("chat_messages", f"""SELECT conv_id, turn, m AS position, CASE m WHEN 0 THEN 'user' ELSE 'assistant' END AS role,
+@query("chat_messages", f"""SELECT conv_id, turn, CAST(m AS bigint) AS position, CASE m WHEN 0 THEN 'user' ELSE 'assistant' END AS role,
        trim(CASE m WHEN 0 THEN prompt_text ELSE result_text END, {TRIM}) AS content
 FROM ({CHAT}) c, (SELECT unnest([0, 1]) AS m) WHERE {NOT_BLANK('prompt_text')} AND {NOT_BLANK('result_text')}""")
 def chat_messages(spark, sf_dir):

@@ -78,14 +78,12 @@ def label_counts_per_text(spark, sf_dir):
 
 @query("spans_found", f"WITH {hits_sql(ASCII_PATTERNS)} SELECT doc_id, label, s AS span_start, e AS span_end, original FROM found")
 def spans_found(spark, sf_dir):
-    found = documents(spark, sf_dir).select("doc_id", F.explode(find_spans(F.col("text"))).alias("x"))
-    return found.select("doc_id", "x.label", F.col("x.start").alias("span_start"), F.col("x.end").alias("span_end"), "x.original")
+    return R.span_rows(documents(spark, sf_dir).withColumn("spans", find_spans(F.col("text"))), "doc_id")
 
 
 @query("spans_merged", f"{DOC_SPANS} SELECT doc_id, label, s AS span_start, e AS span_end, original FROM merged")
 def spans_merged(spark, sf_dir):
-    found = R.redact(documents(spark, sf_dir)).select("doc_id", F.explode("spans").alias("x"))
-    return found.select("doc_id", "x.label", F.col("x.start").alias("span_start"), F.col("x.end").alias("span_end"), "x.original")
+    return R.span_rows(R.redact(documents(spark, sf_dir)), "doc_id")
 
 
 @query("texts_redacted", f"{DOC_SPANS}{REDACTED_SQL} SELECT doc_id, redacted FROM redacted")
@@ -115,8 +113,8 @@ FROM ({NOTES}) n"""
 
     @query(f"pattern_{label.lower()}", sql)
     def run(spark, sf_dir):
-        found = notes(spark, sf_dir).select("report_id", F.explode(find_spans(F.col(text), [BY_LABEL[label]])).alias("x"))
-        return found.select("report_id", F.col("x.start").alias("span_start"), F.col("x.end").alias("span_end"), "x.original")
+        found = notes(spark, sf_dir).withColumn("spans", find_spans(F.col(text), [BY_LABEL[label]]))
+        return R.span_rows(found, "report_id").drop("label")
 
 
 _TO_DOB = "concat(part0, email, '; ', phone, '; ')"
@@ -156,7 +154,7 @@ UNION ALL
 SELECT report_id, CAST(1 AS BIGINT), 'PHONE', length(part0) + length('[EMAIL]; '), length(part0) + length('[EMAIL]; ') + length(phone), phone FROM ({NOTES}) n""")
 def stages_chained(spark, sf_dir):
     stages = [R.RegexStage([BY_LABEL["EMAIL"]]), R.RegexStage([BY_LABEL["PHONE"]])]
-    staged = R.redact_in_stages(notes(spark, sf_dir), stages).select("report_id", F.explode("spans").alias("x"))
+    staged = R.redact_in_stages(notes(spark, sf_dir), stages).select("report_id", F.explode_outer("spans").alias("x")).dropna()
     return staged.select("report_id", "x.stage", "x.label", F.col("x.start").alias("span_start"), F.col("x.end").alias("span_end"), "x.original")
 
 
@@ -222,7 +220,7 @@ def bad_bytes_dropped(spark, sf_dir):
 
 @query("word_tokens", r"SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s]')) AS word FROM {documents}) GROUP BY doc_id, word")
 def word_tokens(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", F.explode(words(F.col("text"))).alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    return documents(spark, sf_dir).select("doc_id", F.explode_outer(words(F.col("text"))).alias("word")).dropna().groupBy("doc_id", "word").agg(F.count("*").alias("n"))
 
 
 # ---- streams -----------------------------------------------------------------------------------

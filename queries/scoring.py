@@ -190,7 +190,7 @@ def scores_formatted(spark, sf_dir):
     return E.formatted(load(spark, sf_dir, "events").select("event_id", "value"), ["value"])
 
 
-@query("references_aligned", f"SELECT d.doc_id AS id, d.lang AS truth, l.quality AS predicted FROM {{documents}} d JOIN {{labels}} l ON l.doc_id = d.doc_id")
+@query("references_aligned", f"SELECT d.doc_id AS id, d.lang AS truth, CAST(l.quality AS bigint) AS predicted FROM {{documents}} d JOIN {{labels}} l ON l.doc_id = d.doc_id")
 def references_aligned(spark, sf_dir):
     truth = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("truth"))
     return E.align(truth, load(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").cast("bigint").alias("predicted")))

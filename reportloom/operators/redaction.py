@@ -62,7 +62,8 @@ def _staged(number: int):
 
 def chunks(df: DataFrame, *, key: str, text: str = "text", size: int = CHUNK_CHARS) -> DataFrame:
     """One row per piece of ``size`` characters: (key, chunk_no, chunk_start, chunk)."""
-    return df.select(key, F.posexplode(cut(F.col(text), size)).alias("chunk_no", "chunk")).select(
+    pieces = df.select(key, F.posexplode_outer(cut(F.col(text), size)).alias("chunk_no", "chunk"))
+    return pieces.filter(F.col("chunk_no").isNotNull()).select(
         key, "chunk_no", (F.col("chunk_no") * size).alias("chunk_start"), "chunk"
     )
 
@@ -103,6 +104,17 @@ def apply_chunk_responses(df: DataFrame, responses: DataFrame, *, key: str, text
     }).drop("__answers", "__parts")
 
 
+def span_rows(df: DataFrame, *keep: str, spans: str = "spans") -> DataFrame:
+    """One row per span: kept columns, label, span_start, span_end, original.
+
+    An inner explode makes the optimizer add a filter on the array's size, which would
+    evaluate the whole pattern search a second time; the outer form does not.
+    """
+    rows = df.select(*keep, F.explode_outer(spans).alias("__s")).filter(F.col("__s.label").isNotNull())
+    return rows.select(*keep, "__s.label", F.col("__s.start").alias("span_start"), F.col("__s.end").alias("span_end"),
+                       "__s.original")
+
+
 def counts_per_text(df: DataFrame, *, key: str, spans: str = "spans") -> DataFrame:
     """(key, label, n): counted inside each row, without a shuffle."""
     labels = F.transform(spans, lambda s: s["label"])
@@ -113,14 +125,12 @@ def counts_per_text(df: DataFrame, *, key: str, spans: str = "spans") -> DataFra
             F.size(F.filter(spans, lambda s: s["label"] == name)).cast("bigint").alias("n"),
         ),
     )
-    return df.select(key, F.explode(counted).alias("c")).select(key, "c.label", "c.n")
+    return df.select(key, F.explode_outer(counted).alias("c")).filter("c.n > 0").select(key, "c.label", "c.n")
 
 
 def counts_by_label(df: DataFrame, *, spans: str = "spans") -> DataFrame:
     """(label, n) over all texts."""
-    return df.select(F.explode(spans).alias("s")).groupBy(F.col("s.label").alias("label")).agg(
-        F.count("*").alias("n")
-    )
+    return span_rows(df, spans=spans).groupBy("label").agg(F.count("*").alias("n"))
 
 
 def totals(df: DataFrame, *, spans: str = "spans", status: str | None = None) -> DataFrame:

@@ -32,12 +32,16 @@ def _histogram(df: DataFrame, key: str, seed: int, digits: int) -> DataFrame:
 
 
 def assign_by_rank(df: DataFrame, sizes: Sequence[tuple[str, Column]], *, key: str, rest: str,
-                   seed: int = 42, out: str = "split", digits: int = HEX_DIGITS) -> DataFrame:
+                   seed: int = 42, out: str = "split", digits: int = HEX_DIGITS,
+                   keys: DataFrame | None = None) -> DataFrame:
     """Label rows in hash order: the first ``sizes[0]`` rows, the next ``sizes[1]``, ..., then ``rest``.
 
-    A size is an expression over the row count ``total``. ``key`` must be unique and not NULL.
+    A size is an expression over the row count ``total``. With a unique ``key`` the sizes are
+    exact; rows of one key always stay together. ``key`` must not be NULL. ``keys`` may give the
+    key column of ``df`` as a table of its own, which is cheaper to read twice.
     """
-    totals = _histogram(df, key, seed, digits)
+    keys = df if keys is None else keys
+    totals = _histogram(keys, key, seed, digits)
     borders = []
     upto = F.lit(0).cast("bigint")
     for label, size in sizes:
@@ -48,17 +52,17 @@ def assign_by_rank(df: DataFrame, sizes: Sequence[tuple[str, Column]], *, key: s
         .filter((F.col("b.target") > F.col("upto") - F.col("rows")) & (F.col("b.target") <= F.col("upto")))
         .select("__bucket", F.col("b.label").alias("label"), (F.col("b.target") - F.col("upto") + F.col("rows")).alias("rank"))
     )
-    hashed = df.select(order_hash(F.col(key), seed).alias("h"), F.col(key).alias("k"))
+    hashed = keys.select(order_hash(F.col(key), seed).alias("h"), F.col(key).alias("k"))
     # ``holding`` has one row per border, hence the broadcast.
     near = hashed.withColumn("__bucket", F.substring("h", 1, digits)).join(
         F.broadcast(holding), "__bucket"
     )
-    cuts = (
-        near.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("h", "k")))
-        .filter(F.col("n") == F.col("rank"))
-    )
+    # Equal keys count as one row here, so a frequent key cannot overload the ranking.
+    counted = near.groupBy("label", "rank", "h", "k").agg(F.count("*").alias("n"))
+    so_far = Window.partitionBy("label").orderBy("h", "k").rowsBetween(Window.unboundedPreceding, 0)
+    cuts = counted.withColumn("upto", F.sum("n").over(so_far)).filter(F.col("upto") >= F.col("rank"))
     here = F.struct(order_hash(F.col(key), seed).alias("h"), F.col(key).alias("k"))
-    cut_of = {label: F.max(F.when(F.col("label") == label, F.struct("h", "k"))).alias(label) for label, _ in sizes}
+    cut_of = {label: F.min(F.when(F.col("label") == label, F.struct("h", "k"))).alias(label) for label, _ in sizes}
     cut = cuts.agg(*cut_of.values()).select(F.struct(*cut_of)).scalar()
     assigned = F.lit(rest)
     for label, _ in reversed(sizes):
@@ -78,14 +82,15 @@ def three_way_split(df: DataFrame, *, key: str, first: float = 0.2, second: floa
 
 
 def train_eval_split(df: DataFrame, *, key: str, test_size: float = 0.1, seed: int = 42, enabled: bool = True,
-                     out: str = "split") -> DataFrame:
+                     out: str = "split", keys: DataFrame | None = None) -> DataFrame:
     """``eval`` gets ceil(n * test_size) rows, ``train`` the others; disabled: all ``train``."""
     if not enabled:
         return df.withColumn(out, F.lit("train"))
     if not 0.0 < test_size < 1.0:
         raise ValueError("test_size must lie in (0, 1)")
     return assign_by_rank(
-        df, [("eval", F.ceil(F.col("total") * F.lit(test_size)))], key=key, rest="train", seed=seed, out=out
+        df, [("eval", F.ceil(F.col("total") * F.lit(test_size)))], key=key, rest="train", seed=seed, out=out,
+        keys=keys,
     )
 
 

@@ -15,20 +15,21 @@ def prepare_chat(prompts: DataFrame, *, key: str, test_size: float = 0.1, seed:
                  split_enabled: bool = True) -> DataFrame:
     """Usable prompt rows with ``messages`` and ``split``.
 
-    The messages are written once to the shared folder: the split's passes then
-    read the key column alone. Source columns ride along, so no join back is needed.
+    Only the keys of usable rows are written to the shared folder; the split's passes read
+    that table and no text. Source columns ride along, so no join back is needed.
     """
     spark = prompts.sparkSession
-    folder = fresh_folder(spark, "chat")
-    chat_messages(prompts).write.parquet(folder)
-    return train_eval_split(spark.read.parquet(folder), key=key, test_size=test_size, seed=seed, enabled=split_enabled)
+    folder = fresh_folder(spark, "usable-keys")
+    chat = chat_messages(prompts)
+    chat.select(key).write.parquet(folder)
+    keys = spark.read.parquet(folder)
+    if keys.isEmpty():
+        raise ValueError("no usable prompt and answer pairs")
+    return train_eval_split(chat, key=key, test_size=test_size, seed=seed, enabled=split_enabled, keys=keys)
 
 
 def prepare(compiled: DataFrame, *, key: str, organs: Mapping[str, str] | DataFrame | None = None,
             columns: Mapping[str, str] | None = None, test_size: float = 0.1, seed: int = 42) -> DataFrame:
     """Compiled rows to chat rows; fails if no usable pair is left."""
-    chat = prepare_chat(build_prompts(compiled, key=key, organs=organs, columns=columns, seed=seed), key=key,
-                        test_size=test_size, seed=seed)
-    if chat.select(key).isEmpty():
-        raise ValueError("no usable prompt and answer pairs")
-    return chat
+    prompts = build_prompts(compiled, key=key, organs=organs, columns=columns, seed=seed)
+    return prepare_chat(prompts, key=key, test_size=test_size, seed=seed)

@@ -146,3 +146,10 @@ def test_strip_and_words(spark):
     text = "　\t a b, c_1! \x1f\n"
     row = spark.createDataFrame([(text,)], "t string").select(strip(F.col("t")).alias("s"), words(F.col("t")).alias("w")).first()
     assert row.s == text.strip() and row.w == re.findall(r"\w+|[^\w\s]", text)
+
+
+def test_every_pattern_runs_once_per_text(spark):
+    df = spark.createDataFrame([(1, "a@b.com")], "id int, text string")
+    done = redact(df)
+    for job in (done, counts_by_label(done), counts_per_text(done, key="id"), totals(done)):
+        assert job._jdf.queryExecution().executedPlan().toString().count("regexp_replace(") == len(PII_PATTERNS)

@@ -60,3 +60,9 @@ def test_numbers_are_dense_and_follow_the_hash(spark, digits):
 def test_eval_rows_come_first_in_numbering(spark):
     both = number_rows(train_eval_split(spark.range(100), key="id"), key="id")
     assert {r.orig_index for r in both.filter("split = 'eval'").collect()} == set(range(10))
+
+
+def test_a_frequent_key_stays_together(spark):
+    df = spark.range(90).selectExpr("CASE WHEN id < 30 THEN -1 ELSE id END AS id")
+    parts = three_way_split(df, key="id").groupBy("split").agg(F.count("*").alias("n"), F.count_if(F.col("id") == -1).alias("hot")).collect()
+    assert sum(r.n for r in parts) == 90 and sorted(r.hot for r in parts)[-1] == 30
