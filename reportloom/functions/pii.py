@@ -32,31 +32,33 @@ class Pattern:
 
     The optional hints state what every match must have; they save time and change no result:
     ``needles`` literals of which the text holds at least one, ``digits`` a decimal digit
-    somewhere in the text, ``lead`` the character class of a match's first character.
+    somewhere in the text, ``start`` a zero-width condition at a match's first character.
     """
 
     label: str
     regex: str
     needles: Sequence[str] = ()
     digits: bool = False
-    lead: str = ""
+    start: str = ""
     ignore_case: bool = False
 
     @property
     def java_regex(self) -> str:
         flags = "(?iuU)" if self.ignore_case else "(?U)"
-        return flags + (f"(?={self.lead})" if self.lead else "") + f"(?:{self.regex})"
+        return f"{flags}{self.start}(?:{self.regex})"
 
 
-# What the default patterns need, by label.
+# What the default patterns need, by label. An address can only start where its run of
+# characters does or where the last match ended; trying every character of a long run
+# without an @ would take quadratic time.
 _HINTS = {
-    "EMAIL": {"needles": ["@"]},
-    "PHONE": {"digits": True, "lead": r"[+(\d]"},
-    "DATE": {"digits": True, "lead": r"[\dа-я]"},
+    "EMAIL": {"needles": ["@"], "start": r"(?:\G|(?<![a-zA-Z0-9._%+-]))"},
+    "PHONE": {"digits": True, "start": r"(?=[+(\d])"},
+    "DATE": {"digits": True, "start": r"(?=[\dа-я])"},
     "DOB": {"digits": True, "needles": ["Дата", "дата"]},
     "POLICY": {"needles": ["полис"]},
-    "SNILS": {"digits": True, "lead": r"\d"},
-    "NAME": {"lead": "[А-ЯЁ]"},
+    "SNILS": {"digits": True, "start": r"(?=\d)"},
+    "NAME": {"start": "(?=[А-ЯЁ])"},
     "ADDRESS": {"needles": ["ул", "просп", "пл", "пер", "г"]},
     "ORG": {"needles": ["ФГБУ", "ООО", "ЗАО", "ОАО", "Больница", "линика", "Лаборатория"]},
     "LOCATION": {"needles": ["г"]},
@@ -65,7 +67,7 @@ DEFAULT_PATTERNS: tuple[Pattern, ...] = tuple(
     Pattern(label, regex, **_HINTS[label]) for label, regex in PII_PATTERNS
 )
 STRICT_PATTERNS: tuple[Pattern, ...] = tuple(
-    Pattern("NAME", NAME_STRICT, lead="[А-ЯЁ]") if p.label == "NAME" else p for p in DEFAULT_PATTERNS
+    Pattern("NAME", NAME_STRICT, start="(?=[А-ЯЁ])") if p.label == "NAME" else p for p in DEFAULT_PATTERNS
 )
 
 

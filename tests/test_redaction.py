@@ -71,6 +71,17 @@ def test_random_texts_match_the_plain_rules(spark):
     check(spark, ["".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randint(1, 25))) for _ in range(400)])
 
 
+def test_addresses_that_touch(spark):
+    check(spark, ["a@b.com_x@y.org", "a@b.com.x@y.org", "-a@b.co1@c.de", "a@@b.com", "x@y z@w.com@q.org", "a@b.c a@b.cd@e.fg", "é_a@b.com"])
+
+
+def test_a_long_run_of_letters_stays_fast(spark):
+    blob = "QUJD" * 250_000
+    df = spark.createDataFrame([(blob + " a@b.com " + blob + "@c.de",)], "text string")
+    row = redact(df, RegexStage([p for p in DEFAULT_PATTERNS if p.label == "EMAIL"])).first()
+    assert row.redacted == blob + " [EMAIL] [EMAIL]"
+
+
 def test_more_matches_than_one_block(spark):
     text = "; ".join(f"u{i}@mail.com, 12.0{i % 9 + 1}.2020" for i in range(900))
     check(spark, [text, "x" * 3000 + " a@b.com " + "y" * 3000])
