@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -170,7 +172,7 @@ def request_payload(spark, sf_dir):
 
 
 @query("request_payload_structured", f"""SELECT doc_id, json_extract_string(body, '$.messages[0].content') AS content, CAST(json_extract(body, '$.response_format.json_schema.schema.required') AS string) AS required
-FROM (SELECT doc_id, json_object('messages', json_array(json_object('content', text)), 'response_format', CAST('{braces(__import__("json").dumps(ANSWER_FORMAT))}' AS json)) AS body FROM {{documents}})""")
+FROM (SELECT doc_id, json_object('messages', json_array(json_object('content', text)), 'response_format', CAST('{braces(json.dumps(ANSWER_FORMAT))}' AS json)) AS body FROM {{documents}})""")
 def request_payload_structured(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
     body = X.payload(F.col("text"), model="m-1", structured=True)

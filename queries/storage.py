@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from queries.preparing import CHAT, EVAL, TRIM, compiled, ranked_sql
+from queries.preparing import EVAL, TRIM, compiled, ranked_sql
 from queries.redaction import DOC_SPANS, REDACTED_SQL, documents
 from queries.registry import query
-from queries.tables import COMPILED, load, table
+from queries.tables import CHAT, COMPILED, load, table
 from reportloom.operators import compiling as C
 from reportloom.operators.evaluation import mean_metrics
 from reportloom.operators.redaction import redact
