@@ -1,11 +1,26 @@
-"""The corpus pipeline: every stage is one of the operators in reportloom.llm, applied to all its predecessor kept."""
+"""The corpus pipeline: every stage is one of the operators in reportloom.llm, applied to all its predecessor kept.
+
+1. language ID: documents without a recognisable language go
+2. SimHash near-duplicates: one document of each group stays
+3. secret scan: secrets are replaced in the texts
+4. mixing: sources are interleaved, and repeated, to their target weights
+5. SentencePiece: the token ids of every document
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reportloom.llm import simhash
-from reportloom.llm.storage import documents, stored
+from reportloom.llm import mixing, rank_order, secrets, simhash, wfst
+from reportloom.llm.queries import MIX_EXPONENT
+from reportloom.llm.storage import documents, public_vocabulary, stored
+
+LEAST_SCORE = 0.1  # share of agreement with the best language's profile below which a text counts as no language
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text has a language; the profiles are learned from all labelled documents of the stage."""
+    return rank_order.accepted(docs, rank_order.learn(docs), LEAST_SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,10 +28,30 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.one_of_each(docs, shingle=4, max_bits=4)
 
 
+def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced; no document goes."""
+    return secrets.mask_secrets(docs)
+
+
+def sources_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the order of the mix, sources repeated up to their weights; no document goes."""
+    return mixing.mixed(docs, mixing.tempered(mixing.source_sizes(docs), MIX_EXPONENT))
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document of the mix."""
+    return wfst.encoded(docs, public_vocabulary("piece_bpe_32k.model"))
+
+
 STAGES = [
+    ("language ID", known_language),
     ("simhash near-dedup", near_duplicates),
+    ("secret scans", secrets_masked),
+    ("mixing to target weights", sources_mixed),
+    ("sentencepiece encoding", token_ids),
 ]
 
+# Fingerprints, profiles and merges are out of reach for SQL; tests hold the result against brute force.
 ORACLE_SQL = None
 
 

@@ -5,13 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reportloom.llm import simhash
-from reportloom.llm.storage import documents
+from reportloom.llm import binary_codes, fertility, mixing, packing, preference, rank_order, secrets, simhash, warc, wfst
+from reportloom.llm.storage import documents, public_vocabulary, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+# Fixed values of the queries' contracts.
+END_ID = 1
+HELD_OUT = 1
+FOLDS = 3
+MIX_EXPONENT = 0.7
+
 
 def query(name: str, sql: str | None = None) -> Callable:
     def add(make: Callable[[SparkSession, str], DataFrame]) -> Callable:
@@ -23,6 +30,98 @@ def query(name: str, sql: str | None = None) -> Callable:
     return add
 
 
+@query("op1_packed_token_files")
+def op1_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.round_trip(documents(spark, sf_dir), public_vocabulary("word_bpe_49k.json"), END_ID)
+
+
+# Every conversation against itself with the last answer of the next one, turn by turn.
+PREFERENCE_SQL = """
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, replace(coalesce(text, ''), '<|im_', '< |im_') AS text FROM conversations),
+answers AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) AS place
+            FROM turns WHERE role = 'assistant'),
+last_answers AS (SELECT * FROM answers WHERE place = 1),
+others AS (
+  SELECT t.conv_id, t.turn, t.role, CASE WHEN l.turn IS NOT NULL THEN o.text ELSE t.text END AS text,
+         l.turn IS NOT NULL AND o.conv_id IS NULL AS gone
+  FROM turns t LEFT JOIN last_answers l ON l.conv_id = t.conv_id AND l.turn = t.turn AND t.role = 'assistant'
+  LEFT JOIN last_answers o ON o.conv_id = t.conv_id + 1),
+sides AS (
+  SELECT 'c' AS side, conv_id, turn, role, text FROM turns
+  UNION ALL SELECT 'r', conv_id, turn, role, text FROM others WHERE NOT gone),
+placed AS (SELECT *, row_number() OVER (PARTITION BY side, conv_id ORDER BY turn, role, text) AS place FROM sides),
+equal AS (
+  SELECT conv_id, place, count(*) = 2 AND min(role) = max(role) AND min(text) = max(text) AS same
+  FROM placed GROUP BY conv_id, place),
+common AS (SELECT conv_id, coalesce(min(place) FILTER (WHERE NOT same) - 1, max(place)) AS n FROM equal GROUP BY conv_id),
+shown AS (
+  SELECT p.conv_id, p.side, p.place, c.n, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS shown,
+         length(role) + 13 || ':0,' || (length(text) + 11) || CASE WHEN role = 'assistant' THEN ':1' ELSE ':0' END AS run
+  FROM placed p JOIN common c ON c.conv_id = p.conv_id)
+SELECT conv_id, max(n) AS n_common,
+       coalesce(string_agg(shown, '' ORDER BY place) FILTER (WHERE side = 'c' AND place <= n), '') AS prompt,
+       coalesce(string_agg(shown, '' ORDER BY place) FILTER (WHERE side = 'c' AND place > n), '') AS chosen,
+       coalesce(string_agg(run, ',' ORDER BY place) FILTER (WHERE side = 'c' AND place > n), '') AS chosen_mask,
+       coalesce(string_agg(shown, '' ORDER BY place) FILTER (WHERE side = 'r' AND place > n), '') AS rejected,
+       coalesce(string_agg(run, ',' ORDER BY place) FILTER (WHERE side = 'r' AND place > n), '') AS rejected_mask
+FROM shown GROUP BY conv_id
+"""
+
+
+@query("op2_preference_pairs", PREFERENCE_SQL)
+def op2_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen, rejected = preference.with_other_answer(table(spark, sf_dir, "conversations"))
+    return preference.preference_rows(chosen, rejected).withColumnRenamed("pair_id", "conv_id")
+
+
+@query("op3_pfair_mix")
+def op3_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return mixing.schedule(docs, mixing.tempered(mixing.source_sizes(docs), MIX_EXPONENT))
+
+
+@query("op4_secret_spans")
+def op4_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"].isin(secrets.BASE_KINDS))
+    return found.select("doc_id", *[_of_kind(kind).alias(f"n_{kind}") for kind in secrets.BASE_KINDS],
+                        F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
+def _of_kind(kind: str):
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
+@query("op5_sentencepiece_ids")
+def op5_sentencepiece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wfst.encoded(documents(spark, sf_dir), public_vocabulary("piece_bpe_32k.model"))
+
+
 @query("op6_simhash_near_duplicates")
 def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=4, max_bits=4)
+
+
+@query("op7_tokeniser_fertility")
+def op7_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fertility.rated(documents(spark, sf_dir), public_vocabulary("piece_bpe_32k.model"))
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select(*first, "n_tokens", *fertility.MEASURES)
+
+
+@query("op8_warc_members")
+def op8_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op9_rank_order_language")
+def op9_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % FOLDS == HELD_OUT
+    docs = documents(spark, sf_dir)
+    profiles = rank_order.learn(docs.where(~F.coalesce(held_out, F.lit(False))))
+    return rank_order.predict(docs, profiles).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_rotated_binary_codes")
+def op10_rotated_binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary_codes.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)

@@ -77,8 +77,19 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
         [pa.array(list(column), f.type) for column, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
+
+
+def public_vocabulary(name: str) -> str:
+    """Path of a vocabulary of the installed package, the same on every machine that has it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def checksum(df: DataFrame, *columns: str) -> tuple[int, int]:
