@@ -52,7 +52,7 @@ def unpack(data: bytes, bits: int, count: int) -> np.ndarray:
     octets = np.zeros((count, 4), np.uint8)
     raw = np.frombuffer(data, np.uint8)
     if bits % 8 == 0:
-        octets[:, :bits // 8] = raw[:count * bits // 8].reshape(count, -1)
+        octets[:, :bits // 8] = raw[:count * bits // 8].reshape(count, bits // 8)
     else:
         wide = np.zeros((count, 32), np.uint8)
         wide[:, :bits] = np.unpackbits(raw, count=count * bits, bitorder="little").reshape(count, bits)
