@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from queries.registry import query
-from queries.tables import NOTES, load, table
+from queries.tables import NOTES, load, spread, table
 from reportloom.fixed_values import PII_PATTERNS
 from reportloom.functions.markup import ENTITIES, HTML_RULES, SPACE_RULES, html_to_text
 from reportloom.functions.pii import DEFAULT_PATTERNS, STRICT_PATTERNS, Pattern, find_spans, with_user_patterns
 from reportloom.functions.text import WHITESPACE, utf8_dropping_bad_bytes, words
 from reportloom.operators import redaction as R
 from reportloom.session import fresh_folder
-from reportloom.sources.readers import spread
 from reportloom.streaming.redaction import count_labels_stream, redact_stream
 
 BY_LABEL = {p.label: p for p in DEFAULT_PATTERNS}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from queries.preparing import compiled, ranked_sql
 from queries.redaction import braces
 from queries.registry import query
-from queries.tables import CASES, COMPILED, load, table
+from queries.tables import CASES, COMPILED, load, spread, table
 from reportloom.fixed_values import ANSWER_FORMAT, FEW_SHOT_PROMPTS, NO_EXAMPLES
 from reportloom.functions import vectors as V
 from reportloom.functions.text import WHITESPACE
@@ -21,7 +21,6 @@ from reportloom.operators.split import train_eval_split
 from reportloom.operators.vector_index import build_index, load_index, save_index
 from reportloom.plans.answering import few_shot_requests
 from reportloom.session import fresh_folder
-from reportloom.sources.readers import spread
 from reportloom.sources.writers import write_splits
 
 K = 5
@@ -45,9 +44,9 @@ DISTANCE = "list_sum(list_transform(list_zip({a}, {b}), lambda z: (CAST(z[1] AS
 
 def top_sql(queries: str, corpus: str, score: str = DOT, order: str = "DESC", k: int = K) -> str:
     """Both sides as SQL giving (query_id | corpus_id, embedding)."""
-    return f"""SELECT query_id, corpus_id, score, rank FROM (
+    return f"""SELECT query_id, corpus_id, round(score, 6) AS score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score {order}, corpus_id) AS rank FROM (
-    SELECT q.query_id, c.corpus_id, round({score.format(a='q.embedding', b='c.embedding')}, 6) AS score FROM ({queries}) q, ({corpus}) c))
+    SELECT q.query_id, c.corpus_id, {score.format(a='q.embedding', b='c.embedding')} AS score FROM ({queries}) q, ({corpus}) c))
 WHERE rank <= {k}"""
 
 
@@ -70,7 +69,7 @@ def nearest_by_distance(spark, sf_dir):
 @query("nearest_in_blocks", top_sql(ALL_QUERIES, ALL_CORPUS))
 def nearest_in_blocks(spark, sf_dir):
     df = vectors(spark, sf_dir)
-    return top_k(as_queries(df), as_corpus(df), K, sent_rows=1, block_rows=200)
+    return top_k(as_queries(df), as_corpus(df), K, block_rows=200)
 
 
 LABEL_VECTORS = """SELECT CAST(label AS bigint) AS corpus_id, list(m ORDER BY i) AS embedding FROM (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from queries.preparing import TRIM
 from queries.registry import query
 from queries.retrieval import COUNTS, EVAL_CASES, EXAMPLES, asked, cases, few_shot_sql, known
-from queries.tables import CHAT, PAIRS, RESPONSES, load, table
+from queries.tables import CHAT, PAIRS, RESPONSES, load, spread, table
 from reportloom.functions import vectors as V
 from reportloom.functions.answers import parse_answer, parse_extraction, parse_redaction
 from reportloom.functions.similarity import (
@@ -19,7 +19,6 @@ from reportloom.operators.fewshot import PromptStyle
 from reportloom.operators.models import encode, score_requests
 from reportloom.plans.answering import evaluate, infer, inference_table, summary
 from reportloom.session import fresh_folder
-from reportloom.sources.readers import spread
 from reportloom.sources.writers import append_log
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from queries.preparing import EVAL, TRIM, compiled, ranked_sql
 from queries.redaction import DOC_SPANS, REDACTED_SQL, documents
 from queries.registry import query
-from queries.tables import CHAT, COMPILED, load, table
+from queries.tables import CHAT, COMPILED, load, spread, table
 from reportloom.operators import compiling as C
 from reportloom.operators.evaluation import mean_metrics
 from reportloom.operators.redaction import redact
@@ -22,7 +22,7 @@ from reportloom.sources import writers as K
 def report_files(spark, sf_dir):
     """One text file per document, below a folder per source."""
     root = fresh_folder(spark, "reports")
-    docs = S.spread(load(spark, sf_dir, "documents").select("source", "text"))
+    docs = spread(load(spark, sf_dir, "documents").select("source", "text"))
     docs.write.partitionBy("source").option("maxRecordsPerFile", 1).text(root)
     return root
 

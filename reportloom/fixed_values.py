@@ -136,7 +136,6 @@ FEW_SHOT_PROMPTS = {
 }
 
 # --- request wordings of our own; only the JSON field names are a fixed format ----------------
-REDACTION_SYSTEM = "Ты скрываешь персональные данные в медицинских текстах и точно следуешь инструкции."
 REDACTION_REQUEST = (
     "Найди в тексте персональные данные и замени каждое вхождение одним из токенов: "
     "[NAME], [DATE], [ADDRESS], [PHONE], [POLICY], [SNILS], [EMAIL]. "

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,16 +10,15 @@ from pyspark.sql import functions as F
 from reportloom.fixed_values import NA_TEXTS, PROMPTS
 from reportloom.functions.modality import folder_modality, modality, modality_hint, path_part
 from reportloom.functions.text import fill, has_text, or_empty, strip
-from reportloom.operators.split import number_rows, three_way_split
+from reportloom.operators.split import number_rows, three_way_split, with_row_number
 
 ORIGIN = ["origin_folder", "modality"]
-MAP_LIMIT = 1000
 
 
 def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError(f"missing column(s) {missing}; present: {df.columns}")
+        raise ValueError(f"the table lacks {', '.join(missing)} among {df.columns}")
     return df
 
 
@@ -59,21 +57,17 @@ def na_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 
 
 def look_up(df: DataFrame, column: str, names: Mapping[str, str] | DataFrame, *, out: str) -> DataFrame:
-    """Replace values found in a dictionary, keep the others.
+    """Replace values found in a dictionary, keep the others; the number of rows stays.
 
-    A mapping becomes a literal; a two-column table (k, v) is joined, and
-    Spark decides from its size whether to broadcast it.
+    A mapping or a two-column table (k, v) is joined, and Spark decides from its size whether to
+    broadcast it. Of several values for one key the smallest counts; NULL keys match nothing.
     """
-    if isinstance(names, DataFrame):
-        table = names.select(F.col(names.columns[0]).alias("__k"), F.col(names.columns[1]).alias("__v"))
-        joined = df.join(table, df[column] == F.col("__k"), "left")
-        return joined.withColumn(out, F.coalesce("__v", column)).drop("__k", "__v")
-    if not names:
-        return df.withColumn(out, F.col(column))
-    if len(names) > MAP_LIMIT:
-        raise ValueError("pass a large dictionary as a table")
-    literal = F.create_map(*[F.lit(x) for x in chain.from_iterable(names.items())])
-    return df.withColumn(out, F.coalesce(literal[F.col(column)], F.col(column)))
+    if not isinstance(names, DataFrame):
+        names = df.sparkSession.createDataFrame(list(names.items()), "k string, v string")
+    table = names.select(F.col(names.columns[0]).alias("__k"), F.col(names.columns[1]).alias("__v"))
+    single = table.groupBy("__k").agg(F.min("__v").alias("__v"))
+    joined = df.join(single, df[column] == F.col("__k"), "left")
+    return joined.withColumn(out, F.coalesce("__v", column)).drop("__k", "__v")
 
 
 def first_filled(*values: Column) -> Column:
@@ -184,7 +178,7 @@ def training_messages(df: DataFrame) -> DataFrame:
 def inference_rows(df: DataFrame, columns: Mapping[str, str] | None = None, *, index: str | None = None) -> DataFrame:
     """Five fixed columns from user-named ones, with fallback names per row.
 
-    ``index`` names the column used where a row has no id of its own.
+    A row without an id gets the column ``index``, or else its number in the table, from 0.
     """
     names = {"id": "id", "organ": "organ", "finding": "finding", "reference": "result_text",
              "modality": "modality", **(columns or {})}
@@ -193,6 +187,9 @@ def inference_rows(df: DataFrame, columns: Mapping[str, str] | None = None, *, i
         present = [F.col(c).cast("string") for c in candidates if c and c in df.columns]
         return F.coalesce(*present, F.lit(""))
 
+    own = names["id"] in df.columns
+    if index is None and (not own or not df.filter(F.col(names["id"]).isNull()).isEmpty()):
+        df, index = with_row_number(df, out="__number"), "__number"
     finding = pick(names["finding"], "finding_text")
     return df.select(
         pick(names["id"], index).alias("id"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reportloom.functions.similarity import (
     edit_similarity, exact_match, has_finding_hit, modality_hit, organ_hit, true_has_finding,
 )
-from reportloom.functions.text import four_decimals, has_text, or_empty
+from reportloom.functions.text import four_decimals, or_empty
 from reportloom.functions.text_scores import COUNT_FIELDS, bleu_of, text_scores
 
 TEXT_METRICS = ["bleu", "rouge", "meteor", "levenshtein", "exact_match"]
@@ -18,8 +18,13 @@ CLASS_METRICS = ["acc_has_finding", "acc_organ", "acc_modality"]
 
 
 def align(references: DataFrame, predictions: DataFrame, *, key: str = "id") -> DataFrame:
-    """References and predictions by key: a table has no positions to pair up by."""
-    return references.join(predictions, key)
+    """References and predictions by key: a table has no positions to pair up by.
+
+    Of several predictions for a key the smallest row counts, so the references are not multiplied.
+    """
+    others = [c for c in predictions.columns if c != key]
+    single = predictions.groupBy(key).agg(F.min(F.struct(*others)).alias("__p")).select(key, *[F.col(f"__p.{c}").alias(c) for c in others])
+    return references.join(single, key)
 
 
 def text_metrics(df: DataFrame, *, reference: str = "reference", prediction: str = "predicted",
@@ -87,7 +92,3 @@ def evaluation_rows(df: DataFrame) -> DataFrame:
 def formatted(df: DataFrame, columns: Sequence[str] = ("bleu", "rouge", "meteor", "acc_organ_cosine")) -> DataFrame:
     """Scores as text with four decimals, for a text sink."""
     return df.withColumns({c: four_decimals(F.col(c)) for c in columns})
-
-
-def rows_to_evaluate(df: DataFrame, *, finding: str = "finding") -> DataFrame:
-    return df.filter(has_text(F.col(finding)))

@@ -16,33 +16,35 @@ from pyspark.sql import types as T
 from reportloom.functions.vectors import unit
 
 ENCODE_BATCH = 64
+SCORE_BATCH = 64
 
 
 def score_requests(df: DataFrame, make_scorer: Callable[[], Callable[[Sequence[str]], Sequence[str]]], *,
-                   prompt: str = "prompt") -> DataFrame:
+                   prompt: str = "prompt", batch_size: int = SCORE_BATCH) -> DataFrame:
     """Add ``content``, ``status`` and ``error`` from a scorer over prompts.
 
-    ``make_scorer`` runs once per task. When a batch fails its rows are tried one by
-    one; a row that fails keeps NULL content and status ``failed``. Only the prompt
-    column travels to Python.
+    ``make_scorer`` runs once per task and gets ``batch_size`` prompts at a time. A batch that fails
+    is halved until the failing prompts stand alone, so one costs two calls per halving at most; such
+    a row keeps NULL content and status ``failed``. Only the prompt column travels to Python.
     """
 
-    def one(scorer: Callable, text: str) -> tuple:
+    def answers(scorer: Callable, texts: list) -> list[tuple]:
         try:
-            return scorer([text])[0], "ok", None
+            found = [(answer, "ok", None) for answer in scorer(texts)]
+            if len(found) != len(texts):
+                raise ValueError("the scorer must return one answer per prompt")
+            return found
         except Exception as problem:  # a failed request is a row, not a failed job
-            return None, "failed", f"{type(problem).__name__}: {problem}"
+            if len(texts) == 1:
+                return [(None, "failed", f"{type(problem).__name__}: {problem}")]
+            half = len(texts) // 2
+            return answers(scorer, texts[:half]) + answers(scorer, texts[half:])
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
         for prompts in batches:
             texts = list(prompts)
-            try:
-                rows = [(answer, "ok", None) for answer in scorer(texts)]
-                if len(rows) != len(texts):
-                    raise ValueError("the scorer must return one answer per prompt")
-            except Exception:
-                rows = [one(scorer, text) for text in texts]
+            rows = [row for at in range(0, len(texts), batch_size) for row in answers(scorer, texts[at:at + batch_size])]
             yield pd.DataFrame(rows, columns=["content", "status", "error"])
 
     score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}

@@ -1,25 +1,24 @@
 """Exact top-k similarity join of two vector tables.
 
-No pair leaves a task except the k best of each query there. A query side
-of proven small size is sent to all tasks and the other side is only scanned;
-beyond that size both sides are cut into even blocks by the hash of their id
-and every block pair is one bounded group.
+Both sides are cut into even blocks by the hash of their id and every pair of blocks is one bounded group: the same
+plan at every size, only the number of blocks follows from the row counts. No pair leaves a task except the k best of
+each query there; these are merged over groups of corpus blocks first, then per query.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SENT_ROWS, SENT_BYTES = 10_000, 64 * 1024 * 1024  # largest query side sent to every task
+from reportloom.session import fresh_folder
+
 BLOCK_ROWS, BLOCK_BYTES = 50_000, 64 * 1024 * 1024  # largest block of either side
-CELLS = 4_000_000  # scores held at once in a task
-DIGITS = 6  # scores are rounded before ranking, ties go to the smaller id
+MERGED_BLOCKS = 64  # corpus blocks whose results for a query are merged first
+CELLS = 2_000_000  # scores held at once in a task
+DIGITS = 6  # of the scores given out; ranks use the full ones, ties go to the smaller id
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -27,11 +26,14 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
         return np.empty((0, 0))
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks)
+    sizes = np.unique(column.value_lengths().to_numpy(zero_copy_only=False))
+    if len(sizes) > 1:
+        raise ValueError(f"vectors of different lengths: {sizes.tolist()}")
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _ids(column: pa.Array) -> np.ndarray:
-    return column.to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.to_numpy()
+def _ids(column: pa.ChunkedArray) -> np.ndarray:
+    return column.to_numpy()
 
 
 def _keep_best(q: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int, largest: bool):
@@ -42,61 +44,75 @@ def _keep_best(q: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int, larges
     return q[within < k], ids[within < k], score[within < k]
 
 
+def _candidates(queries: np.ndarray, part: np.ndarray, k: int, largest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query row, vector row) that can be among the k best, by a fast score and a bound of its error."""
+    sizes = (queries**2).sum(1)[:, None] + (part**2).sum(1)[None, :]
+    product = queries @ part.T
+    cost = -product if largest else sizes - 2.0 * product
+    error = 4 * (queries.shape[1] + 4) * np.finfo(float).eps * sizes
+    if cost.shape[1] <= k:
+        return np.nonzero(np.ones_like(cost, dtype=bool))
+    border = np.partition(cost + error, k - 1, axis=1)[:, k - 1][:, None]
+    return np.nonzero(cost - error <= border)
+
+
+def _scores(queries: np.ndarray, part: np.ndarray, row: np.ndarray, col: np.ndarray, largest: bool) -> np.ndarray:
+    """Scores of single pairs, the same for equal vectors wherever they stand; distances from differences."""
+    out, step = np.empty(len(row)), max(1, CELLS // max(1, queries.shape[1]))
+    for lo in range(0, len(row), step):
+        a, b = queries[row[lo:lo + step]], part[col[lo:lo + step]]
+        out[lo:lo + step] = (a * b).sum(1) if largest else ((a - b) ** 2).sum(1)
+    return out
+
+
 def _best_in_block(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, largest: bool):
     """The k best ids per query row, worked off in slices of bounded size."""
+    if queries.shape[1] != vectors.shape[1]:
+        raise ValueError(f"queries have {queries.shape[1]} dimensions, the corpus {vectors.shape[1]}")
     best = (np.empty(0, np.int64), ids[:0], np.empty(0))
     step = max(1, CELLS // max(1, len(queries)))
     for lo in range(0, len(vectors), step):
         part = vectors[lo:lo + step]
-        if largest:
-            score = queries @ part.T
-        else:
-            score = (queries**2).sum(1)[:, None] + (part**2).sum(1)[None, :] - 2.0 * (queries @ part.T)
-            np.maximum(score, 0.0, out=score)
-        score = np.round(score, DIGITS) + 0.0
-        if score.shape[1] > k:
-            at = score.shape[1] - k if largest else k - 1
-            border = np.partition(score, at, axis=1)[:, at][:, None]
-            row, col = np.nonzero(score >= border if largest else score <= border)
-        else:
-            row, col = np.nonzero(np.ones_like(score, dtype=bool))
-        found = (row, ids[lo + col], score[row, col])
+        row, col = _candidates(queries, part, k, largest)
+        found = (row, ids[lo + col], _scores(queries, part, row, col, largest))
         best = _keep_best(*(np.concatenate(pair) for pair in zip(best, found)), k, largest)
     return best
 
 
-def _output(schema: pa.Schema, query_ids: np.ndarray, best) -> pa.Table:
-    q, ids, score = best
-    columns = [pa.array(query_ids[q], schema.field(0).type), pa.array(ids, schema.field(1).type), pa.array(score)]
-    return pa.Table.from_arrays(columns, schema=schema)
+def _finite(vector: str) -> Column:
+    number = lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf"))
+    return F.col(vector).isNotNull() & F.forall(vector, number)
+
+
+def _side(df: DataFrame, id_: str, vector: str, out: str) -> DataFrame:
+    """Ids and finite vectors, written once: a side that an encoder makes is made once."""
+    picked = df.select(F.col(id_).alias(f"{out}_id"), F.col(vector).alias(f"{out}_vec"))
+    folder = fresh_folder(df.sparkSession, "vectors")
+    picked.filter(F.col(f"{out}_id").isNotNull() & _finite(f"{out}_vec")).write.parquet(folder)
+    return df.sparkSession.read.schema(picked.schema).parquet(folder)
 
 
 def top_k(queries: DataFrame, corpus: DataFrame, k: int = 5, *, query_id: str = "query_id",
           corpus_id: str = "corpus_id", query_vector: str = "embedding", corpus_vector: str = "embedding",
-          normalized: bool = True, sent_rows: int = SENT_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+          normalized: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, corpus_id, score, rank) of the k nearest corpus rows per query.
 
     Inner product, largest first, on normalised vectors; squared distance, smallest
-    first, otherwise. Fewer than k corpus rows give fewer results. Rows without a
-    vector take no part; all others must have one dimension.
+    first, otherwise. Fewer than k corpus rows give fewer results. Rows without an id or a
+    vector, or with a NULL or non-finite number in it, take no part; all others must have one dimension.
     """
-    left = queries.select(F.col(query_id).alias("q_id"), F.col(query_vector).alias("q_vec")).dropna()
-    right = corpus.select(F.col(corpus_id).alias("c_id"), F.col(corpus_vector).alias("c_vec")).dropna()
-    schema = T.StructType([
-        T.StructField("q_id", left.schema["q_id"].dataType),
-        T.StructField("c_id", right.schema["c_id"].dataType),
-        T.StructField("score", T.DoubleType()),
-    ])
-    head = left.limit(sent_rows + 1).toArrow()
-    if head.num_rows <= sent_rows and head.nbytes <= SENT_BYTES:
-        found = _by_sending(head, right, k, normalized, schema)
-    else:
-        dimensions = max(1, len(head["q_vec"][0]))
-        found = _by_blocks(left, right, k, normalized, schema, max(1, min(block_rows, BLOCK_BYTES // (8 * dimensions))))
+    left, right = _side(queries, query_id, query_vector, "q"), _side(corpus, corpus_id, corpus_vector, "c")
+    longest = right.agg(F.max(F.size("c_vec"))).first()[0] or 1
+    rows = max(1, min(block_rows, BLOCK_BYTES // (8 * longest)))
+    found = _by_blocks(left, right, k, normalized, [max(1, -(-df.count() // rows)) for df in (left, right)])
     better = F.col("score").desc() if normalized else F.col("score").asc()
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("q_id").orderBy(better, "c_id")))
-    return ranked.filter(F.col("rank") <= k).select(
-        F.col("q_id").alias(query_id), F.col("c_id").alias(corpus_id), "score", "rank"
+
+    def best(rows: DataFrame, *group: str) -> DataFrame:
+        ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(better, "c_id")))
+        return ranked.filter(F.col("rank") <= k)
+
+    return best(best(found, "q_id", "merged").drop("rank"), "q_id").select(
+        F.col("q_id").alias(query_id), F.col("c_id").alias(corpus_id), F.round("score", DIGITS).alias("score"), "rank"
     )
 
 
@@ -106,42 +122,27 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def _by_sending(head: pa.Table, corpus: DataFrame, k: int, largest: bool, schema: T.StructType) -> DataFrame:
-    sent = corpus.sparkSession.sparkContext.broadcast((_ids(head["q_id"]), _matrix(head["q_vec"])))
-    arrow = _arrow_schema(schema)
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, matrix = sent.value
-        best = None
-        for batch in batches:
-            if not batch.num_rows or not len(query_ids):
-                continue
-            found = _best_in_block(matrix, _matrix(batch["c_vec"]), _ids(batch["c_id"]), k, largest)
-            best = found if best is None else _keep_best(
-                *(np.concatenate(pair) for pair in zip(best, found)), k, largest
-            )
-        if best is not None:
-            yield from _output(arrow, query_ids, best).to_batches(max_chunksize=10_000)
-
-    return corpus.mapInArrow(search, schema)
-
-
-def _by_blocks(left: DataFrame, right: DataFrame, k: int, largest: bool, schema: T.StructType,
-               block_rows: int) -> DataFrame:
-    blocks = [max(1, -(-df.count() // block_rows)) for df in (left, right)]
+def _by_blocks(left: DataFrame, right: DataFrame, k: int, largest: bool, blocks: list[int]) -> DataFrame:
+    """(q_id, c_id, score, merged): the k best of every pair of blocks."""
 
     def cut(df: DataFrame, id_: str, mine: str, n_mine: int, other: str, n_other: int) -> DataFrame:
         return df.withColumn(mine, F.pmod(F.xxhash64(id_), F.lit(n_mine)).cast("int")).withColumn(
             other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
         )
 
+    schema = T.StructType([
+        T.StructField("q_id", left.schema["q_id"].dataType), T.StructField("c_id", right.schema["c_id"].dataType),
+        T.StructField("score", T.DoubleType()), T.StructField("merged", T.IntegerType()),
+    ])
     arrow = _arrow_schema(schema)
 
     def search(q: pa.Table, c: pa.Table) -> pa.Table:
         if not q.num_rows or not c.num_rows:
             return arrow.empty_table()
-        best = _best_in_block(_matrix(q["q_vec"]), _matrix(c["c_vec"]), _ids(c["c_id"]), k, largest)
-        return _output(arrow, _ids(q["q_id"]), best)
+        row, ids, score = _best_in_block(_matrix(q["q_vec"]), _matrix(c["c_vec"]), _ids(c["c_id"]), k, largest)
+        merged = np.full(len(row), c["c_block"][0].as_py() // MERGED_BLOCKS, np.int32)
+        columns = [pa.array(_ids(q["q_id"])[row], arrow.field(0).type), pa.array(ids, arrow.field(1).type), pa.array(score), pa.array(merged)]
+        return pa.Table.from_arrays(columns, schema=arrow)
 
     queries = cut(left, "q_id", "q_block", blocks[0], "c_block", blocks[1])
     corpus = cut(right, "c_id", "c_block", blocks[1], "q_block", blocks[0])

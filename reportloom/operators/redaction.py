@@ -78,16 +78,16 @@ def apply_chunk_responses(df: DataFrame, responses: DataFrame, *, key: str, text
     """Add ``redacted`` and ``spans`` from model responses to the chunks of each text.
 
     ``responses`` holds (key, chunk_no, content). Spans move by their chunk's start. A
-    chunk without a response, or whose response lacks a text, stays as it was. Responses
+    chunk without a response, or whose response lacks a text, stays as it was. Of several
+    responses to a chunk the last in order of their text counts. Responses
     are gathered per text, at most one per chunk, and meet the text in one join; the
     chunks are cut again in the row and never shuffled.
     """
     answer = parse_redaction(F.col(content))
-    listed = F.sort_array(F.collect_list(F.struct("chunk_no", answer.alias("answer"))))
-    last_ones = F.filter("listed", lambda e, i: ~F.coalesce(F.get(F.col("listed"), i + 1)["chunk_no"] == e["chunk_no"], F.lit(False)))
-    answers = (
-        responses.filter(F.col(content).isNotNull()).groupBy(key).agg(listed.alias("listed"))
-        .select(key, F.map_from_entries(last_ones).alias("__answers"))
+    given = responses.filter(F.col(content).isNotNull() & F.col(key).isNotNull())
+    single = given.groupBy(key, "chunk_no").agg(F.max(content).alias(content))
+    answers = single.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("chunk_no", answer.alias("answer")))).alias("__answers")
     )
 
     def settled(chunk: Column, i: Column) -> Column:

@@ -29,9 +29,11 @@ def extraction_requests(reports: DataFrame, *, content: str = "content") -> Data
 def extracted_pairs(reports: DataFrame, responses: DataFrame, *, key: str, content: str = "content") -> DataFrame:
     """(finding, file_name, result, folder, status) per report.
 
-    A report whose call failed stays, with empty fields and status ``failed``.
+    A report whose call failed stays, with empty fields and status ``failed``. Of several answers to
+    a report the last in order of their text counts.
     """
-    joined = reports.join(responses.select(key, F.col(content).alias("__answer")), key, "left")
+    single = responses.groupBy(key).agg(F.max(content).alias("__answer"))
+    joined = reports.join(single, key, "left")
     return joined.withColumn("__pair", parse_extraction(F.col("__answer"))).select(
         key,
         or_empty(F.col("__pair.finding")).alias("finding"),

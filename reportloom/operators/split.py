@@ -2,7 +2,8 @@
 
 Rows are ordered by ``md5(seed:key)``. A histogram over the hash's first digits
 tells which few buckets hold the borders; only those buckets are ranked. The
-split itself is then a comparison with the border values in each row.
+split itself is then a comparison with the border values in each row. Rows whose key
+is NULL or repeated get a number of their own behind it, so they spread like all others.
 """
 
 from __future__ import annotations
@@ -12,7 +13,51 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reportloom.session import fresh_folder
+
 HEX_DIGITS = 4  # 65,536 buckets: the histogram stays small, a bucket holds n/65,536 rows
+MOST_DIGITS = 5  # about a million histogram rows, the most that are summed in one task and broadcast
+LOW_BITS = 33  # of Spark's increasing ids: the row within its partition
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    folder = fresh_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def with_row_id(df: DataFrame, *, out: str = "row_id") -> DataFrame:
+    """The rows, written once, with a unique number each: it stays the same however often they are read."""
+    return _written(df.withColumn(out, F.monotonically_increasing_id()), "rows")
+
+
+def with_row_number(df: DataFrame, *, out: str = "row_number") -> DataFrame:
+    """Rows numbered from 0 in the order they are read in; no sort, partitions are shifted by those before."""
+    rows = with_row_id(df, out="__id")
+    part = F.shiftright("__id", LOW_BITS)
+    sizes = rows.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per partition of the input.
+    before = F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    shifted = rows.withColumn("__part", part).join(F.broadcast(sizes.select("__part", before.alias("__before"))), "__part")
+    within = F.col("__id").bitwiseAND(F.lit((1 << LOW_BITS) - 1))
+    return shifted.withColumn(out, F.col("__before") + within).drop("__id", "__part", "__before")
+
+
+def with_own_key(df: DataFrame, *, key: str, keys: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows with a text ``__key`` that no other row has, and a table of these keys alone.
+
+    It is ``key`` itself, or, where that is NULL or repeated, with a row number; only then are the rows written.
+    ``keys`` may give the key column as a table of its own.
+    """
+    counted = (df if keys is None else keys).groupBy(F.col(key).alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+    shared = _written(counted.filter((F.col("__n") > 1) | F.col("__k").isNull()).drop("__n"), "shared-keys")
+    plain = F.col(key).cast("string")
+    if shared.isEmpty():
+        return df.withColumn("__key", plain), (df if keys is None else keys).select(plain.alias("__key"))
+    rows = with_row_id(df, out="__id").join(shared.withColumn("__shared", F.lit(True)), F.col(key).eqNullSafe(F.col("__k")), "left")
+    numbered = F.concat(F.coalesce(plain, F.lit("")), F.lit("#"), F.col("__id"))
+    own = rows.withColumn("__key", F.when(F.col("__shared"), numbered).otherwise(plain)).drop("__id", "__k", "__shared")
+    return own, own.select("__key")
 
 
 def order_hash(key: Column, seed: int) -> Column:
@@ -21,6 +66,8 @@ def order_hash(key: Column, seed: int) -> Column:
 
 def _histogram(df: DataFrame, key: str, seed: int, digits: int) -> DataFrame:
     """(bucket, rows, upto, total): at most ``16 ** digits`` rows, so one task may sum them up."""
+    if not 1 <= digits <= MOST_DIGITS:
+        raise ValueError(f"digits must lie in 1..{MOST_DIGITS}")
     counts = df.groupBy(F.substring(order_hash(F.col(key), seed), 1, digits).alias("__bucket")).agg(
         F.count("*").alias("rows")
     )
@@ -36,11 +83,13 @@ def assign_by_rank(df: DataFrame, sizes: Sequence[tuple[str, Column]], *, key: s
                    keys: DataFrame | None = None) -> DataFrame:
     """Label rows in hash order: the first ``sizes[0]`` rows, the next ``sizes[1]``, ..., then ``rest``.
 
-    A size is an expression over the row count ``total``. With a unique ``key`` the sizes are
-    exact; rows of one key always stay together. ``key`` must not be NULL. ``keys`` may give the
-    key column of ``df`` as a table of its own, which is cheaper to read twice.
+    A size is an expression over the row count ``total``. Sizes are exact whatever the keys are;
+    rows of one key may come apart. ``keys`` may give the key column of ``df`` as a table of its
+    own, which is cheaper to read twice.
     """
-    keys = df if keys is None else keys
+    columns = df.columns
+    df, keys = with_own_key(df, key=key, keys=keys)
+    key = "__key"
     totals = _histogram(keys, key, seed, digits)
     borders = []
     upto = F.lit(0).cast("bigint")
@@ -57,17 +106,15 @@ def assign_by_rank(df: DataFrame, sizes: Sequence[tuple[str, Column]], *, key: s
     near = hashed.withColumn("__bucket", F.substring("h", 1, digits)).join(
         F.broadcast(holding), "__bucket"
     )
-    # Equal keys count as one row here, so a frequent key cannot overload the ranking.
-    counted = near.groupBy("label", "rank", "h", "k").agg(F.count("*").alias("n"))
-    so_far = Window.partitionBy("label").orderBy("h", "k").rowsBetween(Window.unboundedPreceding, 0)
-    cuts = counted.withColumn("upto", F.sum("n").over(so_far)).filter(F.col("upto") >= F.col("rank"))
+    place = F.row_number().over(Window.partitionBy("label").orderBy("h", "k"))
+    cuts = near.withColumn("upto", place).filter(F.col("upto") >= F.col("rank"))
     here = F.struct(order_hash(F.col(key), seed).alias("h"), F.col(key).alias("k"))
     cut_of = {label: F.min(F.when(F.col("label") == label, F.struct("h", "k"))).alias(label) for label, _ in sizes}
     cut = cuts.agg(*cut_of.values()).select(F.struct(*cut_of)).scalar()
     assigned = F.lit(rest)
     for label, _ in reversed(sizes):
         assigned = F.when(F.coalesce(here <= cut[label], F.lit(False)), label).otherwise(assigned)
-    return df.withColumn(out, assigned)
+    return df.withColumn(out, assigned).select(*[F.col(f"`{c}`") for c in columns if c != out], out)
 
 
 def three_way_split(df: DataFrame, *, key: str, first: float = 0.2, second: float = 0.4, seed: int = 42,
@@ -99,16 +146,18 @@ def number_rows(df: DataFrame, *, key: str, seed: int = 42, out: str = "orig_ind
     """Dense numbers from 0 in hash order.
 
     Every bucket is ranked by itself and shifted by the rows before it. A bucket holds about
-    n / 16**digits rows, which sort in one task.
+    n / 16**digits rows, which sort in one task. Rows with a NULL or repeated key count like all others.
     """
-    shifts = _histogram(df, key, seed, digits).select("__bucket", (F.col("upto") - F.col("rows")).alias("__before"))
+    df, keys = with_own_key(df, key=key)
+    key = "__key"
+    shifts = _histogram(keys, key, seed, digits).select("__bucket", (F.col("upto") - F.col("rows")).alias("__before"))
     hashed = df.withColumn("__h", order_hash(F.col(key), seed)).withColumn("__bucket", F.substring("__h", 1, digits))
     ranked = hashed.withColumn(
         "__n", F.row_number().over(Window.partitionBy("__bucket").orderBy("__h", F.col(key))) - 1
     )
     # at most 16 ** digits rows
     joined = ranked.join(F.broadcast(shifts), "__bucket")
-    return joined.withColumn(out, F.col("__before") + F.col("__n")).drop("__h", "__n", "__before", "__bucket")
+    return joined.withColumn(out, F.col("__before") + F.col("__n")).drop("__h", "__n", "__before", "__bucket", "__key")
 
 
 def split_sizes(df: DataFrame, *, split: str = "split") -> DataFrame:

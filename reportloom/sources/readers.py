@@ -20,12 +20,6 @@ CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "
                "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of an input too small for all cores, dealt out to them; large inputs stay as they are."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
-
-
 def _plain_path(path: Column) -> Column:
     return F.regexp_replace(path, r"^file:/+", "/")
 
@@ -129,6 +123,6 @@ def read_splits(spark: SparkSession, path: str | None = None, *, train: str | No
     """Train and eval tables from a table folder partitioned by ``split`` or from JSONL files."""
     if path:
         table = spark.read.parquet(path)
-        present = {r["split"] for r in table.select("split").distinct().limit(10).collect()}
-        return {s: table.filter(F.col("split") == s).drop("split") for s in ("train", "eval") if s in present}
+        parts = {s: table.filter(F.col("split") == s).drop("split") for s in ("train", "eval")}
+        return {s: part for s, part in parts.items() if not part.isEmpty()}
     return {name: read_jsonl(spark, p) for name, p in (("train", train), ("eval", eval_)) if p}

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom.fixed_values import RESULT_COLUMNS
-from reportloom.operators.compiling import usable_pairs
 from reportloom.operators.redaction import counts_by_label, failures, totals
 
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "emptyValue": "",
@@ -79,10 +78,3 @@ def append_log(df: DataFrame, folder: str, *, run_id: str) -> None:
 
 def write_summary(one_row: DataFrame, folder: str) -> None:
     one_row.write.mode("overwrite").json(folder)
-
-
-def write_chat_files(df: DataFrame, folder: str, *, split: str = "split") -> None:
-    """Chat messages per split as JSONL below ``split=...`` folders; replaces older parts."""
-    usable = df if "messages" in df.columns else usable_pairs(df)
-    usable.select("messages", F.col(split).alias("split")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static").partitionBy("split").json(folder)

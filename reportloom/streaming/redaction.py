@@ -22,7 +22,7 @@ def count_labels_stream(arriving: DataFrame, target: str, checkpoint: str, stage
     """Keep a table of running counts by label. The state holds one row per label."""
 
     def replace(counts: DataFrame, _: int) -> None:
-        counts.coalesce(1).write.mode("overwrite").parquet(target)
+        counts.repartition(1).write.mode("overwrite").parquet(target)
 
     return (
         counts_by_label(redact(arriving, stage, text=text)).writeStream.outputMode("complete")

@@ -7,7 +7,7 @@ from reportloom.operators.models import encode, score_requests
 from reportloom.operators.neighbours import top_k
 from reportloom.operators.vector_index import build_index, load_index, save_index
 
-SENT, BLOCKS = {}, {"sent_rows": 1, "block_rows": 17}
+WHOLE, BLOCKS = {}, {"block_rows": 17}
 
 
 def tables(spark, q, c, ids=int):
@@ -26,7 +26,7 @@ def brute(q, c, k, normalized):
     return out
 
 
-@pytest.mark.parametrize("way", [SENT, BLOCKS], ids=["sent", "blocks"])
+@pytest.mark.parametrize("way", [WHOLE, BLOCKS], ids=["whole", "blocks"])
 @pytest.mark.parametrize("normalized", [True, False])
 @pytest.mark.parametrize("k", [1, 5, 500])
 def test_equals_brute_force(spark, way, normalized, k):
@@ -36,7 +36,7 @@ def test_equals_brute_force(spark, way, normalized, k):
     assert {(r.query_id, r.corpus_id, r["rank"], round(r.score, 6)) for r in got.collect()} == brute(q, c, k, normalized)
 
 
-@pytest.mark.parametrize("way", [SENT, BLOCKS], ids=["sent", "blocks"])
+@pytest.mark.parametrize("way", [WHOLE, BLOCKS], ids=["whole", "blocks"])
 def test_a_third_of_the_corpus_is_one_vector(spark, way):
     c = np.vstack([np.ones((60, 4)), np.random.default_rng(1).normal(size=(120, 4))])
     q = np.ones((30, 4))
@@ -44,7 +44,7 @@ def test_a_third_of_the_corpus_is_one_vector(spark, way):
     assert {(r.query_id, r.corpus_id, r["rank"], r.score) for r in got.collect()} == {(i, j, j + 1, 0.0) for i in range(30) for j in range(3)}
 
 
-@pytest.mark.parametrize("way", [SENT, BLOCKS], ids=["sent", "blocks"])
+@pytest.mark.parametrize("way", [WHOLE, BLOCKS], ids=["whole", "blocks"])
 def test_text_ids_nulls_and_empty_sides(spark, way):
     q, c = np.eye(3), np.eye(3)[::-1]
     queries, corpus = tables(spark, q, c, ids=lambda i: f"v{i}")
@@ -56,7 +56,7 @@ def test_text_ids_nulls_and_empty_sides(spark, way):
 
 def test_no_pairwise_join_in_the_plan(spark):
     queries, corpus = tables(spark, np.eye(3), np.eye(3))
-    for way in (SENT, BLOCKS):
+    for way in (WHOLE, BLOCKS):
         plan = top_k(queries, corpus, 2, **way)._jdf.queryExecution().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
