@@ -13,7 +13,7 @@ from reportloom.functions.text import WHITESPACE, has_text
 from reportloom.operators import compiling as C
 from reportloom.operators import redaction as R
 from reportloom.operators import reports as P
-from reportloom.operators.split import number_rows, split_sizes, three_way_split, train_eval_split
+from reportloom.operators.split import number_rows, split_sizes, three_way_split, train_eval_split, with_row_number
 from reportloom.plans.prepare import prepare
 
 TRIM = f"'{WHITESPACE}'"
@@ -256,6 +256,36 @@ def rows_numbered(spark, sf_dir):
     return number_rows(load(spark, sf_dir, "events").select("event_id"), key="event_id")
 
 
+# Keys that are NULL or shared: sizes stay exact and no row is lost.
+WORN_KEYS = """SELECT event_id, CASE WHEN event_id % 10 < 3 THEN NULL WHEN event_id % 10 < 6 THEN 7 ELSE event_id END AS k FROM {events}"""
+SIZES_SQL = f"SELECT {{cases}} AS split, count(*) AS n FROM (SELECT row_number() OVER () - 1 AS pos, count(*) OVER () AS total FROM {{{{events}}}}) GROUP BY 1"
+
+
+@query("split_with_null_keys", SIZES_SQL.format(cases=SHARE))
+def split_with_null_keys(spark, sf_dir):
+    rows = table(spark, sf_dir, WORN_KEYS).withColumn("k", F.when(F.col("k") != 7, F.col("k")))
+    return split_sizes(three_way_split(rows, key="k"))
+
+
+@query("split_with_repeated_keys", SIZES_SQL.format(cases=EVAL))
+def split_with_repeated_keys(spark, sf_dir):
+    return split_sizes(train_eval_split(table(spark, sf_dir, WORN_KEYS), key="k"))
+
+
+@query("rows_numbered_with_null_keys", "SELECT event_id, CAST(row_number() OVER (ORDER BY event_id) - 1 AS bigint) AS number FROM {events}")
+def rows_numbered_with_null_keys(spark, sf_dir):
+    numbered = number_rows(table(spark, sf_dir, WORN_KEYS), key="k")
+    ids = number_rows(numbered.select("event_id"), key="event_id", out="number").select("event_id")
+    places = numbered.select(F.col("orig_index").alias("number"))
+    return with_row_number(ids.join(numbered.select("event_id"), "event_id").orderBy("event_id"), out="number").join(places, "number").select("event_id", "number")
+
+
+@query("organs_joined_repeated_key", f"SELECT c.row_id, coalesce(m.v, c.origin_folder) AS organ FROM ({COMPILED}) c LEFT JOIN (SELECT source AS k, min(lang) AS v FROM {{documents}} WHERE lang <> 'en' GROUP BY source) m ON m.k = c.origin_folder")
+def organs_joined_repeated_key(spark, sf_dir):
+    names = load(spark, sf_dir, "documents").filter("lang <> 'en'").select(F.col("source").alias("k"), F.col("lang").alias("v"))
+    return C.look_up(compiled(spark, sf_dir).select("row_id", "origin_folder"), "origin_folder", names, out="organ").drop("origin_folder")
+
+
 # ---- prompts and messages -------------------------------------------------------------------------
 HINT_SQL = f"CASE WHEN contains(coalesce(finding, ''), 'МР') THEN '{MR}' ELSE '{CT}' END"
 

@@ -17,7 +17,7 @@ from reportloom.functions.text import WHITESPACE
 from reportloom.operators import fewshot as X
 from reportloom.operators.models import encode, encode_offline, fit_offline_encoder
 from reportloom.operators.neighbours import top_k
-from reportloom.operators.split import train_eval_split
+from reportloom.operators.split import train_eval_split, with_row_number
 from reportloom.operators.vector_index import build_index, load_index, save_index
 from reportloom.plans.answering import few_shot_requests
 from reportloom.session import fresh_folder
@@ -235,3 +235,43 @@ def index_leaves_out_eval_rows(spark, sf_dir):
     kept = known(df).select("corpus_id")
     leaked = kept.join(asked(df).select(F.col("id").alias("corpus_id")), "corpus_id", "left_semi").withColumn("l", F.lit(1))
     return kept.join(leaked, "corpus_id", "left").agg(F.count("l").alias("leaked"), F.count("*").alias("kept"))
+
+
+# ---- rows that need care ---------------------------------------------------------------------------
+WITH_NAN = """SELECT vec_id AS {0}, CASE WHEN vec_id % 7 = 0 THEN NULL ELSE embedding END AS embedding FROM {{embeddings}}"""
+FAR = "SELECT vec_id AS {0}, list_transform(embedding, lambda x: CAST(x AS double) + 1000000) AS embedding FROM {{embeddings}}"
+
+
+@query("nearest_with_nan", top_sql(WITH_NAN.format("query_id"), WITH_NAN.format("corpus_id") + " WHERE vec_id % 7 <> 0").replace("WHERE rank <= 5", "WHERE rank <= 5 AND score IS NOT NULL"))
+def nearest_with_nan(spark, sf_dir):
+    broken = F.transform("embedding", lambda x, i: F.when(i == 3, F.lit(float("nan"))).otherwise(x))
+    df = vectors(spark, sf_dir).withColumn("embedding", F.when(F.col("vec_id") % 7 == 0, broken).otherwise(F.col("embedding")))
+    return top_k(as_queries(df), as_corpus(df), K)
+
+
+@query("nearest_by_distance_long_vectors", top_sql(FAR.format("query_id"), FAR.format("corpus_id"), DISTANCE, "ASC"))
+def nearest_by_distance_long_vectors(spark, sf_dir):
+    df = vectors(spark, sf_dir).withColumn("embedding", F.transform("embedding", lambda x: x.cast("double") + 1e6))
+    return top_k(as_queries(df), as_corpus(df), K, normalized=False)
+
+
+TWO_EXAMPLES = EXAMPLES.replace(" GROUP BY query_id", " WHERE rank <= 2 GROUP BY query_id")
+
+
+@query("few_shot_two_of_five", f"SELECT row_id AS id, md5({few_shot_sql(False, True, 'x.examples')}) AS prompt_md5 FROM ({EVAL_CASES}) e JOIN ({TWO_EXAMPLES}) x ON x.query_id = e.row_id")
+def few_shot_two_of_five(spark, sf_dir):
+    df = cases(spark, sf_dir)
+    made = few_shot_requests(asked(df), known(df), k=K, style=X.PromptStyle(max_examples=2))
+    return made.select("id", F.md5("prompt").alias("prompt_md5"))
+
+
+@query("rows_without_id_retrieved", "SELECT count(*) AS n, count(*) AS ids, CAST(min(vec_id) AS bigint) AS first_id, CAST(max(vec_id) AS bigint) AS last_id, count(*) * 5 AS neighbours FROM {embeddings}")
+def rows_without_id_retrieved(spark, sf_dir):
+    df = vectors(spark, sf_dir)
+    numbered = with_row_number(df.select("embedding"), out="query_id")
+    near = top_k(numbered, as_corpus(df), K)
+    asked_ = numbered.select("query_id", F.lit(0).alias("neighbours")).unionByName(near.select("query_id", F.lit(1).alias("neighbours")))
+    return asked_.agg(
+        F.count_if(F.col("neighbours") == 0).alias("n"), F.count_distinct("query_id").alias("ids"),
+        F.min("query_id").alias("first_id"), F.max("query_id").alias("last_id"), F.sum("neighbours").alias("neighbours"),
+    )

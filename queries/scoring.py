@@ -17,6 +17,7 @@ from reportloom.functions.text_scores import text_scores
 from reportloom.operators import evaluation as E
 from reportloom.operators.fewshot import PromptStyle
 from reportloom.operators.models import encode, score_requests
+from reportloom.operators.overlap import equal_word_scores
 from reportloom.plans.answering import evaluate, infer, inference_table, summary
 from reportloom.session import fresh_folder
 from reportloom.sources.writers import append_log
@@ -90,7 +91,7 @@ def _tokens_sql(column: str) -> str:
     for old, new in [("<skipped>", "''"), ("-' || chr(10) || '", "''"), ("' || chr(10) || '", "' '"), ("&quot;", "chr(34)"), ("&amp;", "'&'"), ("&lt;", "'<'"), ("&gt;", "'>'")]:
         text = f"replace({text}, '{old}', {new})"
     text = f"' ' || {text} || ' '"
-    for pattern, new in [(r"([\{{-\~\[-\x60 -\&\(-\+\:-\@\/])", r" \1 "), (r"([^0-9])([\.,])", r"\1 \2 "), (r"([\.,])([^0-9])", r" \1 \2"), (r"([0-9])(-)", r"\1 \2 ")]:
+    for pattern, new in [(r"([\{{-\~\[-\` -\&\(-\+\:-\@\/])", r" \1 "), (r"([^0-9])([\.,])", r"\1 \2 "), (r"([\.,])([^0-9])", r" \1 \2"), (r"([0-9])(-)", r"\1 \2 ")]:
         text = f"regexp_replace({text}, '{pattern}', '{new}', 'g')"
     return rf"list_filter(regexp_split_to_array({text}, '[\s\x1c-\x1f\x{{{{85}}}}\p{{{{Z}}}}]+'), lambda t: t <> '')".replace("{{{{", "{{").replace("}}}}", "}}")
 
@@ -142,8 +143,8 @@ FROM sides s LEFT JOIN agg a ON a.id = s.id"""
 
 @query("meteor_by_equal_words", METEOR_SQL)
 def meteor_by_equal_words(spark, sf_dir):
-    scored = pairs(spark, sf_dir).withColumn("s", text_scores(F.col("reference"), F.col("predicted"), ["meteor"], stemmed=False))
-    return scored.select("id", F.round("s.meteor", 6).alias("meteor"))
+    scored = equal_word_scores(pairs(spark, sf_dir), key="id")
+    return scored.select("id", F.round("meteor", 6).alias("meteor"))
 
 
 @query("alignment_scores")

@@ -1,10 +1,7 @@
-"""Text scores: BLEU counts, summary-level LCS F-score and METEOR.
+"""Text scores that need an alignment: summary-level LCS F-score and METEOR with stems.
 
-All come out of one Arrow-batched call, so a text crosses to Python once, and
-the row stays where it is: no shuffle of tokens or n-grams. Counting n-grams with
-array lambdas was tried first and took more than four times as long per text.
-Definitions: Papineni et al. 2002, exponential smoothing after Chen & Cherry 2014,
-tokens after Post 2018; Lin 2004 (union LCS); Banerjee & Lavie 2005; Porter 1980.
+Both come out of one Arrow-batched call, so a text crosses to Python once, and the row stays where it is.
+Definitions: Lin 2004 (union LCS); Banerjee & Lavie 2005; Porter 1980.
 """
 
 from __future__ import annotations
@@ -19,14 +16,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reportloom.fixed_values import (
-    METEOR_ALPHA, METEOR_BETA, METEOR_GAMMA, SCORE_LITERALS, SCORE_RULES, STEM_IRREGULAR, STEM_STEP_2, STEM_STEP_3,
-    STEM_STEP_4,
+    METEOR_ALPHA, METEOR_BETA, METEOR_GAMMA, STEM_IRREGULAR, STEM_STEP_2, STEM_STEP_3, STEM_STEP_4,
 )
 
-SYNONYM_LIMIT = 200_000
-ORDERS = 4
-COUNT_FIELDS = ["ref_len", "sys_len"] + [f"{p}{n}" for p in "mt" for n in range(1, ORDERS + 1)]
-_RULES = [(re.compile(pattern), new) for pattern, new in SCORE_RULES]
 _WORD = re.compile(r"[^\W_]+")
 _ASCII_WORD = re.compile(r"[a-z0-9]+")
 _PIECE = re.compile(r"\w+|[^\w\s]")
@@ -116,46 +108,6 @@ def stem(word: str) -> str:
     return word
 
 
-def score_tokens(text: str) -> list[str]:
-    text = text.rstrip()
-    for old, new in SCORE_LITERALS:
-        text = text.replace(old, new)
-    text = f" {text} "
-    for pattern, new in _RULES:
-        text = pattern.sub(new, text)
-    return text.split()
-
-
-def overlap_counts(reference: str, prediction: str) -> list[int]:
-    """Lengths, clipped n-gram matches and n-gram totals, in the order of ``COUNT_FIELDS``."""
-    ref, cand = score_tokens(reference), score_tokens(prediction)
-    matches, totals = [], []
-    for n in range(1, ORDERS + 1):
-        known = Counter(zip(*(ref[i:] for i in range(n))))
-        found = Counter(zip(*(cand[i:] for i in range(n))))
-        matches.append(sum(min(count, known[gram]) for gram, count in found.items() if gram in known))
-        totals.append(max(0, len(cand) - n + 1))
-    return [len(ref), len(cand), *matches, *totals]
-
-
-def bleu_of(counts: Column) -> Column:
-    """Score 0-100 over the orders that have n-grams; an order without a match is smoothed."""
-    matches = [counts[f"m{n}"] for n in range(1, ORDERS + 1)]
-    totals = [counts[f"t{n}"] for n in range(1, ORDERS + 1)]
-    log_sum, used, misses = F.lit(0.0), F.lit(0), F.lit(0)
-    for m, t in zip(matches, totals):
-        misses = misses + F.when(m == 0, 1).otherwise(0)
-        smoothed = F.lit(100.0) / (F.pow(F.lit(2.0), misses) * F.greatest(t, F.lit(1)))
-        precision = F.when(m > 0, F.lit(100.0) * m / F.greatest(t, F.lit(1))).otherwise(smoothed)
-        log_sum = log_sum + F.when(t > 0, F.ln(precision)).otherwise(0.0)
-        used = used + F.when(t > 0, 1).otherwise(0)
-    longer = counts["sys_len"] >= counts["ref_len"]
-    shortfall = F.exp(F.lit(1.0) - counts["ref_len"] / F.greatest(counts["sys_len"], F.lit(1)))
-    brevity = F.when(longer, 1.0).when(counts["sys_len"] > 0, shortfall).otherwise(0.0)
-    any_match = matches[0] + matches[1] + matches[2] + matches[3] > 0
-    return F.when(any_match, brevity * F.exp(log_sum / F.greatest(used, F.lit(1)))).otherwise(0.0)
-
-
 def _table_rows(ref: Sequence[str], places: Mapping[str, int], full: int) -> list[int]:
     """Rows of the LCS length tables of ``ref`` against all candidate sentences at once.
 
@@ -285,30 +237,27 @@ def meteor(reference: str, prediction: str, *, stemmed: bool = True,
     return (1 - METEOR_GAMMA * (chunks / n) ** METEOR_BETA) * mean
 
 
-SCORES = ("overlap", "rouge", "meteor")
+SCORES = ("rouge", "meteor")
 
 
 def text_scores(reference: Column, prediction: Column, scores: Sequence[str] = SCORES, *, stemmed: bool = True,
-                ascii_only: bool = False, synonyms: Mapping[str, Sequence[str]] | None = None) -> Column:
-    """Struct of the chosen scores of two text columns; "overlap" stands for the ``COUNT_FIELDS``."""
-    if synonyms and len(synonyms) > SYNONYM_LIMIT:
-        raise ValueError("the synonym table is sent to every task and must stay small")
+                ascii_only: bool = False, synonyms: Column | None = None) -> Column:
+    """Struct of the chosen scores of two text columns. ``synonyms`` is a map column: word of the prediction -> words
+    that count as equal."""
     unknown = set(scores) - set(SCORES)
     if unknown:
         raise ValueError(f"unknown scores {sorted(unknown)}")
 
-    def score(references: pd.Series, predictions: pd.Series) -> pd.DataFrame:
-        pairs = list(zip(references.fillna(""), predictions.fillna("")))
-        out = pd.DataFrame(index=range(len(pairs)))
-        if "overlap" in scores:
-            out = pd.DataFrame([overlap_counts(r, p) for r, p in pairs], columns=COUNT_FIELDS, dtype="int64")
+    def score(references: pd.Series, predictions: pd.Series, others: pd.Series) -> pd.DataFrame:
+        rows = list(zip(references.fillna(""), predictions.fillna(""), others))
+        out = pd.DataFrame(index=range(len(rows)))
         if "rouge" in scores:
-            out["rouge"] = [lcs_f_score(r, p, stemmed=stemmed, ascii_only=ascii_only) for r, p in pairs]
+            out["rouge"] = [lcs_f_score(r, p, stemmed=stemmed, ascii_only=ascii_only) for r, p, _ in rows]
         if "meteor" in scores:
-            out["meteor"] = [meteor(r, p, stemmed=stemmed, synonyms=synonyms) for r, p in pairs]
+            out["meteor"] = [meteor(r, p, stemmed=stemmed, synonyms=dict(m) if m is not None else None) for r, p, m in rows]
         return out
 
-    score.__annotations__ = {"references": pd.Series, "predictions": pd.Series, "return": pd.DataFrame}
-    fields = [f"{f} bigint" for f in COUNT_FIELDS] if "overlap" in scores else []
-    fields += [f"{f} double" for f in ("rouge", "meteor") if f in scores]
-    return F.pandas_udf(score, ", ".join(fields))(reference, prediction)
+    score.__annotations__ = {"references": pd.Series, "predictions": pd.Series, "others": pd.Series, "return": pd.DataFrame}
+    none = F.lit(None).cast("map<string,array<string>>")
+    fields = [f"{f} double" for f in ("rouge", "meteor") if f in scores]
+    return F.pandas_udf(score, ", ".join(fields))(reference, prediction, none if synonyms is None else synonyms)

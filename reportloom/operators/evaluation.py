@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from reportloom.functions.similarity import (
     edit_similarity, exact_match, has_finding_hit, modality_hit, organ_hit, true_has_finding,
 )
-from reportloom.functions.text import four_decimals, or_empty
-from reportloom.functions.text_scores import COUNT_FIELDS, bleu_of, text_scores
+from reportloom.functions.text import four_decimals, or_empty, words
+from reportloom.functions.text_scores import text_scores
+from reportloom.operators.overlap import COUNT_FIELDS, bleu_of, overlap_counts
+from reportloom.operators.split import with_row_id
 
 TEXT_METRICS = ["bleu", "rouge", "meteor", "levenshtein", "exact_match"]
 CLASS_METRICS = ["acc_has_finding", "acc_organ", "acc_modality"]
@@ -29,12 +31,21 @@ def align(references: DataFrame, predictions: DataFrame, *, key: str = "id") ->
 
 def text_metrics(df: DataFrame, *, reference: str = "reference", prediction: str = "predicted",
                  zero_without_reference: bool = False,
-                 synonyms: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
-    """Add BLEU, LCS F-score, METEOR, edit similarity and exact match."""
+                 synonyms: DataFrame | None = None) -> DataFrame:
+    """Add BLEU, LCS F-score, METEOR, edit similarity and exact match.
+
+    ``synonyms`` is a table (word, synonym) of any size; each row gets those of its own words.
+    """
     ref, pred = F.col(reference), F.col(prediction)
-    scored = df.withColumn("__scores", text_scores(ref, pred, synonyms=synonyms))
+    rows = with_row_id(df, out="__row")
+    counts = overlap_counts(rows, key="__row", reference=reference, prediction=prediction)
+    counted = rows.join(counts.select("__row", F.struct(*COUNT_FIELDS).alias("__counts")), "__row")
+    known = None
+    if synonyms is not None:
+        counted, known = counted.join(_own_synonyms(rows, synonyms, prediction), "__row", "left"), F.col("__synonyms")
+    scored = counted.withColumn("__scores", text_scores(ref, pred, synonyms=known))
     metrics = {
-        "bleu": bleu_of(F.col("__scores")),
+        "bleu": bleu_of(F.col("__counts")),
         "rouge": F.col("__scores.rouge"),
         "meteor": F.col("__scores.meteor"),
         "levenshtein": edit_similarity(ref, pred),
@@ -42,7 +53,16 @@ def text_metrics(df: DataFrame, *, reference: str = "reference", prediction: str
     }
     if zero_without_reference:
         metrics = {n: F.when(or_empty(ref) != "", c).otherwise(0.0) for n, c in metrics.items()}
-    return scored.withColumns(metrics).drop("__scores")
+    return scored.withColumns(metrics).drop("__scores", "__counts", "__row", "__synonyms")
+
+
+def _own_synonyms(rows: DataFrame, synonyms: DataFrame, prediction: str) -> DataFrame:
+    """(__row, __synonyms): for each row a map from the words of its prediction to their synonyms."""
+    word, other = synonyms.columns[:2]
+    asked = rows.select("__row", F.explode(F.array_distinct(words(F.lower(or_empty(F.col(prediction)))))).alias("__w"))
+    known = synonyms.select(F.lower(word).alias("__w"), F.lower(other).alias("__s")).dropna().distinct()
+    by_word = asked.join(known, "__w").groupBy("__row", "__w").agg(F.sort_array(F.collect_list("__s")).alias("__s"))
+    return by_word.groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("__w", "__s"))).alias("__synonyms"))
 
 
 def class_metrics(df: DataFrame, *, finding: str = "finding", organ: str = "organ", modality: str = "modality",
@@ -63,16 +83,18 @@ def mean_metrics(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 
 def corpus_bleu(df: DataFrame, *, reference: str = "reference", prediction: str = "predicted") -> DataFrame:
     """One row: BLEU over the summed counts of all rows."""
-    counted = df.select(text_scores(F.col(reference), F.col(prediction), ["overlap"]).alias("c"))
-    summed = counted.agg(*[F.coalesce(F.sum(f"c.{f}"), F.lit(0)).alias(f) for f in COUNT_FIELDS])
+    texts = df.select(F.col(reference).alias("r"), F.col(prediction).alias("c")).withColumn("__row", F.monotonically_increasing_id())
+    counted = overlap_counts(texts, key="__row", reference="r", prediction="c")
+    summed = counted.agg(*[F.coalesce(F.sum(f), F.lit(0)).alias(f) for f in COUNT_FIELDS])
     return summed.select(bleu_of(F.struct(*COUNT_FIELDS)).alias("bleu"))
 
 
 def sentence_bleu(df: DataFrame, *, reference: str = "reference", prediction: str = "predicted",
                   out: str = "bleu") -> DataFrame:
     """Add the BLEU score of each row alone."""
-    counted = df.withColumn("__counts", text_scores(F.col(reference), F.col(prediction), ["overlap"]))
-    return counted.withColumn(out, bleu_of(F.col("__counts"))).drop("__counts")
+    rows = with_row_id(df, out="__row")
+    counted = overlap_counts(rows, key="__row", reference=reference, prediction=prediction)
+    return rows.join(counted.select("__row", bleu_of(F.struct(*COUNT_FIELDS)).alias(out)), "__row").drop("__row")
 
 
 def with_soft_organ(df: DataFrame, similarity: Column) -> DataFrame:

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from reportloom.functions.similarity import edit_similarity
-from reportloom.functions.text_scores import lcs_f_score, meteor, overlap_counts, score_tokens, stem
+from reportloom.functions.text_scores import lcs_f_score, meteor, stem
 from reportloom.operators.evaluation import corpus_bleu, formatted, mean_metrics, text_metrics
+from reportloom.operators.overlap import equal_word_scores, overlap_counts, score_tokens
 
 # Pairs given in the 1980 paper.
 STEMS = {
@@ -92,16 +93,41 @@ def test_meteor_cases():
     assert meteor("big", "large") == 0.0 and meteor("big", "large", synonyms={"large": ["big"]}) == 0.5
 
 
-def test_score_tokens():
-    assert score_tokens("Hello, world! 3.5-4 a-b &quot;x&quot; it's 1,000.") == [
-        "Hello", ",", "world", "!", "3.5", "-", "4", "a-b", '"', "x", '"', "it's", "1,000", "."]
-    assert score_tokens("hyphen-\nated  text\n") == ["hyphenated", "text"]
+def test_score_tokens(spark):
+    texts = ["Hello, world! 3.5-4 a-b &quot;x&quot; it's 1,000.", "hyphen-\nated  text\n", None, " "]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(score_tokens(F.col("t"))).collect()
+    assert [r[0] for r in got] == [
+        ["Hello", ",", "world", "!", "3.5", "-", "4", "a-b", '"', "x", '"', "it's", "1,000", "."], ["hyphenated", "text"], [], []]
 
 
-def test_overlap_counts():
-    assert overlap_counts("the cat is on the mat", "the the the the the the the")[:6] == [6, 7, 2, 0, 0, 0]
-    assert overlap_counts("", "") == [0] * 10
-    assert overlap_counts("a", "a") == [1, 1, 1, 0, 0, 0, 1, 0, 0, 0]
+def test_overlap_counts(spark):
+    rows = [(1, "the cat is on the mat", "the the the the the the the"), (2, "", ""), (3, "a", "a"), (4, None, None), (5, "x", "")]
+    df = spark.createDataFrame(rows, "id int, reference string, predicted string")
+    got = {r.id: list(r)[1:] for r in overlap_counts(df, key="id").collect()}
+    assert got[1] == [6, 7, 2, 0, 0, 0, 7, 6, 5, 4]
+    assert got[2] == [0] * 10 == got[4]
+    assert got[3] == [1, 1, 1, 0, 0, 0, 1, 0, 0, 0] and got[5] == [1] + [0] * 9
+
+
+def test_no_ngram_is_shuffled(spark):
+    df = spark.createDataFrame([(1, "a b", "a c")], "id int, reference string, predicted string")
+    plan = overlap_counts(df, key="id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
+
+
+def test_equal_words(spark):
+    draw = random.Random(4)
+    rows = [(i, " ".join(draw.choice("abcd.") for _ in range(draw.randint(0, 9))), " ".join(draw.choice("abcd.") for _ in range(draw.randint(0, 9)))) for i in range(80)]
+    df = spark.createDataFrame([*rows, (100, None, None)], "id int, reference string, predicted string")
+    got = {r.id: r.meteor for r in equal_word_scores(df, key="id").collect()}
+    assert got.pop(100) == 0.0
+    assert got == {i: pytest.approx(meteor(r, p, stemmed=False)) for i, r, p in rows}
+
+
+def test_synonyms_are_a_table(spark):
+    df = spark.createDataFrame([(1, "big", "large"), (2, "big", "tiny"), (3, "big", None)], "id int, reference string, predicted string")
+    table = spark.createDataFrame([("Large", "big"), ("large", "big"), ("huge", "big"), (None, "x")], "word string, synonym string")
+    assert {r.id: r.meteor for r in text_metrics(df, synonyms=table).collect()} == {1: 0.5, 2: 0.0, 3: 0.0}
 
 
 def test_metrics_table(spark):
