@@ -74,7 +74,7 @@ def pair_rows(spark, sf_dir):
 def pairs_by_folder_kept(spark, sf_dir):
     folder = fresh_folder(spark, "pairs")
     K.write_pairs_by_folder(pair_rows(spark, sf_dir), folder)
-    return S.read_csv(spark, folder)
+    return S.read_pairs_by_folder(spark, folder)
 
 
 @query("pairs_kept", f"SELECT finding, file_name, result FROM ({PAIR_ROWS})")

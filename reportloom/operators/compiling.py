@@ -35,18 +35,30 @@ def header_union(headers: Sequence[Sequence[str]]) -> list[str]:
     return ORIGIN + sorted(names - set(ORIGIN))
 
 
+def distinct_names(names: Sequence[str]) -> dict[str, str]:
+    """Column names of a table whose names must differ in more than case: a later one gets a number behind it."""
+    taken: dict[str, int] = {}
+    out = {}
+    for name in names:
+        taken[name.lower()] = count = taken.get(name.lower(), 0) + 1
+        out[name] = name if count == 1 else f"{name}__{count}"
+    return out
+
+
 def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
-    """Bag union by name; absent columns and missing cells become empty strings."""
+    """Bag union by exact name; absent columns and missing cells become empty strings.
+
+    Names that differ in case only are columns of their own, see ``distinct_names``.
+    """
     if not tables:
         raise ValueError("no table to union")
-    columns = header_union([t.columns for t in tables])
-    aligned = [
-        t.select(*[or_empty(F.col(f"`{c}`")).alias(c) if c in t.columns else F.lit("").alias(c) for c in columns])
-        for t in tables
-    ]
-    result = aligned[0]
-    for t in aligned[1:]:
-        result = result.unionByName(t)
+    columns = distinct_names(header_union([t.columns for t in tables]))
+    result = None
+    for t in tables:
+        places = t.toDF(*[f"__{i}" for i in range(len(t.columns))])
+        at = {name: f"__{i}" for i, name in enumerate(t.columns)}
+        aligned = places.select(*[or_empty(F.col(at[c])).alias(out) if c in at else F.lit("").alias(out) for c, out in columns.items()])
+        result = aligned if result is None else result.unionByName(aligned)
     return result
 
 

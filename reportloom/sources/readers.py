@@ -4,60 +4,127 @@ from __future__ import annotations
 
 import csv
 import io
+import os
 import re
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from urllib.parse import urlparse
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportloom.fixed_values import RESULT_FILES
+from reportloom.fixed_values import RESULT_COLUMNS, RESULT_FILES
 from reportloom.functions.modality import folder_of, path_part
-from reportloom.functions.text import utf8_dropping_bad_bytes
-from reportloom.operators.compiling import inference_rows, union_tables, with_origin
+from reportloom.functions.text import or_empty, utf8_dropping_bad_bytes
+from reportloom.operators.compiling import ORIGIN, distinct_names, header_union, inference_rows, with_origin
 from reportloom.operators.redaction import with_status
+from reportloom.session import fresh_folder
 
 CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "inferSchema": False,
                "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+LINE_BYTES = 1 << 16
 
 
 def _plain_path(path: Column) -> Column:
     return F.regexp_replace(path, r"^file:/+", "/")
 
 
-def _files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root)
+def _base(root: str) -> tuple[str, str]:
+    """The folder without a trailing slash, and what stands before a file system's own path in a full one."""
+    plain = re.sub(r"^file:/+", "/", root.rstrip("/"))
+    if not urlparse(plain).scheme:
+        return plain, ""
+    return plain, plain[: -len(fs.FileSystem.from_uri(plain)[1])]
+
+
+def _file_system(root: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(root) if urlparse(root).scheme else (fs.LocalFileSystem(), root)
+
+
+def _entries(files: fs.FileSystem, folder: str) -> Iterator[tuple[str, int | None]]:
+    """(path, size) of what a folder holds; no size for a folder, -1 for what is there but cannot be opened."""
+    if isinstance(files, fs.LocalFileSystem):  # the general listing leaves out broken links
+        for entry in os.scandir(folder):
+            try:
+                yield entry.path, None if entry.is_dir() else entry.stat().st_size
+            except OSError:
+                yield entry.path, -1
+        return
+    for found in files.get_file_info(fs.FileSelector(folder)):
+        yield found.path, None if found.type == fs.FileType.Directory else found.size if found.type == fs.FileType.File else -1
+
+
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, size, error) of everything below ``root`` but folders, empty files and broken links included.
+
+    The tree is walked in a task, so no list of paths builds up on the driver.
+    """
+    base, prefix = _base(root)
+    schema = pa.schema([("path", pa.string()), ("size", pa.int64()), ("error", pa.string())])
+
+    def walk(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, folder = _file_system(base)
+        waiting = [folder]
+        while waiting:
+            found = list(_entries(files, waiting.pop()))
+            waiting += [path for path, size in found if size is None]
+            rows = [(prefix + path, max(size, 0), "unreadable" if size < 0 else None) for path, size in found if size is not None]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else ([], [], []), schema.types)], schema=schema)
+
+    return spark.range(0, 1, 1, 1).mapInArrow(walk, "path string, size long, error string")
+
+
+def _contents(listed: DataFrame, root: str, first_line: bool = False) -> DataFrame:
+    """Adds ``bytes`` (whole files, or their first lines) to listed files and ``error`` where one cannot be read."""
+    base, prefix = _base(root)
+    schema = pa.schema([("path", pa.string()), ("bytes", pa.binary()), ("error", pa.string())])
+
+    def one(files: fs.FileSystem, path: str) -> tuple:
+        try:
+            with files.open_input_stream(path.removeprefix(prefix), compression=None) as source:
+                if not first_line:
+                    return path, source.read(), None
+                head = b""
+                while b"\n" not in head and (more := source.read(LINE_BYTES)):
+                    head += more
+                return path, head.split(b"\n", 1)[0], None
+        except OSError as problem:
+            return path, None, f"unreadable: {type(problem).__name__}"
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, _ = _file_system(base)
+        for batch in batches:
+            for path, error in zip(batch.column("path").to_pylist(), batch.column("error").to_pylist()):
+                row = (path, None, error) if error else one(files, path)
+                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, schema.types)], schema=schema)
+
+    tasks = listed.sparkSession.sparkContext.defaultParallelism
+    return listed.select("path", "error").repartition(tasks, "path").mapInArrow(read, "path string, bytes binary, error string")
 
 
 def read_report_files(spark: SparkSession, root: str) -> DataFrame:
     """All files below ``root``: path, rel_path, folder, content, ext, status, error.
 
-    Text files are decoded, malformed bytes dropped; other files are listed without content.
+    Text files are decoded, malformed bytes dropped; empty ones have an empty text, unreadable ones status
+    ``failed``. Other files are listed without being opened.
     """
-    base = re.sub(r"^file:/+", "/", root.rstrip("/")) + "/"
-    path = _plain_path(F.col("path"))
-    at = F.locate(base, path)
-    files = _files(spark, root).select(
-        path.alias("path"),
-        F.when(at > 0, F.substring(path, at + len(base), F.length(path))).otherwise(path).alias("rel_path"),
-        folder_of(path).alias("folder"),
-        F.when(F.lower(path).endswith(".txt"), utf8_dropping_bad_bytes(F.col("content"))).alias("content"),
-    )
-    return with_status(files)
+    base, _ = _base(root)
+    listed = list_files(spark, root)
+    texts = F.lower("path").endswith(".txt")
+    read = _contents(listed.filter(texts), root).select("path", utf8_dropping_bad_bytes(F.col("bytes")).alias("content"), "error")
+    others = listed.filter(~texts).select("path", F.lit(None).cast("string").alias("content"), "error")
+    found = read.unionByName(others).withColumnRenamed("error", "__error")
+    files = found.select("path", F.substring(F.col("path"), F.lit(len(base) + 2), F.length("path")).alias("rel_path"),
+                         folder_of(F.col("path")).alias("folder"), "content", "__error")
+    return with_status(files).withColumn("error", F.when(F.col("status") == "failed", F.coalesce("__error", "error"))).drop("__error")
 
 
 def read_text_reports(spark: SparkSession, root: str) -> DataFrame:
     """Non-empty ``.txt`` files: path, folder, content. Unreadable files are skipped."""
-    reader = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.txt").option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-    )
-    found = reader.load(root).filter(F.col("length") > 0)
-    path = _plain_path(F.col("path"))
-    return found.select(path.alias("path"), folder_of(path).alias("folder"),
-                        utf8_dropping_bad_bytes(F.col("content")).alias("content"))
+    found = _contents(list_files(spark, root).filter(F.col("path").endswith(".txt") & (F.col("size") > 0)), root)
+    return found.filter(F.col("bytes").isNotNull()).select(
+        "path", folder_of(F.col("path")).alias("folder"), utf8_dropping_bad_bytes(F.col("bytes")).alias("content"))
 
 
 def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -65,6 +132,12 @@ def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.options(**CSV_OPTIONS).csv(path).fillna("")
 
 
+def read_pairs_by_folder(spark: SparkSession, path: str) -> DataFrame:
+    """(finding, file_name, result, folder) from CSV files in one directory per folder; folder names stay texts."""
+    schema = ", ".join(f"{c} string" for c in [*RESULT_COLUMNS, "folder"])
+    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path).fillna("")
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """One object per line; blank lines are skipped, a bad line fails the read."""
     reader = spark.read.option("mode", "FAILFAST")
@@ -85,37 +158,42 @@ def read_rows(spark: SparkSession, path: str, *, fmt: str = "auto", columns: Map
 
 def find_result_tables(spark: SparkSession, root: str) -> DataFrame:
     """(path) of the per-folder result tables, by file name in any case."""
-    files = _files(spark, root, "*.[cC][sS][vV]").select(_plain_path(F.col("path")).alias("path"))
-    return files.filter(F.lower(path_part(F.col("path"), 1)).isin(RESULT_FILES))
+    return list_files(spark, root).filter(F.lower(path_part(F.col("path"), 1)).isin(RESULT_FILES)).select("path")
 
 
 def compile_result_tables(spark: SparkSession, root: str) -> DataFrame | None:
     """All result tables below ``root`` as one table; None if there is none.
 
-    Files are grouped by header line, since one CSV read takes one header for all its
-    files; only paths and header lines, metadata, reach the driver.
+    One scan reads all files by column place, and each row meets its file's header line, read
+    beforehand from the first bytes; only the distinct header lines reach the driver.
     """
-    content = F.col("content").cast("string")
-    listed = (
-        _files(spark, root, "*.[cC][sS][vV]")
-        .select(_plain_path(F.col("path")).alias("path"),
-                F.regexp_replace(F.substring_index(content, "\n", 1), r"\r$|\x{FEFF}", "").alias("header"))
-        .filter(F.lower(path_part(F.col("path"), 1)).isin(RESULT_FILES))
-    )
-    groups = listed.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header").collect()
-    tables = []
-    for group in groups:
-        names = next(csv.reader(io.StringIO(group["header"])), [])
-        if not any(n.strip() for n in names):
-            continue
-        schema = ", ".join(f"c{i} string" for i in range(len(names)))
-        raw = spark.read.options(**CSV_OPTIONS).schema(schema).csv(group["paths"])
-        kept = {n: f"c{i}" for i, n in enumerate(names) if n.strip()}
-        paths = _plain_path(F.col("_metadata.file_path"))
-        table = raw.select(*[F.col(c).alias(n) for n, c in kept.items() if n not in ("origin_folder", "modality")],
-                           F.try_url_decode(F.replace(paths, F.lit("+"), F.lit("%2B"))).alias("__path"))
-        tables.append(with_origin(table, path="__path").drop("__path"))
-    return union_tables(tables) if tables else None
+    listed = list_files(spark, root).filter(F.lower(path_part(F.col("path"), 1)).isin(RESULT_FILES))
+    line = F.regexp_replace(F.col("bytes").cast("string"), r"\r$|\x{FEFF}", "")
+    heads = _contents(listed, root, first_line=True).filter(F.col("bytes").isNotNull()).select("path", line.alias("header"))
+    folder = fresh_folder(spark, "headers")
+    heads.write.parquet(folder)
+    heads = spark.read.schema("path string, header string").parquet(folder)
+    lines = sorted(r["header"] for r in heads.select("header").distinct().collect())
+    headers = {text: next(csv.reader(io.StringIO(text)), []) for text in lines}
+    headers = {text: names for text, names in headers.items() if any(n.strip() for n in names)}
+    if not headers:
+        return None
+    columns = header_union(list(headers.values()))
+    schema = ", ".join(f"c{i} string" for i in range(max(map(len, headers.values()))))
+    raw = (spark.read.options(**CSV_OPTIONS).option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]")
+           .schema(schema).csv(root))
+    located = _plain_path(F.col("_metadata.file_path"))
+    rows = raw.select("*", F.try_url_decode(F.replace(located, F.lit("+"), F.lit("%2B"))).alias("__path"))
+    met = rows.join(heads, rows["__path"] == heads["path"]).drop("path")
+    def cell(name: str) -> Column:
+        value = F.lit(None).cast("string")
+        for text, names in headers.items():
+            if name in names:
+                value = F.when(F.col("header") == text, F.col(f"c{names.index(name)}")).otherwise(value)
+        return or_empty(value)
+
+    origin = with_origin(met.filter(F.col("header").isin(list(headers))), path="__path")
+    return origin.select(*ORIGIN, *[cell(n).alias(out) for n, out in distinct_names(columns).items() if n not in ORIGIN])
 
 
 def read_splits(spark: SparkSession, path: str | None = None, *, train: str | None = None,

@@ -28,7 +28,18 @@ def test_report_files(spark, reports):
     rows = {r.rel_path: (r.content, r.status, r.error) for r in S.read_report_files(spark, reports).collect()}
     assert rows == {
         "МРТ/гм/a.txt": ("a@b.com\n", "ok", None), "МРТ/гм/b.TXT": ("ok 12.03.2020", "ok", None),
-        "КТ/c.pdf": (None, "failed", "no decoder for .pdf"), "КТ/d.xlsx": (None, "skipped", None), "top.txt": ("тел", "ok", None)}
+        "КТ/empty.txt": ("", "ok", None), "КТ/c.pdf": (None, "failed", "no decoder for .pdf"), "КТ/d.xlsx": (None, "skipped", None), "top.txt": ("тел", "ok", None)}
+
+
+def test_unreadable_files_are_rows(spark, reports, tmp_path):
+    (tmp_path / "in" / "gone.txt").symlink_to(tmp_path / "nowhere")
+    (tmp_path / "in" / "007").mkdir()
+    (tmp_path / "in" / "007" / "b c+é.txt").write_text("x")
+    rows = {r.rel_path: (r.content, r.status) for r in S.read_report_files(spark, "file://" + reports + "/").collect()}
+    assert rows["gone.txt"] == (None, "failed") and rows["007/b c+é.txt"] == ("x", "ok") and len(rows) == 8
+    target = str(tmp_path / "out")
+    anonymise_folder(spark, reports, target)
+    assert {r.error for r in spark.read.json(target + "/summary/failures").collect() if r.rel_path == "gone.txt"}
 
 
 def test_text_reports_skip_empty_and_other_suffixes(spark, reports):
@@ -41,8 +52,8 @@ def test_anonymise_folder(spark, reports, tmp_path):
     target = str(tmp_path / "out")
     anonymise_folder(spark, reports, target)
     texts = {r.out_path: r.text for r in spark.read.parquet(target + "/texts").collect()}
-    assert texts == {"МРТ/гм/a.txt": "[EMAIL]\n", "МРТ/гм/b.txt": "ok [DATE]", "top.txt": "тел"}
-    assert spark.read.json(target + "/summary/totals").first().asDict() == {"files_processed": 4, "total_replacements": 2}
+    assert texts == {"МРТ/гм/a.txt": "[EMAIL]\n", "МРТ/гм/b.txt": "ok [DATE]", "top.txt": "тел", "КТ/empty.txt": ""}
+    assert spark.read.json(target + "/summary/totals").first().asDict() == {"files_processed": 5, "total_replacements": 2}
     assert {(r.label, r.n) for r in spark.read.json(target + "/summary/labels").collect()} == {("EMAIL", 1), ("DATE", 1)}
     assert [r.error for r in spark.read.json(target + "/summary/failures").collect()] == ["no decoder for .pdf"]
 
@@ -65,7 +76,7 @@ def test_compile_result_tables(spark, tmp_path):
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_text(content, encoding="utf-8")
     found = S.find_result_tables(spark, str(tmp_path / "raw"))
-    assert found.count() == 2  # the file source passes over empty files
+    assert found.count() == 3
     table = S.compile_result_tables(spark, str(tmp_path / "raw"))
     assert table.columns == ["origin_folder", "modality", "extra", "file_name", "finding", "result"]
     rows = {tuple(r) for r in table.collect()}
@@ -75,6 +86,21 @@ def test_compile_result_tables(spark, tmp_path):
     assert {tuple(r) for r in S.read_csv(spark, out).collect()} == rows
 
 
+def test_headers_that_differ_in_case(spark, tmp_path):
+    for name, content in {"a/b/processed_result.csv": "Finding,finding\n1,2\n", "a/c/processed_result.csv": "finding\n3\n"}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(content)
+    table = S.compile_result_tables(spark, str(tmp_path / "a"))
+    assert table.columns == ["origin_folder", "modality", "Finding", "finding__2"]
+    assert {tuple(r)[2:] for r in table.collect()} == {("1", "2"), ("", "3")}
+
+
+def test_many_split_names(spark, tmp_path):
+    labels = [f"s{i}" for i in range(40)] + ["train", "eval"]
+    spark.createDataFrame([(x, x) for x in labels], "text string, split string").write.partitionBy("split").parquet(str(tmp_path / "s"))
+    assert {k: v.collect()[0][0] for k, v in S.read_splits(spark, str(tmp_path / "s")).items()} == {"train": "train", "eval": "eval"}
+
+
 def test_jsonl_skips_blank_lines_and_fails_on_bad_ones(spark, tmp_path):
     good = tmp_path / "g.jsonl"
     good.write_text('{"id": 1, "finding": "кт"}\n\n   \n{"id": 2, "result": "r"}\n', encoding="utf-8")
@@ -89,9 +115,9 @@ def test_jsonl_skips_blank_lines_and_fails_on_bad_ones(spark, tmp_path):
 
 
 def test_pairs_by_folder(spark, tmp_path):
-    df = spark.createDataFrame([("f1", 'a"b\nc', "x.txt", "р"), ("f2", "", "y.txt", "")], "folder string, finding string, file_name string, result string")
+    df = spark.createDataFrame([("007", 'a"b\nc', "x.txt", "р"), ("12", "", "y.txt", "")], "folder string, finding string, file_name string, result string")
     K.write_pairs_by_folder(df, str(tmp_path / "p"))
-    back = S.read_csv(spark, str(tmp_path / "p"))
+    back = S.read_pairs_by_folder(spark, str(tmp_path / "p"))
     assert {tuple(r) for r in back.select("folder", *RESULT_COLUMNS).collect()} == {tuple(r) for r in df.collect()}
 
 

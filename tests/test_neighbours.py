@@ -94,3 +94,51 @@ def test_failing_requests_are_rows(spark):
     df = spark.createDataFrame([(1, "ok"), (2, "bad")], "id int, prompt string").coalesce(1)
     assert {tuple(r) for r in score_requests(df, scorer).collect()} == {
         (1, "ok", "OK", "ok", None), (2, "bad", None, "failed", "RuntimeError: refused")}
+
+
+def test_broken_vectors_and_lengths(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(20)] + [(20, [float("nan"), 1.0]), (21, [float("inf"), 1.0]), (22, [None, 1.0])]
+    df = spark.createDataFrame(rows, "query_id bigint, embedding array<double>")
+    near = top_k(df, df.withColumnRenamed("query_id", "corpus_id"), 5)
+    assert near.count() == 100 and near.agg(F.max("query_id")).first()[0] == 19
+    mixed = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, [1.0])], "corpus_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="different lengths"):
+        top_k(df, mixed, 2).collect()
+    with pytest.raises(Exception, match="dimensions"):
+        top_k(df, mixed.filter("corpus_id = 1"), 2).collect()
+
+
+def test_distances_far_from_the_origin(spark):
+    rows = [(i, [1e6 + i * 1e-3, 1e6]) for i in range(6)]
+    df = spark.createDataFrame(rows, "query_id bigint, embedding array<double>")
+    got = top_k(df.filter("query_id = 5"), df.withColumnRenamed("query_id", "corpus_id"), 6, normalized=False)
+    assert [r.corpus_id for r in got.orderBy("rank").collect()] == [5, 4, 3, 2, 1, 0]
+
+
+def test_a_failed_rebuild_keeps_the_index(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", "b")], "id int, finding_text string, result_text string")
+    index = build_index(df, lambda d: encode(d, lengths, text="finding"), key="id")
+    save_index(index, str(tmp_path / "i"), model_name="m")
+    with pytest.raises(ValueError):
+        save_index(index.limit(0), str(tmp_path / "i"), model_name="m")
+    assert load_index(spark, str(tmp_path / "i"))[0].count() == 1
+
+
+def test_one_bad_prompt_costs_few_calls(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def scorer():
+        import uuid
+
+        def score(prompts):
+            (log / uuid.uuid4().hex).write_text(str(len(prompts)))
+            if "bad" in prompts:
+                raise RuntimeError("refused")
+            return list(prompts)
+        return score
+
+    df = spark.createDataFrame([(i, "bad" if i == 77 else f"p{i}") for i in range(256)], "id int, prompt string").coalesce(1)
+    got = score_requests(df, scorer, batch_size=64).collect()
+    assert [r.id for r in got if r.status == "failed"] == [77] and len(got) == 256
+    assert len(list(log.iterdir())) <= 4 + 2 * 6

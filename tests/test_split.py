@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from reportloom.operators.split import number_rows, split_sizes, three_way_split, train_eval_split
+from reportloom.operators.split import number_rows, split_sizes, three_way_split, train_eval_split, with_row_number
 
 
 def sizes(df):
@@ -62,7 +62,24 @@ def test_eval_rows_come_first_in_numbering(spark):
     assert {r.orig_index for r in both.filter("split = 'eval'").collect()} == set(range(10))
 
 
-def test_a_frequent_key_stays_together(spark):
-    df = spark.range(90).selectExpr("CASE WHEN id < 30 THEN -1 ELSE id END AS id")
-    parts = three_way_split(df, key="id").groupBy("split").agg(F.count("*").alias("n"), F.count_if(F.col("id") == -1).alias("hot")).collect()
-    assert sum(r.n for r in parts) == 90 and sorted(r.hot for r in parts)[-1] == 30
+def test_frequent_and_missing_keys_keep_sizes_and_rows(spark):
+    df = spark.range(100).selectExpr("id", "CASE WHEN id < 30 THEN -1 WHEN id < 60 THEN NULL ELSE id END AS k")
+    for _ in range(2):
+        split = three_way_split(df, key="k")
+        assert split.columns == ["id", "k", "split"]
+        assert {r.split: r.n for r in split.groupBy("split").agg(F.count("*").alias("n")).collect()} == {"simple": 20, "medium": 32, "cot": 48}
+        assert {r.id for r in split.collect()} == set(range(100))
+    assert sorted(r.orig_index for r in number_rows(df, key="k").collect()) == list(range(100))
+
+
+def test_row_numbers_follow_the_input(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 7)
+    assert all(r.id == r.row_number for r in with_row_number(df).collect())
+
+
+def test_rows_without_id_get_their_number(spark):
+    from reportloom.operators.compiling import inference_rows
+
+    rows = spark.createDataFrame([("a", "f0"), (None, "f1"), ("c", "f2")], "id string, finding string").coalesce(1)
+    assert [r.id for r in inference_rows(rows).orderBy("finding").collect()] == ["a", "1", "c"]
+    assert [r.id for r in inference_rows(rows.drop("id")).orderBy("finding").collect()] == ["0", "1", "2"]
