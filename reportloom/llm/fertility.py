@@ -3,8 +3,9 @@
 A public vocabulary with byte fallback is run over every word of a text; characters per token, the share of byte
 pieces and the evenness of the token distribution (entropy over its largest value) show text the vocabulary was not
 made for: symbol noise, broken encodings, repetition. Bands for the three come from all documents of a language
-(of a script where no language is given): quartiles widened by a multiple of their distance. Plain word and line rules
-come first.
+(of a script where no language is given): the median and a multiple of the distance of the quartiles, wider for texts
+with fewer tokens than the median one, as a mean over n tokens strays by 1 / sqrt(n). Plain word and line rules come
+first.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ BLANKS = " \t\n\v\f\r"
 WINDOW = 5
 LEAST_WORDS = 10
 MOST_REPEATED = 20  # percent of words
-BAND_WIDTH = 4.0  # quartile distances on either side
+BAND_WIDTH = 4.0  # quartile distances on either side of the median
 LEAST_SPREAD = 0.05  # no band is narrower than this share of its median on either side
+LEAST_BYTE_SHARE = 0.05  # a share of byte pieces up to this is no fault anywhere
 FIELDS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens"]
 MEASURES = ["chars_per_token", "byte_share", "evenness"]
 
@@ -137,17 +139,28 @@ def measures(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str =
 
 
 def bands(measured: DataFrame, width: float = BAND_WIDTH) -> DataFrame:
-    """Per band the limits (low, high) of each measure, over all documents that pass the plain rules.
+    """Per band the middle and the room on either side of each measure, and the middle number of tokens, over all
+    documents that pass the plain rules."""
+    def middle(name: str):
+        return F.percentile_approx(name, 0.5, 10000)
 
-    byte_share has no lower and evenness no upper limit, as neither end is a fault."""
-    def limits(name: str):
-        q1, q2, q3 = (F.percentile_approx(name, p, 10000) for p in (0.25, 0.5, 0.75))
-        room = F.greatest(width * (q3 - q1), LEAST_SPREAD * q2)
-        return q1 - room, q3 + room
+    def room(name: str):
+        q1, q3 = (F.percentile_approx(name, p, 10000) for p in (0.25, 0.75))
+        return F.greatest(width * (q3 - q1), LEAST_SPREAD * middle(name))
 
-    all_limits = {name: limits(name) for name in MEASURES}
-    return measured.where(~failed()).groupBy("band").agg(*chain.from_iterable(
-        (low.alias(f"{name}_low"), high.alias(f"{name}_high")) for name, (low, high) in all_limits.items()))
+    return measured.where(~failed()).groupBy("band").agg(
+        middle("n_tokens").alias("tokens"),
+        *chain.from_iterable((middle(n).alias(f"{n}_middle"), room(n).alias(f"{n}_room")) for n in MEASURES))
+
+
+def inside():
+    """Whether all measures lie in their bands. byte_share has no lower and evenness no upper limit, as neither end is
+    a fault."""
+    wider = F.sqrt(F.greatest(F.col("tokens") / F.col("n_tokens"), F.lit(1.0)))
+    off = {n: (F.col(n) - F.col(f"{n}_middle")) / wider for n in MEASURES}
+    room = {n: F.col(f"{n}_room") for n in MEASURES}
+    return ((F.abs(off["chars_per_token"]) <= room["chars_per_token"]) & (-off["evenness"] <= room["evenness"])
+            & (off["byte_share"] <= F.greatest(room["byte_share"], F.lit(LEAST_BYTE_SHARE))))
 
 
 def failed():
@@ -165,8 +178,6 @@ def rated(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "te
     """
     own = stored(measures(docs, vocabulary, key, text, language), "measures")
     limits = stored(bands(own, width), "bands")
-    inside = F.col("chars_per_token").between(F.col("chars_per_token_low"), F.col("chars_per_token_high"))
-    inside &= (F.col("byte_share") <= F.col("byte_share_high")) & (F.col("evenness") >= F.col("evenness_low"))
     return own.join(limits, "band", "left").select(
         F.col("key").alias(key), *FIELDS, *MEASURES, "band", failed().alias("base_failed"),
-        F.when(failed(), False).otherwise(F.coalesce(inside, F.lit(False))).alias("kept"))
+        F.when(failed(), False).otherwise(F.coalesce(inside(), F.lit(False))).alias("kept"))
