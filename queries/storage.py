@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from queries.preparing import EVAL, TRIM, compiled, ranked_sql
 from queries.redaction import DOC_SPANS, REDACTED_SQL, documents
 from queries.registry import query
 from queries.tables import CHAT, COMPILED, load, spread, table
+from reportloom.fixed_values import RESULT_COLUMNS
 from reportloom.operators import compiling as C
 from reportloom.operators.evaluation import mean_metrics
 from reportloom.operators.redaction import redact
@@ -141,3 +144,56 @@ def summary_kept(spark, sf_dir):
     folder = fresh_folder(spark, "summary")
     K.write_summary(mean_metrics(load(spark, sf_dir, "events"), {"mean": "value"}).withColumn("mean", F.round("mean", 6)), folder)
     return spark.read.schema("mean double").json(folder)
+
+
+def renamed_parts(spark, folder, name):
+    """Give the one CSV part of every directory in ``folder`` a name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for child in files.listStatus(path):
+        if child.isDirectory():
+            part = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(child.getPath(), "part-*.csv"))[0].getPath()
+            files.rename(part, spark._jvm.org.apache.hadoop.fs.Path(child.getPath(), name))
+
+
+@query("result_tables_compiled", """SELECT concat('source=', source) AS origin_folder, 'КТ' AS modality, CAST(doc_id AS string) AS file_name,
+       CASE WHEN source IN ('src1', 'src2') THEN '' ELSE text END AS finding, CASE WHEN source IN ('src1', 'src2') THEN text ELSE '' END AS result FROM {documents}""")
+def result_tables_compiled(spark, sf_dir):
+    root = fresh_folder(spark, "tables")
+    docs = spread(load(spark, sf_dir, "documents"))
+    for folder, text, sources, name in [("ct_1", "result", ["src1", "src2"], "Processed_Results.CSV"), ("ct_2", "finding", None, "processed_result.csv")]:
+        own = docs.filter(F.col("source").isin("src1", "src2") if sources else ~F.col("source").isin("src1", "src2"))
+        rows = own.select("source", F.col("doc_id").cast("string").alias("file_name"), F.col("text").alias(text))
+        rows.repartition("source").write.partitionBy("source").options(**K.CSV_OPTIONS).csv(f"{root}/{folder}")
+        renamed_parts(spark, f"{root}/{folder}", name)
+    return S.compile_result_tables(spark, root)
+
+
+@query("empty_and_other_files_listed", """SELECT concat('source=', source) AS folder, CASE WHEN source = 'src4' THEN 'failed' WHEN source = 'src5' THEN 'skipped' ELSE 'ok' END AS status,
+       CASE WHEN source NOT IN ('src4', 'src5') THEN md5(CASE WHEN source = 'src3' THEN '' ELSE concat(text, chr(10)) END) END AS content_md5 FROM {documents}
+WHERE source IN ('src2', 'src3', 'src4', 'src5')""")
+def empty_and_other_files_listed(spark, sf_dir):
+    root = fresh_folder(spark, "reports")
+    docs = spread(load(spark, sf_dir, "documents").select("source", "text")).filter(F.col("source").isin("src2", "src3", "src4", "src5"))
+    ending = {"src4": ".pdf", "src5": ".xlsx"}
+
+    def write(batches):
+        files, folder = S.file_system(root)
+        for batch in batches:
+            for source, text in zip(batch.column("source").to_pylist(), batch.column("text").to_pylist()):
+                files.create_dir(f"{folder}/source={source}", recursive=True)
+                with files.open_output_stream(f"{folder}/source={source}/{uuid.uuid4().hex}{ending.get(source, '.txt')}") as out:
+                    out.write(b"" if source == "src3" else f"{text}\n".encode())
+            yield batch
+
+    docs.mapInArrow(write, docs.schema).write.format("noop").mode("overwrite").save()
+    found = S.read_report_files(spark, root)
+    return found.select(F.substring_index("folder", "/", -1).alias("folder"), "status", F.md5("content").alias("content_md5"))
+
+
+@query("folder_names_kept", "SELECT DISTINCT printf('%03d', event_id % 50) AS folder, CAST(1 AS bigint) AS rows FROM {events}")
+def folder_names_kept(spark, sf_dir):
+    folder = fresh_folder(spark, "pairs")
+    names = load(spark, sf_dir, "events").select(F.format_string("%03d", F.col("event_id") % 50).alias("folder")).distinct()
+    K.write_pairs_by_folder(names.select("folder", *[F.lit("x").alias(c) for c in RESULT_COLUMNS]), folder)
+    return S.read_pairs_by_folder(spark, folder).groupBy("folder").agg(F.count(F.lit(1)).alias("rows"))

@@ -38,8 +38,10 @@ def _base(root: str) -> tuple[str, str]:
     return plain, plain[: -len(fs.FileSystem.from_uri(plain)[1])]
 
 
-def _file_system(root: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(root) if urlparse(root).scheme else (fs.LocalFileSystem(), root)
+def file_system(root: str) -> tuple[fs.FileSystem, str]:
+    """File system of a folder and its path there."""
+    base, _ = _base(root)
+    return fs.FileSystem.from_uri(base) if urlparse(base).scheme else (fs.LocalFileSystem(), base)
 
 
 def _entries(files: fs.FileSystem, folder: str) -> Iterator[tuple[str, int | None]]:
@@ -64,7 +66,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     schema = pa.schema([("path", pa.string()), ("size", pa.int64()), ("error", pa.string())])
 
     def walk(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, folder = _file_system(base)
+        files, folder = file_system(base)
         waiting = [folder]
         while waiting:
             found = list(_entries(files, waiting.pop()))
@@ -93,7 +95,7 @@ def _contents(listed: DataFrame, root: str, first_line: bool = False) -> DataFra
             return path, None, f"unreadable: {type(problem).__name__}"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, _ = _file_system(base)
+        files, _ = file_system(base)
         for batch in batches:
             for path, error in zip(batch.column("path").to_pylist(), batch.column("error").to_pylist()):
                 row = (path, None, error) if error else one(files, path)
