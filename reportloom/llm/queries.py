@@ -109,7 +109,21 @@ def op7_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*first, "n_tokens", *fertility.MEASURES)
 
 
-@query("op8_warc_members")
+# SHA-1 in base 32: five hex digits are four symbols.
+WARC_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+newest AS (SELECT html, max(page_id) AS newest FROM payloads GROUP BY html)
+SELECT page_id, CAST(strlen(p.html) AS bigint) AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(1 + (CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS bigint), 5) AS bigint) >> CAST(5 * (3 - i % 4) AS bigint)) % 32 AS bigint), 1)),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM payloads p JOIN newest n ON n.html = p.html
+"""
+
+
+@query("op8_warc_members", WARC_SQL)
 def op8_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -122,6 +136,21 @@ def op9_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_order.predict(docs, profiles).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-@query("op10_rotated_binary_codes")
+COSINES_SQL = """
+WITH RECURSIVE given AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS i, vec_id, list_transform(embedding, lambda x: CAST(x AS double)) AS v FROM embeddings),
+good AS (SELECT i, vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM given
+         WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NOT NULL AND isfinite(x))) = len(v) AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (SELECT a.i, b.i AS j FROM good a JOIN good b ON a.i <> b.i AND len(a.v) = len(b.v)
+          WHERE list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) / (a.norm * b.norm) >= CAST(0.95 AS double)),
+reached(i, j) AS (SELECT i, i FROM given UNION SELECT r.i, l.j FROM reached r JOIN links l ON l.i = r.j),
+least AS (SELECT r.i, min(g.vec_id) AS component_id FROM reached r JOIN given g ON g.i = r.j GROUP BY r.i),
+counts AS (SELECT i, count(*) AS n FROM links GROUP BY i)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM given JOIN least USING (i) LEFT JOIN counts USING (i)
+"""
+
+
+@query("op10_rotated_binary_codes", COSINES_SQL)
 def op10_rotated_binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_codes.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
