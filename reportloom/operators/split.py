@@ -50,10 +50,11 @@ def with_own_key(df: DataFrame, *, key: str, keys: DataFrame | None = None) -> t
     ``keys`` may give the key column as a table of its own.
     """
     counted = (df if keys is None else keys).groupBy(F.col(key).alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
-    shared = _written(counted.filter((F.col("__n") > 1) | F.col("__k").isNull()).drop("__n"), "shared-keys")
+    shared = counted.filter((F.col("__n") > 1) | F.col("__k").isNull()).drop("__n")
     plain = F.col(key).cast("string")
     if shared.isEmpty():
         return df.withColumn("__key", plain), (df if keys is None else keys).select(plain.alias("__key"))
+    shared = _written(shared, "shared-keys")
     rows = with_row_id(df, out="__id").join(shared.withColumn("__shared", F.lit(True)), F.col(key).eqNullSafe(F.col("__k")), "left")
     numbered = F.concat(F.coalesce(plain, F.lit("")), F.lit("#"), F.col("__id"))
     own = rows.withColumn("__key", F.when(F.col("__shared"), numbered).otherwise(plain)).drop("__id", "__k", "__shared")

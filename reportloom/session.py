@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +26,21 @@ def local_session(cores: str = "8", memory: str = "16g", app: str = "reportloom"
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, once per session; needless where it is installed on all machines."""
+    context = spark.sparkContext
+    if getattr(context, "_reportloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parent.parent
+    packed = Path(tempfile.mkdtemp(prefix="reportloom-")).resolve() / f"reportloom-{uuid.uuid4().hex}.zip"  # read by the driver only
+    with zipfile.ZipFile(packed, "w") as out:
+        for folder in ("reportloom", "queries"):
+            for source in sorted((root / folder).rglob("*.py")):
+                out.write(source, source.relative_to(root))
+    context.addPyFile(str(packed))
+    context._reportloom_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
