@@ -80,7 +80,60 @@ def op3_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(docs, mixing.tempered(mixing.source_sizes(docs), MIX_EXPONENT))
 
 
-@query("op4_secret_spans")
+def _either(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" for c in word)
+
+
+_BLANK = "\\x20"
+_KEYS = "|".join([*map(_either, ["password", "passwd", "secret", "token"]), _either("api") + "_?" + _either("key")])
+SECRET_PATTERNS = {
+    "assign": f"""({_KEYS})["'']?{_BLANK}*[:=]{_BLANK}*["'']?([A-Za-z0-9+/_.=-]+)""", "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+",
+    "github": "gh[pousr]_[A-Za-z0-9]{36}", "npm": "npm_[A-Za-z0-9]{36}", "age": "AGE-SECRET-KEY-1[A-Z0-9]{58}",
+}
+_CRC = """xor(list_reduce(list_transform(range(30), lambda i: CAST(ascii(substr(split_part(hit, '_', 2), CAST(i + 1 AS bigint), 1)) AS bigint)),
+  lambda crc, byte: list_reduce(range(8), lambda a, j: CASE WHEN a % 2 = 1 THEN xor(a >> 1, CAST(3988292384 AS bigint)) ELSE a >> 1 END, xor(crc, byte)),
+  CAST(4294967295 AS bigint)), CAST(4294967295 AS bigint))"""
+_BASE62 = f"""list_reduce(range(6), lambda a, i: a * 62 + instr('{secrets.BASE62}', substr(hit, CAST(35 + i AS bigint), 1)) - 1, CAST(0 AS bigint))"""
+_POLYMOD = "xor((c & 33554431) << 5, v)"
+for _i, _step in enumerate(secrets.BECH32_STEPS):
+    _POLYMOD = f"xor({_POLYMOD}, CASE WHEN (c >> {25 + _i}) % 2 = 1 THEN CAST({_step} AS bigint) ELSE CAST(0 AS bigint) END)"
+_PREFIX = [ord(c) >> 5 for c in "age-secret-key-"] + [0] + [ord(c) & 31 for c in "age-secret-key-"]
+_BECH32 = f"""regexp_full_match(lower(substr(hit, 17)), '[{secrets.BECH32}]+') AND list_reduce(list_concat(CAST({_PREFIX} AS bigint[]),
+  list_transform(range(58), lambda i: CAST(instr('{secrets.BECH32}', lower(substr(hit, CAST(17 + i AS bigint), 1))) - 1 AS bigint))), lambda c, v: {_POLYMOD}, CAST(1 AS bigint)) = 1"""
+SECRET_FITS = {
+    "assign": f"length(regexp_extract(hit, '{SECRET_PATTERNS['assign']}', 2)) >= 6", "access": "length(hit) >= 20", "hex": "length(hit) >= 24",
+    "github": f"NOT regexp_matches(following, '^[A-Za-z0-9]') AND {_CRC} = {_BASE62}", "npm": f"NOT regexp_matches(following, '^[A-Za-z0-9]') AND {_CRC} = {_BASE62}",
+    "age": f"NOT regexp_matches(following, '^[A-Z0-9]') AND {_BECH32}",
+}
+
+
+def _spans_sql(place: int, kind: str) -> str:
+    """Places of the matches: the lengths of what stands between them and of the matches before."""
+    pattern = SECRET_PATTERNS[kind]
+    return f"""SELECT doc_id, {place} AS place, '{kind}' AS kind, first, first + length(hit) AS past FROM (
+  SELECT *, substr(text, CAST(first + length(hit) + 1 AS bigint), 1) AS following FROM (
+  SELECT doc_id, text, hits[i] AS hit,
+         list_sum(list_transform(pieces[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0) AS first
+  FROM (SELECT doc_id, text, hits, pieces, unnest(range(1, len(hits) + 1)) AS i
+        FROM (SELECT doc_id, text, regexp_extract_all(text, '{pattern}') AS hits, string_split_regex(text, '{pattern}') AS pieces
+              FROM documents WHERE regexp_matches(text, '{pattern if kind != 'hex' else '[0-9a-f]{24}'}')))))
+WHERE {SECRET_FITS[kind]}"""
+
+
+_SPAN = "kind || ':' || first || ':' || past"
+SECRETS_SQL = f"""
+WITH spans AS ({' UNION ALL '.join(_spans_sql(i, k) for i, k in enumerate(SECRET_PATTERNS))}),
+listed AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg({_SPAN}, ',' ORDER BY first, place) FILTER (place < 3) AS base, string_agg({_SPAN}, ',' ORDER BY first, place) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN listed l ON l.doc_id = d.doc_id
+"""
+
+
+@query("op4_secret_spans", SECRETS_SQL)
 def op4_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["kind"].isin(secrets.BASE_KINDS))

@@ -86,3 +86,19 @@ def test_masked(spark, odd_docs, no_docs):
         elif r.doc_id is not None:
             assert r == old[r.doc_id]
     assert secrets.mask_secrets(no_docs).collect() == [] and secrets.find_secrets(no_docs).collect() == []
+
+
+def test_sql_finds_the_same(spark, tmp_path):
+    import duckdb
+
+    from reportloom.llm.queries import SQL
+
+    draw = random.Random(8)
+    rows = [(i, "".join(draw.choice([*PARTS, NPM, " ", "é "]) for _ in range(draw.randint(0, 25)))) for i in range(300)]
+    rows += [(300, None), (301, ""), (302, f"AGE-SECRET-KEY-1{'Q' * 58} {GOOD} {GOOD[:-1]}_ x{NPM}-")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op4_secret_spans"](spark, str(tmp_path))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    assert sorted(map(tuple, got.select(names).collect())) == sorted(db.execute(f"SELECT {', '.join(names)} FROM ({SQL['op4_secret_spans']})").fetchall())
