@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reportloom.fixed_values import NA_TEXTS, PROMPTS
 from reportloom.functions.modality import folder_modality, modality, modality_hint, path_part
 from reportloom.functions.text import fill, has_text, or_empty, strip
-from reportloom.operators.split import number_rows, three_way_split, with_row_number
+from reportloom.operators.split import number_rows, three_way_split, with_row_number, written
 
 ORIGIN = ["origin_folder", "modality"]
 
@@ -103,9 +103,11 @@ def answer_json(result: Column) -> Column:
 
 def build_prompts(df: DataFrame, *, key: str, columns: Mapping[str, str] | None = None,
                   organs: Mapping[str, str] | DataFrame | None = None, first: float = 0.2, second: float = 0.4,
-                  seed: int = 42, cot_enabled: bool = False) -> DataFrame:
+                  seed: int = 42, cot_enabled: bool = False, keys: DataFrame | None = None) -> DataFrame:
     """Prompt table with exact shares of each prompt kind.
 
+    ``keys`` may give the key column of ``df`` as a table of its own.
+
     ``columns`` names the organ, finding and result columns of the input.
     Without ``cot_enabled`` the last share gets the medium prompt.
     """
@@ -115,7 +117,7 @@ def build_prompts(df: DataFrame, *, key: str, columns: Mapping[str, str] | None
         {names["organ"]: "organ_abbr", names["finding"]: "finding_text", names["result"]: "result_text"}
     )
     mapped = look_up(renamed, "organ_abbr", {} if organs is None else organs, out="organ")
-    split = three_way_split(mapped, key=key, first=first, second=second, seed=seed, out="share")
+    split = three_way_split(mapped, key=key, first=first, second=second, seed=seed, out="share", keys=keys)
     kind = F.when(F.col("share") == "cot", "cot" if cot_enabled else "medium").otherwise(F.col("share"))
     fields = prompt_columns(split)
 
@@ -168,7 +170,9 @@ def retrieval_test_rows(df: DataFrame, *, key: str, seed: int = 42, split: str =
     numbers among themselves and the train rows need not be numbered.
     """
     stated = F.nullif(F.col("modality"), F.lit(""))
-    return number_rows(df.filter(F.col(split) == "eval"), key=key, seed=seed, out="id").select(
+    held_out = df.filter(F.col(split) == "eval")
+    keys = written(held_out.select(key), "eval-keys")
+    return number_rows(held_out, key=key, seed=seed, out="id", keys=keys).select(
         "id",
         *[or_empty(F.col(c)).alias(c) for c in ("organ", "finding_text", "result_text")],
         F.coalesce(stated, modality(F.col("finding_text"), fallback="")).alias("modality"),

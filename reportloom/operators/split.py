@@ -20,7 +20,7 @@ MOST_DIGITS = 5  # about a million histogram rows, the most that are summed in o
 LOW_BITS = 33  # of Spark's increasing ids: the row within its partition
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     folder = fresh_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
@@ -28,7 +28,7 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 def with_row_id(df: DataFrame, *, out: str = "row_id") -> DataFrame:
     """The rows, written once, with a unique number each: it stays the same however often they are read."""
-    return _written(df.withColumn(out, F.monotonically_increasing_id()), "rows")
+    return written(df.withColumn(out, F.monotonically_increasing_id()), "rows")
 
 
 def with_row_number(df: DataFrame, *, out: str = "row_number") -> DataFrame:
@@ -54,7 +54,7 @@ def with_own_key(df: DataFrame, *, key: str, keys: DataFrame | None = None) -> t
     plain = F.col(key).cast("string")
     if shared.isEmpty():
         return df.withColumn("__key", plain), (df if keys is None else keys).select(plain.alias("__key"))
-    shared = _written(shared, "shared-keys")
+    shared = written(shared, "shared-keys")
     rows = with_row_id(df, out="__id").join(shared.withColumn("__shared", F.lit(True)), F.col(key).eqNullSafe(F.col("__k")), "left")
     numbered = F.concat(F.coalesce(plain, F.lit("")), F.lit("#"), F.col("__id"))
     own = rows.withColumn("__key", F.when(F.col("__shared"), numbered).otherwise(plain)).drop("__id", "__k", "__shared")
@@ -119,14 +119,16 @@ def assign_by_rank(df: DataFrame, sizes: Sequence[tuple[str, Column]], *, key: s
 
 
 def three_way_split(df: DataFrame, *, key: str, first: float = 0.2, second: float = 0.4, seed: int = 42,
-                    labels: tuple[str, str, str] = ("simple", "medium", "cot"), out: str = "split") -> DataFrame:
+                    labels: tuple[str, str, str] = ("simple", "medium", "cot"), out: str = "split",
+                    keys: DataFrame | None = None) -> DataFrame:
     """``first`` of all rows, ``second`` of the remaining ones, then the rest; counts round half to even."""
     if not (0.0 < first < 1.0 and 0.0 < second < 1.0 and first + second < 1.0):
         raise ValueError("fractions must lie in (0, 1) and sum to less than 1")
     total = F.col("total")
     n_first = F.rint(total * F.lit(first))
     n_second = F.rint((total - n_first) * F.lit(second))
-    return assign_by_rank(df, [(labels[0], n_first), (labels[1], n_second)], key=key, rest=labels[2], seed=seed, out=out)
+    return assign_by_rank(df, [(labels[0], n_first), (labels[1], n_second)], key=key, rest=labels[2], seed=seed, out=out,
+                          keys=keys)
 
 
 def train_eval_split(df: DataFrame, *, key: str, test_size: float = 0.1, seed: int = 42, enabled: bool = True,
@@ -143,13 +145,13 @@ def train_eval_split(df: DataFrame, *, key: str, test_size: float = 0.1, seed: i
 
 
 def number_rows(df: DataFrame, *, key: str, seed: int = 42, out: str = "orig_index",
-                digits: int = HEX_DIGITS) -> DataFrame:
+                digits: int = HEX_DIGITS, keys: DataFrame | None = None) -> DataFrame:
     """Dense numbers from 0 in hash order.
 
     Every bucket is ranked by itself and shifted by the rows before it. A bucket holds about
     n / 16**digits rows, which sort in one task. Rows with a NULL or repeated key count like all others.
     """
-    df, keys = with_own_key(df, key=key)
+    df, keys = with_own_key(df, key=key, keys=keys)
     key = "__key"
     shifts = _histogram(keys, key, seed, digits).select("__bucket", (F.col("upto") - F.col("rows")).alias("__before"))
     hashed = df.withColumn("__h", order_hash(F.col(key), seed)).withColumn("__bucket", F.substring("__h", 1, digits))
