@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reportloom.llm.storage import Batches, batches_of, mapped, stored
+from reportloom.llm.storage import Batches, batches_of, mapped, sliced, stored
 
 UNKNOWN = "und"
 PROFILE = 300
@@ -25,6 +25,7 @@ LONGEST = 3
 BLANK = 1  # stands for everything that is not a letter
 SHIFT = 21  # bits of a code point
 PIECE = 1 << 20  # characters handled at once
+GRAMS_AT_ONCE = 1 << 21  # n-grams of texts held before they are summed
 
 
 class Profiles(NamedTuple):
@@ -75,19 +76,29 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def learn(docs: DataFrame, text: str = "text", language: str = "lang", profile: int = PROFILE) -> Profiles:
-    """Profiles from all rows of ``docs`` with a language and a text. Counts are summed per batch before they shuffle;
+    """Profiles from all rows of ``docs`` with a language and a text. Counts are summed in the task before they shuffle;
     only the finished profiles (``profile`` numbers per language) reach the driver."""
     schema = pa.schema([("language", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def work(batches: Batches) -> Batches:
-        for batch in batches:
-            parts: dict[str, list] = {}
-            for name, value in zip(batch.column("language").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                parts.setdefault(name, []).append(grams(value))
-            for name, own in parts.items():
-                found, counts = _summed(own)
+        parts: dict[str, list] = {}
+        held = 0
+
+        def summed() -> Batches:
+            for name in list(parts):
+                found, counts = _summed(parts.pop(name))
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(found)), pa.array(found), pa.array(counts)], schema=schema)
 
+        for batch in sliced(batches):
+            for name, value in zip(batch.column("language").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                own = grams(value)
+                parts.setdefault(name, []).append(own)
+                held += len(own[0])
+            if held >= GRAMS_AT_ONCE:
+                yield from summed()
+                held = 0
+        yield from summed()
+
     labelled = docs.select(F.col(language).cast("string").alias("language"), F.col(text).alias("text")).dropna()
     counted = mapped(labelled, work, "language string, gram long, n long").groupBy("language", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("language").orderBy(F.desc("n"), "gram"))
@@ -124,7 +135,7 @@ def predict(docs: DataFrame, profiles: Profiles, key: str = "doc_id", text: str
     schema = pa.schema([("key", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def work(batches: Batches) -> Batches:
-        rows = ((k, *identify(t, profiles)) for b in batches
+        rows = ((k, *identify(t, profiles)) for b in sliced(batches)
                 for k, t in zip(b.column("key").to_pylist(), b.column("text").to_pylist(), strict=True))
         return batches_of(rows, schema)
 
@@ -138,7 +149,7 @@ def accepted(docs: DataFrame, profiles: Profiles, least: float, text: str = "tex
     at = docs.columns.index(text)
 
     def work(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [identify(t, profiles) for t in batch.column(at).to_pylist()]
             yield batch.filter(pc.and_(pa.array([n != UNKNOWN for n, _ in found], pa.bool_()),
                                        pa.array([s >= least for _, s in found], pa.bool_())))

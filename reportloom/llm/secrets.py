@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportloom.llm.storage import Batches, batches_of, mapped, rows_of
+from reportloom.llm.storage import Batches, batches_of, mapped, rows_of, sliced
 
 # Keywords, patterns and alphabets of the kinds, in the order in which spans with one start are listed.
 BASE_KINDS = ["assign", "access", "hex"]
@@ -158,7 +158,7 @@ def mask_secrets(docs: DataFrame, text: str = "text", length: str = "n_chars") -
     names, kinds = docs.columns, dict(docs.dtypes)
 
     def work(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in sliced(batches):
             old = batch.column(names.index(text)).to_pylist()
             spans = [secrets_of(t) for t in old]
             if any(spans):

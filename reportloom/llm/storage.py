@@ -41,9 +41,16 @@ def write_attempt(files: fs.FileSystem, folder: str, suffix: str) -> str:
     return f"{folder}/part-{uuid.uuid4().hex}{suffix}"
 
 
+def sliced(batches: Batches, rows: int = 512) -> Batches:
+    """The batches in shorter ones, so that few rows at a time become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def rows_of(batches: Batches, *names: str) -> Iterator[tuple]:
     """The named columns of Arrow batches as Python rows; strings come as bytes."""
-    for batch in batches:
+    for batch in sliced(batches):
         columns = []
         for name in names:
             column = batch.column(name)

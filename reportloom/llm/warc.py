@@ -20,7 +20,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportloom.llm.storage import Batches, batches_of, mapped, shared_files, stored, write_attempt
+from reportloom.llm.storage import Batches, batches_of, mapped, shared_files, sliced, stored, write_attempt
 from reportloom.session import fresh_folder
 
 # Fixed values of the format.
@@ -144,7 +144,7 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
 
     def work(batches: Batches) -> Batches:
         files, base = shared_files(folder)
-        rows = (row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html", "refers_to")), strict=True))
+        rows = (row for b in sliced(batches, 64) for row in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html", "refers_to")), strict=True))
         return batches_of(_archives(files, base, rows, archive_bytes), schema, 1)
 
     picked = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))

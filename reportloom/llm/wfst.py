@@ -24,15 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from reportloom.llm.storage import Batches, mapped
+from reportloom.llm.storage import Batches, mapped, sliced
 from reportloom.llm.words import WordCache
 
 MARK = "▁"  # written for a blank in the model's pieces
 UNIGRAM, BPE = 1, 2
-BORDERS_HELD = 500_000
+BORDERS_HELD = 250_000
 STRETCHES_AT_ONCE = 1 << 15
-TEXTS_AT_ONCE = 512
-IDS_AT_ONCE = 1 << 22
+TEXTS_AT_ONCE = 256
+IDS_AT_ONCE = 1 << 20
 UNKNOWN_WEIGHT = 1e6  # of a character written as bytes
 END = ""  # key of the piece that ends at a node of the trie
 
@@ -243,7 +243,7 @@ def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text"
 
     def work(batches: Batches) -> Batches:
         own, rows, held = transducer(model), [], 0
-        for batch in batches:
+        for batch in sliced(batches):
             for k, value in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = own.encode(value)
                 rows.append((k, ids, None if value is None else own.decode(ids) == own.normalised(value)))
@@ -265,7 +265,7 @@ def decoded(rows: DataFrame, model: str, key: str = "doc_id", ids: str = "ids")
 
     def work(batches: Batches) -> Batches:
         own = transducer(model)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [None if i is None else own.decode(np.array(i, "<u4")) for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(texts, pa.string())], schema=schema)
 

@@ -8,7 +8,7 @@ from typing import Generic, TypeVar
 Word = TypeVar("Word", str, bytes)
 
 LONGEST = 64  # longer words are encoded each time, so that the memory is bounded
-REMEMBERED = 250_000  # words of each of two generations
+REMEMBERED = 150_000  # words of each of two generations
 
 
 class WordCache(Generic[Word]):
