@@ -41,7 +41,7 @@ def quotas(weights: dict[str, float], period: int = PERIOD) -> tuple[int, dict[s
         raise ValueError("weights must be positive")
     while period < SLOTS_PER_SOURCE * len(weights):
         period *= 2
-    total, free = sum(weights.values()), period - len(weights)
+    total = sum(weights.values())
     exact = {s: w / total * period for s, w in weights.items()}
     whole = {s: max(1, int(x)) for s, x in exact.items()}
     left = period - sum(whole.values())
@@ -54,7 +54,6 @@ def quotas(weights: dict[str, float], period: int = PERIOD) -> tuple[int, dict[s
         most = max((s for s in order if whole[s] > 1), key=lambda s: (whole[s] - exact[s], s))
         whole[most] -= 1
         left += 1
-    assert free >= 0
     return period, whole
 
 
