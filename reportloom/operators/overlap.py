@@ -39,6 +39,11 @@ def _grams(tokens: Column, side: int) -> Column:
     return F.concat(*[of_order(n) for n in range(1, ORDERS + 1)])
 
 
+def _dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows by key over all shuffle partitions: small tables grow a hundredfold here, so they must not be put together."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def overlap_counts(df: DataFrame, *, key: str, reference: str = "reference", prediction: str = "predicted") -> DataFrame:
     """(key, COUNT_FIELDS): lengths, clipped n-gram matches and n-gram totals per row; ``key`` must be unique.
 
@@ -46,7 +51,7 @@ def overlap_counts(df: DataFrame, *, key: str, reference: str = "reference", pre
     50 billion texts.
     """
     tokens = df.select(F.col(key), score_tokens(F.col(reference)).alias("r"), score_tokens(F.col(prediction)).alias("c"))
-    grams = tokens.repartition(key).select(key, F.explode_outer(F.concat(_grams(F.col("r"), 0), _grams(F.col("c"), 1))).alias("g"))
+    grams = _dealt(tokens, key).select(key, F.explode_outer(F.concat(_grams(F.col("r"), 0), _grams(F.col("c"), 1))).alias("g"))
     in_cand = F.col("g").bitwiseAND(F.lit(1).cast("bigint"))
     counted = grams.groupBy(key, F.shiftright("g", 1).alias("g")).agg(F.count("g").alias("n"), F.coalesce(F.sum(in_cand), F.lit(0)).alias("c"))
     order, r = F.col("g").bitwiseAND(F.lit(3).cast("bigint")), F.col("n") - F.col("c")
@@ -82,8 +87,8 @@ def equal_word_scores(df: DataFrame, *, key: str, reference: str = "reference",
     def placed(column: str, side: int) -> Column:
         return F.transform(F.col(column), lambda w, i: F.struct(w.alias("w"), i.alias("i"), F.lit(side).alias("side")))
 
-    sides = df.select(F.col(key), listed(reference).alias("r"), listed(prediction).alias("c")).repartition(key)
-    each = sides.select(key, F.size("r").alias("n_ref"), F.size("c").alias("n_cand"),
+    sides = df.select(F.col(key), listed(reference).alias("r"), listed(prediction).alias("c"))
+    each = _dealt(sides, key).select(key, F.size("r").alias("n_ref"), F.size("c").alias("n_cand"),
                         F.explode_outer(F.concat(placed("r", 0), placed("c", 1))).alias("p")).select(key, "n_ref", "n_cand", "p.*")
     nth = F.row_number().over(Window.partitionBy(key, "w", "side").orderBy(F.desc("i")))
     met = each.withColumn("k", nth).groupBy(key, "n_ref", "n_cand", "w", "k").agg(
