@@ -10,6 +10,7 @@ the files in order with the number of ids before each.
 from __future__ import annotations
 
 import functools
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -32,6 +33,7 @@ TAIL = struct.Struct("<QQQQ8s")  # ids, documents, blocks, offset of the foot, m
 BLOCK_IDS = 1 << 16  # a multiple of 8, so that every block starts at a byte
 FILE_IDS = 1 << 28  # ids after which a task starts its next file
 WORDS_AT_ONCE = 1 << 15
+WORDS_REMEMBERED = 300_000  # of each of two generations
 
 
 def bits_for(vocabulary: int) -> int:
@@ -143,6 +145,8 @@ class _Encoder(NamedTuple):
     words: WordCache
     size: int
     kind: str
+    lowers: bool
+    marks: list[bytes]  # beginnings of special tokens, which the tokenizer looks for before it lowers a text
 
 
 @functools.cache
@@ -162,13 +166,18 @@ def _encoder(path: str) -> _Encoder:
         data = ids.tobytes()
         return [data[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
 
-    return _Encoder(WordCache(encode), size, kind)
+    lowers = all(model.encode(c, add_special_tokens=False).ids == model.encode(c.lower(), add_special_tokens=False).ids for c in string.ascii_uppercase)
+    marks = sorted({t.content[:2].encode() for t in model.get_added_tokens_decoder().values()})
+    return _Encoder(WordCache(encode, WORDS_REMEMBERED), size, kind, lowers, marks)
 
 
 def word_ids(text: bytes | None, path: str) -> np.ndarray:
     """Token ids of a UTF-8 text by the tokenizer at ``path``, one whose pieces never span ASCII white space; words are
-    encoded by the tokenizers library once and remembered."""
-    encoder, words = _encoder(path), text.split() if text else []
+    encoded by the tokenizers library once and remembered, in lower case if the tokenizer lowers them anyway."""
+    encoder, text = _encoder(path), text or b""
+    if encoder.lowers and not any(mark in text for mark in encoder.marks):
+        text = text.lower()  # A-Z only
+    words = text.split()
     parts = [encoder.words.joined(words[at:at + WORDS_AT_ONCE]) for at in range(0, len(words), WORDS_AT_ONCE)]
     return np.frombuffer(b"".join(parts), encoder.kind).astype("<u4")
 

@@ -25,12 +25,13 @@ class WordCache(Generic[Word]):
     def joined(self, words: list[Word]) -> bytes:
         """The encodings of all words, one after the other."""
         found = list(map(self.young.get, words))
-        if None in found:
-            self._fill(words, found)
+        places = [at for at, code in enumerate(found) if code is None]
+        if places:
+            self._fill(words, found, places)
         return b"".join(found)
 
-    def _fill(self, words: list[Word], found: list[bytes | None]) -> None:
-        missing = dict.fromkeys(w for w, f in zip(words, found, strict=True) if f is None)
+    def _fill(self, words: list[Word], found: list[bytes | None], places: list[int]) -> None:
+        missing = dict.fromkeys(map(words.__getitem__, places))
         unknown = []
         for word in missing:
             missing[word] = self.old.get(word)
@@ -38,9 +39,8 @@ class WordCache(Generic[Word]):
                 unknown.append(word)
         for word, code in zip(unknown, self.encode(unknown) if unknown else [], strict=True):
             missing[word] = code
-        for at, code in enumerate(found):
-            if code is None:
-                found[at] = missing[words[at]]
+        for at in places:
+            found[at] = missing[words[at]]
         if len(self.young) + len(missing) > self.remembered:
             self.old, self.young = self.young, {}
         if len(missing) <= self.remembered:

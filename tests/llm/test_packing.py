@@ -52,7 +52,7 @@ def test_block_must_be_whole_bytes():
         packing.TokenWriter(io.BytesIO(), 5, 12)
 
 
-@pytest.mark.parametrize("text", ["a<|endoftext|>b <|startoftext|>", "don't  STOP\n\n", " ́x é é ﬁ", "日本 😀 x y", "x" * 500])
+@pytest.mark.parametrize("text", ["a<|endoftext|>b <|startoftext|>", "don't  STOP\n\n", " ́x é é ﬁ", "日本 😀 x y", "x" * 500, "<|ENDOFTEXT|> The <|EndOfText|>", "İ Á THE K"])
 def test_words_equal_whole_text(text):
     whole = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
     assert packing.word_ids(text.encode(), PATH).tolist() == whole
