@@ -10,6 +10,7 @@ the files in order with the number of ids before each.
 from __future__ import annotations
 
 import functools
+import re
 import string
 import struct
 import zlib
@@ -34,6 +35,8 @@ BLOCK_IDS = 1 << 16  # a multiple of 8, so that every block starts at a byte
 FILE_IDS = 1 << 28  # ids after which a task starts its next file
 WORDS_AT_ONCE = 1 << 15
 WORDS_REMEMBERED = 300_000  # of each of two generations
+# A capital and the first byte of a character from U+0300 on, which might compose with it or with its small letter only.
+CAPITAL_AND_MARK = re.compile(rb"[A-Z][\xcc-\xf4]")
 
 
 def bits_for(vocabulary: int) -> int:
@@ -173,11 +176,19 @@ def _encoder(path: str) -> _Encoder:
 
 def word_ids(text: bytes | None, path: str) -> np.ndarray:
     """Token ids of a UTF-8 text by the tokenizer at ``path``, one whose pieces never span ASCII white space; words are
-    encoded by the tokenizers library once and remembered, in lower case if the tokenizer lowers them anyway."""
+    encoded by the tokenizers library once and remembered, in lower case if the tokenizer lowers them anyway.
+
+    The tokenizer composes characters before it lowers them, and H with a line below has a composed form in lower case
+    only: in a text where a mark may follow a capital, only words of ASCII are lowered here.
+    """
     encoder, text = _encoder(path), text or b""
-    if encoder.lowers and not any(mark in text for mark in encoder.marks):
-        text = text.lower()  # A-Z only
-    words = text.split()
+    lowers = encoder.lowers and not any(mark in text for mark in encoder.marks)
+    if lowers and not CAPITAL_AND_MARK.search(text):
+        words = text.lower().split()  # A-Z only
+    elif lowers:
+        words = [word.lower() if word.isascii() else word for word in text.split()]
+    else:
+        words = text.split()
     parts = [encoder.words.joined(words[at:at + WORDS_AT_ONCE]) for at in range(0, len(words), WORDS_AT_ONCE)]
     return np.frombuffer(b"".join(parts), encoder.kind).astype("<u4")
 

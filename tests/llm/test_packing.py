@@ -1,4 +1,6 @@
 import io
+import string
+import unicodedata
 import zlib
 
 import numpy as np
@@ -58,6 +60,20 @@ def test_words_equal_whole_text(text):
     assert packing.word_ids(text.encode(), PATH).tolist() == whole
 
 
+@pytest.mark.parametrize("text", ["H\u0331", "J\u030c x", "T\u0308", "THE W\u030aA", "Y\u030a", "H\u0323\u0331 FÜR É E\u0301 <|x", "K\u0334\u0331 STOP"])
+def test_capitals_composed_in_lower_case_only(text):
+    assert packing.word_ids(text.encode(), PATH).tolist() == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+
+
+def test_capitals_before_every_mark():
+    model = Tokenizer.from_file(PATH)
+    marks = [chr(c) for c in range(0x80, 0x110000) if unicodedata.combining(chr(c))] + ["é", "ü", "ß", "日"]
+    for letter in string.ascii_uppercase:
+        for at in range(0, len(marks), 64):
+            text = " ".join(f"a{letter}{mark}B" for mark in marks[at:at + 64])
+            assert packing.word_ids(text.encode(), PATH).tolist() == model.encode(text, add_special_tokens=False).ids, (letter, at)
+
+
 def want(rows):
     model, start, out = Tokenizer.from_file(PATH), 0, []
     for key, text in rows:
