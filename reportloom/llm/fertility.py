@@ -2,10 +2,11 @@
 
 A public vocabulary with byte fallback is run over every word of a text; characters per token, the share of byte
 pieces and the evenness of the token distribution (entropy over its largest value) show text the vocabulary was not
-made for: symbol noise, broken encodings, repetition. Bands for the three come from all documents of a language
-(of a script where no language is given): the median and a multiple of the distance of the quartiles, wider for texts
-with fewer tokens than the median one, as a mean over n tokens strays by 1 / sqrt(n). Plain word and line rules come
-first.
+made for: symbol noise, broken encodings, repetition. Evenness falls with the length of a text, so what counts is its
+distance from the line that the middle texts of all lengths follow. Bands for the three come from all documents of a
+language (of a script where no language is given): the median and a multiple of the distance of the quartiles, wider
+for texts with fewer tokens than the median one, as a mean over n tokens strays by 1 / sqrt(n). Plain word and line
+rules come first.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ LEAST_SPREAD = 0.05  # no band is narrower than this share of its median on eith
 LEAST_BYTE_SHARE = 0.05  # a share of byte pieces up to this is no fault anywhere
 FIELDS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens"]
 MEASURES = ["chars_per_token", "byte_share", "evenness"]
+BANDED = {"chars_per_token": "chars_per_token", "byte_share": "byte_share", "evenness": "evenness_off"}
 
 # First and last code point of the letters that tell scripts apart.
 SCRIPTS = {
@@ -101,6 +103,11 @@ def _cache(path: str) -> WordCache:
                                     model.encode([w.decode() for w in words], num_threads=1)])
 
 
+def most_entropy(n_tokens: int, path: str) -> float:
+    """Bits of entropy a text of so many tokens can have; 0 without any."""
+    return math.log2(max(1, min(n_tokens, len(_vocabulary(path)[1]))))
+
+
 def measure(text: bytes | None, path: str) -> tuple:
     """FIELDS, MEASURES and script of a UTF-8 text; zeros and ``other`` for NULL or a text without words. The measures
     are NULL without tokens."""
@@ -115,49 +122,71 @@ def measure(text: bytes | None, path: str) -> tuple:
         return (len(words), word_chars, 0, 0, 0, 0) + (None,) * len(MEASURES) + ("other",)
     counts = np.unique(ids, return_counts=True)[1] if len(ids) < len(is_byte) else np.bincount(ids)
     share = counts[counts > 0] / len(ids)
-    most = math.log2(min(len(ids), len(is_byte))) if len(ids) > 1 else 1.0
+    most = most_entropy(len(ids), path) or 1.0
     return (len(words), word_chars, sum(map(plain.count, SYMBOLS)), repeated_lines(plain), repeated_words(words), len(ids),
             word_chars / len(ids), float(is_byte[ids].mean()), float(abs((share * np.log2(share)).sum()) / most), script(plain))
 
 
 def measures(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", language: str = "lang") -> DataFrame:
-    """(key, FIELDS, MEASURES, band), band the language or else the script. ``vocabulary`` is the path of a
-    sentencepiece model that every executor has."""
+    """(key, FIELDS, MEASURES, most, band), most the largest entropy, band the language or else the script.
+    ``vocabulary`` is the path of a sentencepiece model that every executor has."""
     schema = pa.schema([("key", pa.int64()), ("language", pa.string()), *((n, pa.int64()) for n in FIELDS),
-                        *((n, pa.float64()) for n in MEASURES), ("script", pa.string())])
+                        *((n, pa.float64()) for n in MEASURES), ("script", pa.string()), ("most", pa.float64())])
+
+    tokens = FIELDS.index("n_tokens")
 
     def work(batches: Batches) -> Batches:
-        rows = ((k, name.decode() if name else None, *measure(t, vocabulary))
+        rows = ((k, name.decode() if name else None, *(found := measure(t, vocabulary)), most_entropy(found[tokens], vocabulary))
                 for k, name, t in rows_of(batches, "key", "language", "text"))
         return batches_of(rows, schema)
 
     given = F.col(language).cast("string") if language in docs.columns else F.lit(None).cast("string")
     picked = docs.select(F.col(key).cast("long").alias("key"), given.alias("language"), F.col(text).alias("text"))
     found = mapped(picked, work, ", ".join(["key long", "language string", *(f"{n} long" for n in FIELDS),
-                                            *(f"{n} double" for n in MEASURES), "script string"]))
+                                            *(f"{n} double" for n in MEASURES), "script string", "most double"]))
     return found.withColumn("band", F.coalesce("language", "script")).drop("language", "script")
 
 
+def lines(measured: DataFrame) -> DataFrame:
+    """Per band the line of evenness over the largest entropy, laid by least squares through the medians of the lengths
+    (powers of two of tokens), so that few odd texts do not bend it; level where all have one length."""
+    lengths = measured.where(~failed()).groupBy("band", F.floor("most")).agg(
+        F.avg("most").alias("x"), F.percentile_approx("evenness", 0.5, 10000).alias("y"), F.count("evenness").alias("n")).where("n > 0")
+    sums = lengths.groupBy("band").agg(*(F.sum(F.expr(e)).alias(a) for a, e in
+                                         {"n": "n", "x": "n * x", "y": "n * y", "xx": "n * x * x", "xy": "n * x * y"}.items()))
+    across = F.col("n") * F.col("xx") - F.col("x") * F.col("x")
+    flat = across <= 1e-9 * F.col("n") * F.col("xx")
+    slope = F.when(flat, 0.0).otherwise((F.col("n") * F.col("xy") - F.col("x") * F.col("y")) / F.when(~flat, across))
+    return sums.select("band", slope.alias("slope"), ((F.col("y") - slope * F.col("x")) / F.col("n")).alias("level"))
+
+
+def levelled(measured: DataFrame) -> DataFrame:
+    """Adds ``evenness_off``: evenness less what the line of the band has at the text's length."""
+    straight = stored(lines(measured), "lines")
+    return measured.join(straight, "band", "left").withColumn(
+        "evenness_off", F.col("evenness") - F.col("level") - F.col("slope") * F.col("most")).drop("level", "slope")
+
+
 def bands(measured: DataFrame, width: float = BAND_WIDTH) -> DataFrame:
-    """Per band the middle and the room on either side of each measure, and the middle number of tokens, over all
-    documents that pass the plain rules."""
+    """Per band the middle and the room on either side of each measure (of evenness: of its distance from the line), and
+    the middle number of tokens, over all documents that pass the plain rules."""
     def middle(name: str):
         return F.percentile_approx(name, 0.5, 10000)
 
-    def room(name: str):
-        q1, q3 = (F.percentile_approx(name, p, 10000) for p in (0.25, 0.75))
+    def room(name: str, of: str):
+        q1, q3 = (F.percentile_approx(of, p, 10000) for p in (0.25, 0.75))
         return F.greatest(width * (q3 - q1), LEAST_SPREAD * middle(name))
 
     return measured.where(~failed()).groupBy("band").agg(
         middle("n_tokens").alias("tokens"),
-        *chain.from_iterable((middle(n).alias(f"{n}_middle"), room(n).alias(f"{n}_room")) for n in MEASURES))
+        *chain.from_iterable((middle(of).alias(f"{n}_middle"), room(n, of).alias(f"{n}_room")) for n, of in BANDED.items()))
 
 
 def inside():
     """Whether all measures lie in their bands. byte_share has no lower and evenness no upper limit, as neither end is
     a fault."""
     wider = F.sqrt(F.greatest(F.col("tokens") / F.col("n_tokens"), F.lit(1.0)))
-    off = {n: (F.col(n) - F.col(f"{n}_middle")) / wider for n in MEASURES}
+    off = {n: (F.col(of) - F.col(f"{n}_middle")) / wider for n, of in BANDED.items()}
     room = {n: F.col(f"{n}_room") for n in MEASURES}
     return ((F.abs(off["chars_per_token"]) <= room["chars_per_token"]) & (-off["evenness"] <= room["evenness"])
             & (off["byte_share"] <= F.greatest(room["byte_share"], F.lit(LEAST_BYTE_SHARE))))
@@ -173,10 +202,10 @@ def rated(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "te
     """(key, FIELDS, MEASURES, band, base_failed, kept), one row per row of ``docs``.
 
     kept: passes the plain rules and all three measures lie in the bands of its language or script. NULL, empty and
-    blank texts fail the plain rules; NULL keys stay; other columns are ignored. Only numbers are shuffled: the bands
-    are one row per language or script, the texts are read once.
+    blank texts fail the plain rules; NULL keys stay; other columns are ignored. Only numbers are shuffled: the lines
+    and bands are one row per language or script, the texts are read once.
     """
-    own = stored(measures(docs, vocabulary, key, text, language), "measures")
+    own = levelled(stored(measures(docs, vocabulary, key, text, language), "measures"))
     limits = stored(bands(own, width), "bands")
     return own.join(limits, "band", "left").select(
         F.col("key").alias(key), *FIELDS, *MEASURES, "band", failed().alias("base_failed"),

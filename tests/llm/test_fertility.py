@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -67,6 +68,39 @@ def test_noise_goes_and_prose_stays(spark, prose):
     assert got[2000].base_failed and got[2001].base_failed and not got[2000].kept
 
 
+@pytest.fixture(scope="module")
+def salads(spark):
+    """Given English documents, the clean ones at every length, and salads of few distinct words of a clean one."""
+    rows = [(r.doc_id, r.text, "en") for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'").collect()]
+    draw = random.Random(7)
+    long = [t for _, t, _ in rows if t and 300 < len(t.split()) < 2000 and not any(c in t for c in "|$%&*#") and len(set(t.split())) > 150]
+    clean = [" ".join(w for t in draw.sample(long, 8) for w in t.split()[:300])]
+    clean += [" ".join(t.split()[:n]) for n in (15, 30, 60, 250) for t in long[:5]]
+    clean += [" ".join(w for t in long[:60] for w in t.split())]
+    salads = [" ".join(draw.choice(own) for _ in range(n)) for n in (150, 300, 6000, 60_000) for k in (6, 8) for t in long[:4]
+              for own in [draw.sample(sorted(set(t.split())), k)]]
+    rows += [(10**6 + i, t, "en") for i, t in enumerate(clean)] + [(2 * 10**6 + i, t, "en") for i, t in enumerate(salads)]
+    return {r.doc_id: r for r in fertility.rated(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PATH).collect()}
+
+
+def test_salads_of_few_words_go(salads):
+    found = [r for k, r in salads.items() if k >= 2 * 10**6]
+    assert len(found) == 32 and any(not r.base_failed for r in found)
+    assert not any(r.kept for r in found)
+
+
+def test_clean_texts_of_all_lengths_stay(salads):
+    found = [r for k, r in salads.items() if 10**6 <= k < 2 * 10**6]
+    assert max(r.n_tokens for r in found) > 30_000 and min(r.n_tokens for r in found) < 60
+    assert [(r.doc_id, r.n_tokens, r.evenness) for r in found if not r.kept and not r.base_failed] == []
+
+
+def test_band_of_one_length_is_level(spark, prose):
+    rows = [(i, prose(i, 100), "xx") for i in range(3)] + [(9, prose(9, 100), "yy")]
+    found = fertility.rated(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PATH).collect()
+    assert [r.kept for r in found] == [True] * 4
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     rows = fertility.rated(odd_docs, PATH).collect()
     want = Counter((str(r.doc_id), *base(r.text)) for r in odd_docs.collect())
