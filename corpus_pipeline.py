@@ -15,12 +15,14 @@ from reportloom.llm import mixing, rank_order, secrets, simhash, wfst
 from reportloom.llm.queries import MIX_EXPONENT
 from reportloom.llm.storage import documents, public_vocabulary, stored
 
-LEAST_SCORE = 0.1  # share of agreement with the best language's profile below which a text counts as no language
+LEAST_SCORE = 0.1  # least agreement with the best language's profile, whatever the scores of the labelled texts are
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language; the profiles are learned from all labelled documents of the stage."""
-    return rank_order.accepted(docs, rank_order.learn(docs), LEAST_SCORE)
+    """Documents whose text has a language; the profiles and the scores wanted at each length are learned from all
+    labelled documents of the stage."""
+    profiles = rank_order.learn(docs)
+    return rank_order.accepted(docs, profiles, LEAST_SCORE, by_length=rank_order.least_scores(docs, profiles))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,6 +26,8 @@ BLANK = 1  # stands for everything that is not a letter
 SHIFT = 21  # bits of a code point
 PIECE = 1 << 20  # characters handled at once
 GRAMS_AT_ONCE = 1 << 21  # n-grams of texts held before they are summed
+LEAST_SHARE = 0.5  # of the middle score of labelled texts; a text with less counts as no language
+LEAST_ROWS = 30  # labelled texts of a length for a middle of their own
 
 
 class Profiles(NamedTuple):
@@ -144,14 +146,38 @@ def predict(docs: DataFrame, profiles: Profiles, key: str = "doc_id", text: str
     return found.withColumnRenamed("key", key)
 
 
-def accepted(docs: DataFrame, profiles: Profiles, least: float, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has a language with a score of at least ``least``; columns unchanged."""
-    at = docs.columns.index(text)
+def least_scores(docs: DataFrame, profiles: Profiles, text: str = "text", language: str = "lang") -> dict[int, float]:
+    """LEAST_SHARE of the middle score of all labelled texts, under 0, and by length (bits of the number of characters)
+    where the texts of that length have a lower middle. Only numbers are written, and a row per length reaches the driver."""
+    schema = pa.schema([("length", pa.int32()), ("score", pa.float64())])
+
+    def work(batches: Batches) -> Batches:
+        found = ((t, *identify(t, profiles)) for b in sliced(batches) for t in b.column("text").to_pylist())
+        return batches_of(((len(t).bit_length(), score) for t, name, score in found if name != UNKNOWN), schema)
+
+    labelled = docs.select(F.col(text).alias("text"), F.col(language).alias("language")).dropna().select("text")
+    scored = stored(mapped(labelled, work, "length int, score double"), "language-scores")
+    middle = F.percentile_approx("score", 0.5, 10000).alias("middle")
+    whole = scored.agg(middle).first().middle
+    if whole is None:
+        return {}
+    own = scored.groupBy("length").agg(middle, F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_ROWS).collect()
+    return {0: LEAST_SHARE * whole, **{r.length: LEAST_SHARE * min(r.middle, whole) for r in own}}
+
+
+def accepted(docs: DataFrame, profiles: Profiles, least: float, text: str = "text",
+             by_length: dict[int, float] | None = None) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score of at least ``least`` and, with ``by_length``, of what
+    ``least_scores`` found for its length; columns unchanged."""
+    at, limits = docs.columns.index(text), by_length or {}
+
+    def enough(value: str | None, score: float) -> bool:
+        return score >= max(least, limits.get(len(value or "").bit_length(), limits.get(0, least)))
 
     def work(batches: Batches) -> Batches:
         for batch in sliced(batches):
-            found = [identify(t, profiles) for t in batch.column(at).to_pylist()]
-            yield batch.filter(pc.and_(pa.array([n != UNKNOWN for n, _ in found], pa.bool_()),
-                                       pa.array([s >= least for _, s in found], pa.bool_())))
+            found = [(t, *identify(t, profiles)) for t in batch.column(at).to_pylist()]
+            yield batch.filter(pc.and_(pa.array([n != UNKNOWN for _, n, _ in found], pa.bool_()),
+                                       pa.array([enough(t, s) for t, _, s in found], pa.bool_())))
 
     return docs.mapInArrow(work, docs.schema)

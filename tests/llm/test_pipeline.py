@@ -1,3 +1,5 @@
+import base64
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -55,3 +57,22 @@ def test_clean_documents_stay(spark):
     kept = corpus_pipeline.known_language(spark, docs, SF)
     lost = {r.doc_id for r in docs.collect()} - {r.doc_id for r in kept.collect()}
     assert len(lost) <= 0.01 * docs.count()
+
+
+POLISH = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem. "
+FINNISH = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto. "
+ENGLISH = "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience. "
+
+
+def test_noise_and_unlearned_languages_go(spark):
+    draw = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    noise = [base64.b64encode(draw.randbytes(n)).decode() for n in (300, 3000)] + [(t * 20)[:n] for t in (POLISH, FINNISH) for n in (200, 2000)]
+    noise += [" ".join("".join(draw.choices(letters, k=draw.randint(2, 9))) for _ in range(n)) for n in (60, 500)]
+    clean = [(ENGLISH * 20)[:n] for n in (64, 200, 2000)]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(10**6 + i, t, None, "a", len(t)) for i, t in enumerate(noise)] + [(2 * 10**6 + i, t, None, "a", len(t)) for i, t in enumerate(clean)]
+    more = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, docs.select(more.columns).unionByName(more), SF).collect()}
+    assert not {k for k in kept if 10**6 <= k < 2 * 10**6}
+    assert {r[0] for r in rows[len(noise):]} <= kept
