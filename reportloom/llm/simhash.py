@@ -123,35 +123,48 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     smallest key of its component, NULL if there is none. Rows repeated whole stay repeated. Other columns are ignored.
     """
     own = stored(fingerprints(docs, key, text, shingle), "fingerprints")
+    return own.join(_components_of(own, max_bits), "fp").select(
+        F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _components_of(own: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, component_id, root) of every distinct fingerprint of (key, fp); root, one fingerprint of the component, tells
+    apart components with the same smallest key."""
     classes = stored(own.groupBy("fp").agg(F.min("key").alias("head")), "classes")
     roots = stored(components(linked_fingerprints(classes.select("fp"), max_bits)), "components")
     least = (roots.join(classes, roots.node == classes.fp).groupBy("root").agg(F.min("head").alias("component_id")))
-    linked = stored(roots.join(least, "root").select(F.col("node").alias("fp"), "component_id"), "linked")
-    of_class = stored(classes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "head").alias("component_id")),
-                      "class-components")
-    return own.join(of_class, "fp").select(
-        F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    linked = stored(roots.join(least, "root").select(F.col("node").alias("fp"), "component_id", "root"), "linked")
+    return stored(classes.join(linked, "fp", "left").select(
+        "fp", F.coalesce("component_id", "head").alias("component_id"), F.coalesce("root", "fp").alias("root")), "class-components")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest key; columns and other rows unchanged.
+    """``docs`` with one row of each component, the one with the smallest key; columns unchanged.
 
-    Of several rows with that key, the one that sorts first by text stays. Rows without a key cannot be told apart and
-    all stay.
+    Of several rows of a component with that key, the one that sorts first by text stays; a key with different texts can
+    stay once in each of several components. Rows without a key cannot be told apart and all stay.
     """
-    found = near_duplicates(docs.where(F.col(key).isNotNull()), key, text, shingle, max_bits)
-    dropped = stored(found.where(F.col(key) != F.col("component_id")).select(F.col(key).cast("long").alias("_dropped")).distinct(),
+    number = F.col(key).cast("long")
+    own = stored(fingerprints(docs.where(number.isNotNull()), key, text, shingle), "fingerprints")
+    found = _components_of(own, max_bits)
+    again = stored(own.groupBy(F.col("key").alias("_again")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_again"), "repeated")
+    dropped = stored(own.join(found, "fp").where(F.col("key") != F.col("component_id")).select(F.col("key").alias("_dropped")).distinct(),
                      "dropped")
-    again = stored(found.where(F.col(key) == F.col("component_id")).groupBy(F.col(key).cast("long").alias("_again"))
-                   .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "repeated")
-    kept = docs.join(dropped, docs[key].cast("long") == F.col("_dropped"), "left_anti")
-    single = kept.join(again, kept[key].cast("long") == F.col("_again"), "left_anti")
-    double = kept.join(again, kept[key].cast("long") == F.col("_again"), "left_semi")
-    return single.unionByName(_first_of_key(double, key, text))
+    single = docs.join(again, number == F.col("_again"), "left_anti").join(dropped, number == F.col("_dropped"), "left_anti")
+    double = docs.join(again, number == F.col("_again"), "left_semi")
+    return single.unionByName(_first_of_component(double, found, key, text, shingle))
+
 
+def _first_of_component(rows: DataFrame, found: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """The first row of each component whose smallest key is the row's own, by partial aggregates, so that a row repeated
+    very often is never gathered."""
+    def prints(texts: pa.Array) -> pa.Array:
+        return pa.array([(f := fingerprint(t, shingle)) - (f >> 63 << 64)
+                         for (t,) in rows_of(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), "text")], pa.int64())
 
-def _first_of_key(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per key by partial aggregates, so that a row repeated very often is never gathered."""
     order = F.struct(F.col(text).isNull(), F.col(text), *[F.col(f"`{c}`") for c in rows.columns if c not in (key, text)])
-    best = rows.groupBy(F.col(key)).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), order).alias("_row"))
-    return best.select("_row.*")
+    own = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"), order.alias("_order"),
+                      F.col(key).cast("long").alias("_key"), F.arrow_udf(prints, "long")(F.col(text)).alias("fp"))
+    least = own.groupBy("_key", "fp").agg(F.min_by("_row", "_order").alias("_row"), F.min("_order").alias("_order"))
+    met = least.join(found, "fp").where(F.col("_key") == F.col("component_id"))
+    return met.groupBy("root").agg(F.min_by("_row", "_order").alias("_row")).select("_row.*")

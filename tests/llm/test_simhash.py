@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from hypothesis import given, settings
@@ -98,6 +98,27 @@ def test_one_of_each(spark, odd_docs, no_docs):
     assert simhash.one_of_each(no_docs).collect() == [] and simhash.near_duplicates(no_docs).collect() == []
 
 
+def test_one_key_with_different_texts(spark, prose):
+    a, b, c, d = (prose(i, 60) for i in range(4))
+    rows = [(1, a, "x"), (5, a, "x"), (5, b, "x"), (5, b, "x"), (6, b, "y"), (7, c, "x"), (7, d, "x"), (7, d, "w"), (8, d, "a"), (None, a, "n")]
+    prints = {t: plain(t) for t in (a, b, c, d)}
+    assert all((prints[x] ^ prints[y]).bit_count() > 4 for x, y in ((a, b), (a, c), (a, d), (b, c), (b, d), (c, d)))
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert Counter(map(tuple, kept)) == Counter([(1, a, "x"), (5, b, "x"), (7, c, "x"), (7, d, "w"), (None, a, "n")])
+
+
+def test_every_component_keeps_one_row(spark, prose):
+    draw = random.Random(3)
+    texts = [prose(i // 2, 80) + " tail" * (i % 2) for i in range(24)]
+    rows = [(draw.randrange(12), draw.choice(texts)) for _ in range(150)]
+    prints = {i: plain(t) for i, (_, t) in enumerate(rows)}
+    components_of = defaultdict(list)
+    for place, root in groups(prints, 4).items():
+        components_of[root].append(rows[place])
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted(min(own) for own in components_of.values())
+
+
 def test_components_of_random_graphs(spark):
     for seed in range(3):
         draw = random.Random(seed)
