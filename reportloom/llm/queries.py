@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportloom.llm import binary_codes, fertility, mixing, packing, preference, rank_order, secrets, simhash, warc, wfst
+from reportloom.llm import binary_codes, fertility, mixing, packing, piece_table, preference, rank_order, secrets, simhash, warc, wfst
 from reportloom.llm.storage import documents, public_vocabulary, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +207,31 @@ FROM given JOIN least USING (i) LEFT JOIN counts USING (i)
 @query("op10_rotated_binary_codes", COSINES_SQL)
 def op10_rotated_binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_codes.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+# Lines end behind a line break or at the end of the text; what stands before a line is the lines before it.
+FIM_SQL = """
+WITH given AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+         sha256('7:' || coalesce(CAST(doc_id AS varchar), '')) AS hex FROM documents),
+drawn AS (
+  SELECT *, len(lines) AS n, list_transform([0, 1, 2, 3], lambda i: CAST('0x' || substr(hex, CAST(1 + 8 * i AS bigint), 8) AS bigint)) AS h FROM given),
+formed AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS low, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS high,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+              WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT *, array_to_string(lines[1:low], '') AS prefix, array_to_string(lines[low + 1:high], '') AS middle, array_to_string(lines[high + 1:], '') AS suffix FROM formed)
+SELECT doc_id, CAST(n AS bigint) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+@query("op13_fill_in_middle", FIM_SQL)
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = piece_table.fill_in_middle(documents(spark, sf_dir), seed=7, rate=100, spm_rate=50)
+    return piece_table.restored(done).select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
