@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportloom.llm import binary_codes, fertility, mixing, packing, piece_table, preference, rank_order, secrets, simhash, warc, wfst
+from reportloom.llm import binary_codes, fertility, mixing, packing, piece_table, preference, rank_order, secrets, simhash, variants, warc, wfst
 from reportloom.llm.storage import documents, public_vocabulary, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -209,6 +209,50 @@ def op10_rotated_binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_codes.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+# CRC-32 by a table made from its polynomial, byte by byte over the hex digits of the key's UTF-8.
+VARIANTS_SQL = """
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda a, i: CASE WHEN a % 2 = 1 THEN xor(a >> 1, CAST(3988292384 AS bigint)) ELSE a >> 1 END,
+    CAST(b AS bigint))) AS steps),
+runs AS (
+  SELECT doc_id, run, count(*) AS times
+  FROM (SELECT coalesce(CAST(doc_id AS varchar), '') AS doc_id,
+               unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{C0}-\\x{FF}]{7,}')) AS run FROM documents)
+  GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, times, xor(list_reduce(
+    list_transform(range(strlen(doc_id || ':' || run)), lambda i: CAST('0x' || substr(hex(encode(doc_id || ':' || run)), CAST(2 * i + 1 AS bigint), 2) AS bigint)),
+    lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)]), CAST(4294967295 AS bigint)), CAST(4294967295 AS bigint)) AS h
+  FROM runs, crc_table),
+typed AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM hashed),
+words AS (SELECT word, CAST(sum(times) AS bigint) AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+cuts AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+less AS (SELECT DISTINCT word, substr(word, 1, i - 1) || substr(word, i + 1) AS shorter FROM cuts),
+masked AS (SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM cuts),
+pairs AS (
+  SELECT a.word, b.word AS near FROM masked a JOIN masked b ON a.i = b.i AND a.a = b.a AND a.b = b.b AND a.word <> b.word
+  UNION SELECT l.word, w.word FROM less l JOIN words w ON w.word = l.shorter
+  UNION SELECT w.word, l.word FROM less l JOIN words w ON w.word = l.shorter),
+ranked AS (
+  SELECT p.word, p.near, w.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+         row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, p.near) AS place
+  FROM pairs p JOIN words w ON w.word = p.near),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1),
+followed(word, reached) AS (
+  SELECT word, word FROM formed UNION ALL SELECT f.word, g.form FROM followed f JOIN formed g ON g.word = f.reached WHERE g.form IS NOT NULL),
+ends AS (SELECT f.word, f.reached AS root FROM followed f JOIN formed g ON g.word = f.reached WHERE g.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
+
+@query("op12_spelling_variants", VARIANTS_SQL)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(variants.word_counts(documents(spark, sf_dir), least_chars=7, least_count=2, every=31), ratio=10)
+
+
 # Lines end behind a line break or at the end of the text; what stands before a line is the lines before it.
 FIM_SQL = """
 WITH given AS (
