@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportloom.llm import binary_codes, fertility, mixing, packing, piece_table, preference, rank_order, secrets, simhash, variants, warc, wfst
+from reportloom.llm import binary_codes, fertility, mixing, packing, piece_table, preference, rank_order, secrets, simhash, token_automaton, variants, warc, wfst
 from reportloom.llm.storage import documents, public_vocabulary, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -209,6 +209,11 @@ def op10_rotated_binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_codes.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+@query("op11_token_automaton_counts")
+def op11_token_automaton_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_automaton.token_counts(documents(spark, sf_dir), public_vocabulary("byte_bpe_50k.json"), limit=512)
+
+
 # CRC-32 by a table made from its polynomial, byte by byte over the hex digits of the key's UTF-8.
 VARIANTS_SQL = """
 WITH RECURSIVE crc_table AS (
