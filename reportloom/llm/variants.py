@@ -192,10 +192,12 @@ def grouped(words: DataFrame, ratio: int = 10) -> DataFrame:
     """(word, form, root, n, n_near, form_n) of every word of (word, n), words distinct.
 
     form: the neighbour of largest n (ties: the smallest word), if that is ``ratio`` times the word's own; else NULL.
-    root: where the forms lead in the end, the word itself if it has none. NULL and empty words are left out; no words
-    give no rows. Other columns are ignored.
+    root: where the forms lead in the end, the word itself if it has none. NULL and empty words are left out, a NULL n is
+    0; no words give no rows. Other columns are ignored.
     """
-    known = stored(words.where(F.col("word") != "").select(F.monotonically_increasing_id().alias("id"), "word", F.col("n").cast("long").alias("n")), "words")
+    if ratio <= 1:
+        raise ValueError("a form must be more frequent than the word")
+    known = stored(words.where(F.col("word") != "").select(F.monotonically_increasing_id().alias("id"), "word", F.coalesce(F.col("n").cast("long"), F.lit(0).cast("long")).alias("n")), "words")
     pairs = stored(neighbours(known), "neighbours")
     other = known.select(F.col("id").alias("near"), F.col("word").alias("near_word"), F.col("n").alias("near_n"))
     best = pairs.join(other, "near").groupBy("id").agg(
