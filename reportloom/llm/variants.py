@@ -5,7 +5,8 @@ label, child). A frontier of states (word, position, node, edits) starts at the
 joined with the edges level by level: an edge is passed unchanged or with its one edit, and a state that
 has used its edit and its whole word at a node where another word ends makes the two neighbours. As one edit leaves
 either the first or the second half of a word as it is, each trie tries edits in the second half of what it reads
-only, where few edges leave a node, and holds no nodes further up.
+only, where few edges leave a node, and holds no nodes further up. A pair is found once: by deleting from its longer
+word, or by replacing a character with a larger one; then it counts both ways.
 
 A node is the 128-bit digest of its prefix, so no string travels but the rest of a state's word. Nodes that many words
 pass are salted by that number, which the edges carry. Every level is written, so a lost executor repeats one at most.
@@ -75,16 +76,16 @@ def word_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", least_
 
 
 def _prefixes_of(words: Iterator[tuple[int, str]]) -> Iterator[tuple]:
-    """(id, side, depth, node, following, starts) of the prefixes in both directions, from one character before the half on.
+    """(id, side, depth, node, following, starts) of the prefixes in both directions, from the half on.
 
-    Neighbours' lengths differ by one at most, so nobody starts at a word's node further up.
+    A word is looked for by words at least as long, so nobody starts at a node of it further up.
     """
     for number, word in words:
         for side, read in ((FORWARDS, word), (BACKWARDS, word[::-1])):
             half = len(word) // 2 if side == FORWARDS else len(word) - len(word) // 2
             state = hashlib.blake2b(bytes([side]), digest_size=16)
             for depth in range(len(read) + 1):
-                if depth >= half - 1:
+                if depth >= half:
                     following = ord(read[depth]) if depth < len(read) else None
                     yield number, side, depth, state.copy().digest(), following, depth == half
                 if depth < len(read):
@@ -147,22 +148,25 @@ def _advanced(states: DataFrame, edges: DataFrame) -> DataFrame:
     """All states one edge further.
 
     An unchanged edge is the beginning of the rest. An edit lies where the two first differ, so it is found on one edge
-    only: the label then is at distance one of as many characters, of one fewer (one is inserted) or one more (deleted).
+    only: the label then is at distance one of as many characters (one is replaced) or one more (one is deleted). Of two
+    words of one length the one with the smaller character looks for the other.
     """
     salt = F.pmod(F.xxhash64("id"), F.floor((F.col("below") - 1) / WORDS_A_SALT) + 1).cast("int")
     rest, label, size = F.col("rest"), F.col("label"), F.length("label")
-    same = F.substring(rest, F.lit(1), size) == label
-    met = states.withColumn("salt", salt).drop("below", "ends").join(edges, ["node", "salt"]).where((F.col("edits") == 0) | same)
+    met = states.withColumn("salt", salt).drop("below", "ends").join(edges.hint("shuffle_hash"), ["node", "salt"])
+    begins = met.withColumn("begins", F.substring(rest, F.lit(1), size)).withColumn("same", F.col("begins") == label)
 
     def way(holds: Column, used: Column, edits: Column) -> Column:
         return F.when(holds, F.struct(used.alias("used"), edits.alias("edits")))
 
-    def edited(used: Column) -> Column:
-        near = F.levenshtein(label, F.substring(rest, F.lit(1), used), 1) == 1
-        return way((F.col("edits") == 0) & ~same & (F.length(rest) >= used) & near, used, F.lit(1))
+    def near(used: Column, one: Column) -> Column:
+        apart = F.levenshtein(label, F.substring(rest, F.lit(1), used), 1) == 1
+        return (F.col("edits") == 0) & ~F.col("same") & (F.length(rest) >= used) & F.when(size == 1, one).otherwise(apart)
 
-    ways = F.array(way(same, size, F.col("edits")), edited(size), edited(size - 1), edited(size + 1))
-    walked = met.withColumn("way", F.explode(F.array_compact(ways)))
+    ways = F.array(way(F.col("same"), size, F.col("edits")),
+                   way((F.col("begins") < label) & near(size, F.lit(True)), size, F.lit(1)),
+                   way(near(size + 1, F.substring(rest, 2, 1) == label), size + 1, F.lit(1)))
+    walked = begins.where((F.col("edits") == 0) | F.col("same")).withColumn("way", F.explode(ways)).where("way IS NOT NULL")
     used = F.col("way")["used"]
     further = walked.select("id", (F.col("position") + used).alias("position"), F.substring(rest, used + 1, F.length(rest)).alias("rest"),
                             F.col("child").alias("node"), "below", "ends", F.col("way")["edits"].alias("edits"), "leads")
@@ -180,12 +184,13 @@ def neighbours(words: DataFrame) -> DataFrame:
     found, level = [], stored(_met(start), "frontier")
     while not level.isEmpty():
         found.append(level.where("near IS NOT NULL").select("id", "near"))
-        going = level.where("edits = 0 OR rest <> ''").drop("near")
+        going = level.where("rest <> ''").drop("near")
         level = stored(_met(_advanced(going, edges)), "frontier")
     if not found:
         return level.select("id", "near")
-    # Both tries find a pair whose edit lies between the halves.
-    return functools.reduce(DataFrame.unionByName, found).distinct()
+    pairs = functools.reduce(DataFrame.unionByName, found)
+    # Both tries may find a pair, if its edit can be seen at several places.
+    return pairs.unionByName(pairs.select(F.col("near").alias("id"), F.col("id").alias("near"))).distinct()
 
 
 def grouped(words: DataFrame, ratio: int = 10) -> DataFrame:
