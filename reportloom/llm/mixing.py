@@ -95,14 +95,15 @@ def source_sizes(docs: DataFrame, source: str = "source", text: str = "text") ->
     return {r.s: r.n for r in rows}
 
 
-def _placed(docs: DataFrame, weights: dict[str | None, float], key: str, source: str, text: str, block_chars: int) -> DataFrame:
-    """All columns of ``docs`` and, per repetition of a row, _mix_block, _mix_epoch, _mix_slot and _mix_at (characters
-    of its source before it)."""
+def _placed(docs: DataFrame, weights: dict[str | None, float], key: str, source: str, text: str, block_chars: int,
+            *kept: Column) -> DataFrame:
+    """The key and source of each repetition of a row, _mix_block, _mix_epoch, _mix_slot, _mix_at (characters of its
+    source before it) and the columns ``kept``; no other columns, so no name can clash."""
     spark = docs.sparkSession
     period, slots = plan({"" if s is None else f"={s}": w for s, w in weights.items()})
     key_hash = F.xxhash64(F.col(key), F.col(text))
-    keyed = docs.withColumns({"_mix_source": _named(F.col(source)), "_mix_hash": key_hash, "_mix_chars": _characters(F.col(text)),
-                              "_mix_shard": F.pmod(key_hash, F.lit(SHARDS))})
+    keyed = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), _named(F.col(source)).alias("_mix_source"), key_hash.alias("_mix_hash"),
+                        _characters(F.col(text)).alias("_mix_chars"), F.pmod(key_hash, F.lit(SHARDS)).alias("_mix_shard"), *kept)
     shards = keyed.groupBy("_mix_source", "_mix_shard").agg(F.sum("_mix_chars").alias("n"))
     earlier = Window.partitionBy("_mix_source").orderBy("_mix_shard")
     offsets = stored(shards.select("_mix_source", "_mix_shard", (F.sum("n").over(earlier) - F.col("n")).alias("_mix_before"), "n"), "mix-offsets")
@@ -115,7 +116,7 @@ def _placed(docs: DataFrame, weights: dict[str | None, float], key: str, source:
     ends = known.withColumn("end", _slot(last, period) + 1).agg(F.max("end")).first()[0] or 0
     turns = F.size("_mix_slots") * F.lit(ends // period) + F.size(F.filter("_mix_slots", lambda s: s < ends % period))
     known = stored(known.withColumn("_mix_turns", turns.cast("long")), "mix-sources")
-    within = Window.partitionBy("_mix_source", "_mix_shard").orderBy("_mix_hash", F.col(key))
+    within = Window.partitionBy("_mix_source", "_mix_shard").orderBy("_mix_hash", "key")
     summed = keyed.withColumn("_mix_in", F.sum("_mix_chars").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_mix_chars"))
     at = (F.col("_mix_before") + F.col("_mix_in")).alias("_mix_at")
     set_out = summed.join(offsets.drop("n"), ["_mix_source", "_mix_shard"]).select("*", at)
@@ -143,19 +144,18 @@ def schedule(docs: DataFrame, weights: dict[str | None, float], key: str = "doc_
     placed. Repeated rows are placed each. Without rows the result is empty. Other columns are ignored; only numbers
     are shuffled.
     """
-    picked = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).alias("text"))
-    return _placed(picked, _checked(picked, weights, "source"), "key", "source", "text", block_chars).select(
+    return _placed(docs, _checked(docs, weights, source), key, source, text, block_chars).select(
         F.col("key").alias(key), F.col("source").alias(source), F.col("_mix_slot").alias("slot"), F.col("_mix_epoch").cast("long").alias("epoch"),
         F.col("_mix_block").alias("block"), F.col("_mix_at").alias("offset"))
 
 
 def mixed(docs: DataFrame, weights: dict[str | None, float], key: str = "doc_id", source: str = "source", text: str = "text",
           block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` in the order of the mix, rows repeated as ``schedule`` says, columns unchanged. Partitions hold ranges of
-    slots, so files written from it are in order."""
-    order = ["_mix_slot", "_mix_at", key]
-    placed = _placed(docs, _checked(docs, weights, source), key, source, text, block_chars)
-    return placed.repartitionByRange("_mix_slot", "_mix_at").sortWithinPartitions(*order).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` in the order of the mix, rows repeated as ``schedule`` says, columns unchanged, whatever their names.
+    Partitions hold ranges of slots, so files written from it are in order; ``storage.file_places`` finds it again."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    placed = _placed(docs, _checked(docs, weights, source), key, source, text, block_chars, whole)
+    return placed.repartitionByRange("_mix_slot", "_mix_at").sortWithinPartitions("_mix_slot", "_mix_at", "key").select("row.*")
 
 
 def _checked(docs: DataFrame, weights: dict[str | None, float], source: str) -> dict[str | None, float]:

@@ -151,7 +151,8 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def mask_secrets(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
-    """``docs`` with all secrets in ``text`` replaced; ``length``, where there is such a column, counts the new text.
+    """``docs`` with all secrets in ``text`` replaced; ``length``, where there is such a column of whole numbers, counts
+    the new text.
 
     Rows without a secret, NULL and empty texts and all other columns stay as they are. No shuffle.
     """
@@ -165,7 +166,7 @@ def mask_secrets(docs: DataFrame, text: str = "text", length: str = "n_chars") -
                 new = [masked(t, s) if s else t for t, s in zip(old, spans, strict=True)]
                 columns = list(batch.columns)
                 columns[names.index(text)] = pa.array(new, batch.column(names.index(text)).type)
-                if length in names:
+                if kinds.get(length) in ("bigint", "int"):
                     counts = [len(t) if s else n for t, s, n in zip(new, spans, columns[names.index(length)].to_pylist(), strict=True)]
                     columns[names.index(length)] = pa.array(counts, columns[names.index(length)].type)
                 batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)

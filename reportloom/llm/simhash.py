@@ -139,32 +139,34 @@ def _components_of(own: DataFrame, max_bits: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` with one row of each component, the one with the smallest key; columns unchanged.
+    """``docs`` with one row of each component, the one with the smallest key; columns unchanged, whatever their names.
 
     Of several rows of a component with that key, the one that sorts first by text stays; a key with different texts can
-    stay once in each of several components. Rows without a key cannot be told apart and all stay.
+    stay once in each of several components. Rows without a key stay only where their component has none with one, and
+    then the first by text.
     """
-    number = F.col(key).cast("long")
-    own = stored(fingerprints(docs.where(number.isNotNull()), key, text, shingle), "fingerprints")
+    number = F.col(key).cast("long").alias("key")
+    own = stored(fingerprints(docs, key, text, shingle), "fingerprints")
     found = _components_of(own, max_bits)
-    again = stored(own.groupBy(F.col("key").alias("_again")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_again"), "repeated")
-    dropped = stored(own.join(found, "fp").where(F.col("key") != F.col("component_id")).select(F.col("key").alias("_dropped")).distinct(),
-                     "dropped")
-    single = docs.join(again, number == F.col("_again"), "left_anti").join(dropped, number == F.col("_dropped"), "left_anti")
-    double = docs.join(again, number == F.col("_again"), "left_semi")
-    return single.unionByName(_first_of_component(double, found, key, text, shingle))
+    again = stored(own.where("key IS NOT NULL").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "repeated")
+    dropped = stored(own.join(found, "fp").where(F.col("key") != F.col("component_id")).select("key").distinct(), "dropped")
+    rows = docs.select(number, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    known = rows.where("key IS NOT NULL")
+    single = known.join(again, "key", "left_anti").join(dropped, "key", "left_anti").select("row.*")
+    double = known.join(again, "key", "left_semi").unionByName(rows.where("key IS NULL"))
+    return single.unionByName(_first_of_component(double, found, text, shingle))
 
 
-def _first_of_component(rows: DataFrame, found: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+def _first_of_component(rows: DataFrame, found: DataFrame, text: str, shingle: int) -> DataFrame:
     """The first row of each component whose smallest key is the row's own, by partial aggregates, so that a row repeated
-    very often is never gathered."""
+    very often is never gathered. ``rows``: (key, row)."""
     def prints(texts: pa.Array) -> pa.Array:
         return pa.array([(f := fingerprint(t, shingle)) - (f >> 63 << 64)
                          for (t,) in rows_of(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), "text")], pa.int64())
 
-    order = F.struct(F.col(text).isNull(), F.col(text), *[F.col(f"`{c}`") for c in rows.columns if c not in (key, text)])
-    own = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"), order.alias("_order"),
-                      F.col(key).cast("long").alias("_key"), F.arrow_udf(prints, "long")(F.col(text)).alias("fp"))
-    least = own.groupBy("_key", "fp").agg(F.min_by("_row", "_order").alias("_row"), F.min("_order").alias("_order"))
-    met = least.join(found, "fp").where(F.col("_key") == F.col("component_id"))
-    return met.groupBy("root").agg(F.min_by("_row", "_order").alias("_row")).select("_row.*")
+    own_text = F.col("row")[text]
+    order = F.struct(own_text.isNull(), own_text, F.to_json("row"))  # JSON, as some types have no order
+    own = rows.select("key", "row", order.alias("place"), F.arrow_udf(prints, "long")(own_text).alias("fp"))
+    least = own.groupBy("key", "fp").agg(F.min_by("row", "place").alias("row"), F.min("place").alias("place"))
+    met = least.join(found, "fp").where(F.col("key").eqNullSafe(F.col("component_id")))
+    return met.groupBy("root").agg(F.min_by("row", "place").alias("row")).select("row.*")

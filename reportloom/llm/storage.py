@@ -12,6 +12,7 @@ from urllib.parse import urlparse
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def file_places(df: DataFrame, file: str, row: str) -> DataFrame:
+    """``df`` and where each row stands: the number of its file in the order of writing, and of the row in it.
+
+    A scan deals files out by size, so this is what is left of an order after a table has been read back. Of a table that
+    was not read from files, the number of its partition and the place in it.
+    """
+    try:
+        where = df.metadataColumn("_metadata")
+        at, place = where["file_name"], where["row_index"]
+        found = df.withColumns({file: F.regexp_extract(at, r"part-(\d+)", 1).cast("long") * 1_000_000
+                                + F.coalesce(F.regexp_extract(at, r"-c(\d+)", 1).try_cast("long"), F.lit(0)), row: place})
+        _ = found.schema
+        return found
+    except AnalysisException:
+        number = F.monotonically_increasing_id()
+        return df.withColumns({file: F.shiftright(number, 33), row: number.bitwiseAND(F.lit((1 << 33) - 1))})
+
+
 def shared_files(path: str) -> tuple[fs.FileSystem, str]:
     """File system and path for use inside tasks; a path without a scheme is one all tasks see under that name."""
     if not urlparse(path).scheme:

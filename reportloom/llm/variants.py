@@ -125,8 +125,8 @@ def _trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     along = Window.partitionBy("id", "side").orderBy("depth")  # as many rows as a word has characters, at most
     steps = path.withColumns({"parent": F.lag("node").over(along), "from": F.lag("depth").over(along), "passed": F.lag("below").over(along)})
     # Every word that passes an edge says the same of it.
-    single = steps.where("parent IS NOT NULL").groupBy("parent", "node").agg(
-        F.min(F.struct("id", "side", "from", "depth", "passed", "below", "ends", "leads")).alias("of")).select("parent", F.col("node").alias("child"), "of.*")
+    said = ["id", "side", "from", "depth", "passed", "below", "ends", "leads"]
+    single = steps.where("parent IS NOT NULL").groupBy("parent", F.col("node").alias("child")).agg(*[F.min(c).alias(c) for c in said])
     salts = F.sequence(F.lit(0), F.floor((F.col("passed") - 1) / WORDS_A_SALT).cast("int"))
     label = F.substring(reading, F.col("from") + 1, F.col("depth") - F.col("from"))
     edges = single.join(words.select("id", "word"), "id").select(

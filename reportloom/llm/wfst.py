@@ -16,7 +16,7 @@ from __future__ import annotations
 import functools
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -226,27 +226,30 @@ def transducer(path: str) -> Transducer:
     return Transducer(path)
 
 
-def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", numbers: Sequence[str] = ()) -> DataFrame:
     """(key, ids, n_tokens, round_trip), one row per row of ``docs``: the ids, and whether decoding them gives the
-    normalised text back (NULL for a NULL text, whose ids are empty). Other columns are ignored. No shuffle.
+    normalised text back (NULL for a NULL text, whose ids are empty). The columns called ``numbers`` follow as longs,
+    others are ignored. No shuffle.
 
     ``model`` is the path of a sentencepiece model that every executor has.
     """
-    schema = pa.schema([("key", pa.int64()), ("ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("round_trip", pa.bool_())])
+    schema = pa.schema([("key", pa.int64()), ("ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("round_trip", pa.bool_()),
+                        *[(f"number_{i}", pa.int64()) for i in range(len(numbers))]])
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        keys, ids, good = zip(*rows, strict=True)
+        keys, ids, good, *more = zip(*rows, strict=True)
         sizes = np.array([len(i) for i in ids], np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
                                          pa.array(np.concatenate(ids).astype(np.int32)))
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), lists, pa.array(sizes), pa.array(good, pa.bool_())], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), lists, pa.array(sizes), pa.array(good, pa.bool_()),
+                                           *[pa.array(column, pa.int64()) for column in more]], schema=schema)
 
     def work(batches: Batches) -> Batches:
         own, rows, held = transducer(model), [], 0
         for batch in sliced(batches):
-            for k, value in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for k, value, *more in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 ids = own.encode(value)
-                rows.append((k, ids, None if value is None else own.decode(ids) == own.normalised(value)))
+                rows.append((k, ids, None if value is None else own.decode(ids) == own.normalised(value), *more))
                 held += len(ids)
                 if len(rows) >= TEXTS_AT_ONCE or held >= IDS_AT_ONCE:
                     yield batch_of(rows)
@@ -254,9 +257,10 @@ def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text"
         if rows:
             yield batch_of(rows)
 
-    found = mapped(docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")), work,
-                   "key long, ids array<int>, n_tokens long, round_trip boolean")
-    return found.withColumnRenamed("key", key)
+    carried = [F.col(name).cast("long").alias(f"number_{i}") for i, name in enumerate(numbers)]
+    found = mapped(docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), *carried), work,
+                   ", ".join(["key long, ids array<int>, n_tokens long, round_trip boolean", *[f"number_{i} long" for i in range(len(numbers))]]))
+    return found.toDF(key, "ids", "n_tokens", "round_trip", *numbers)
 
 
 def decoded(rows: DataFrame, model: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from sentencepiece import SentencePieceProcessor
 
 import corpus_pipeline
-from reportloom.llm import mixing, secrets
+from reportloom.llm import mixing, secrets, simhash
 from tests.llm.test_mixing import brute as brute_mix
 from tests.llm.test_rank_order import plain_grams, plain_identify, ranked
 from tests.llm.test_simhash import groups, plain
@@ -43,6 +43,43 @@ def test_against_brute_force(spark):
     assert Counter(r.doc_id for r in got) == Counter({k: times[f"={s}", o] for s, k, o, _, _ in first})
 
 
+def test_order_of_the_mix_is_kept(spark, tmp_path):
+    """The rows read back from storage, by their places, against the schedule over what the mixing stage was given."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    weights = mixing.tempered(mixing.source_sizes(docs), corpus_pipeline.MIX_EXPONENT)
+    want = mixing.schedule(docs, weights).orderBy("slot", "offset", "doc_id")
+    corpus_pipeline.sources_mixed(spark, docs, SF).repartition(13, "doc_id").count()  # nothing may depend on how it is read
+    corpus_pipeline.sources_mixed(spark, docs, SF).write.parquet(f"{tmp_path}/mixed")
+    back = spark.read.parquet(f"{tmp_path}/mixed")
+    last = corpus_pipeline.token_ids(spark, back, SF)
+    assert last.columns == ["doc_id", "ids", "n_tokens", "round_trip", "mix_file", "mix_row"]
+    assert last.groupBy("mix_file", "mix_row").count().where("count > 1").isEmpty()
+    assert [r.doc_id for r in last.orderBy("mix_file", "mix_row").collect()] == [r.doc_id for r in want.collect()]
+
+
+INNER = "_mix_slot _mix_block _mix_source _mix_slots _mix_at _again _dropped _row _order _key key row place fp root n text_ metadata _metadata"
+
+
+def test_inner_names_and_other_types(spark, prose):
+    """Columns called like the operators' own, of types without an order, and copies without a key."""
+    names = INNER.split()
+    extra = [f"'x' AS `{n}`" for n in names]
+    texts = [prose(1, 60), prose(1, 60), prose(2, 50) + " password=hunter2hunter2", prose(3, 70), prose(3, 70), prose(4, 40)]
+    keys = [1, None, 2, None, None, 3]
+    docs = spark.createDataFrame([(k, t, "en", s, "many") for k, t, s in zip(keys, texts, "aabbab")],
+                                 "doc_id long, text string, lang string, source string, n_chars string")
+    docs = docs.selectExpr("*", *extra, "map('a', 1) AS m", "array(1) AS a", "struct(1 AS b) AS s")
+    one = simhash.one_of_each(docs)
+    assert one.columns == docs.columns
+    assert sorted((r.doc_id, r.text) if r.doc_id else (0, r.text) for r in one.collect()) == sorted([(1, texts[0]), (2, texts[2]), (0, texts[3]), (3, texts[5])])
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert {(r["_mix_slot"], r["_again"], r["row"], r["n_chars"], r["m"]["a"]) for r in rows} == {("x", "x", "x", "many", 1)}, name
+    assert len(corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()) == len(texts)
+
+
 def test_stages_return_the_columns_of_documents(spark, odd_docs, no_docs):
     for docs in (odd_docs, no_docs):
         for name, stage in corpus_pipeline.STAGES[:-1]:
