@@ -4,7 +4,7 @@
 2. SimHash near-duplicates: one document of each group stays
 3. secret scan: secrets are replaced in the texts
 4. mixing: sources are interleaved, and repeated, to their target weights
-5. SentencePiece: the token ids of every document
+5. SentencePiece: the token ids of every document, with its place in the mix
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reportloom.llm import mixing, rank_order, secrets, simhash, wfst
 from reportloom.llm.queries import MIX_EXPONENT
-from reportloom.llm.storage import documents, public_vocabulary, stored
+from reportloom.llm.storage import documents, file_places, public_vocabulary, stored
 
 LEAST_SCORE = 0.1  # least agreement with the best language's profile, whatever the scores of the labelled texts are
 
@@ -41,8 +41,9 @@ def sources_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document of the mix."""
-    return wfst.encoded(docs, public_vocabulary("piece_bpe_32k.model"))
+    """Ids of every document of the mix; (mix_file, mix_row) is its place in the written order of the stage before."""
+    placed = file_places(docs.select("doc_id", "text"), "mix_file", "mix_row")
+    return wfst.encoded(placed, public_vocabulary("piece_bpe_32k.model"), numbers=["mix_file", "mix_row"])
 
 
 STAGES = [
