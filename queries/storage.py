@@ -169,12 +169,55 @@ def result_tables_compiled(spark, sf_dir):
     return S.compile_result_tables(spark, root)
 
 
+def many_headers(spark, sf_dir):
+    """A result table per document: its columns and their order follow from the document, so that headers differ in
+    thousands of ways; one name holds a line break."""
+    root = fresh_folder(spark, "headers")
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "lang", "source"))
+
+    def write(batches):
+        files, folder = S.file_system(root)
+        for batch in batches:
+            for doc_id, lang, source in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "lang", "source"))):
+                mixed = doc_id * 40503 % 65536
+                names = [f"c{i}" for i in range(HEADER_COLUMNS) if mixed >> i & 1] + ["doc_id", 'a "b"\nc']
+                names = names[mixed % len(names):] + names[:mixed % len(names)]
+                cells = [str(doc_id) if n == "doc_id" else f"{n[:2]}, {lang or ''}" for n in names]
+                place = f"{folder}/ct_{doc_id % 7}/{source}/d{doc_id}"
+                files.create_dir(place, recursive=True)
+                with files.open_output_stream(f"{place}/processed_result.csv") as out:
+                    out.write("".join(",".join('"' + v.replace('"', '""') + '"' for v in row) + "\r\n" for row in (names, cells)).encode())
+            yield batch
+
+    docs.mapInArrow(write, docs.schema).write.format("noop").mode("overwrite").save()
+    return root
+
+
+HEADER_COLUMNS = 14
+_CELLS = ", ".join(f"CASE WHEN ((doc_id * 40503 % 65536) >> {i}) % 2 = 1 THEN 'c{str(i)[:1]}, ' || coalesce(lang, '') ELSE '' END AS c{i}" for i in range(HEADER_COLUMNS))
+
+
+@query("many_headers_compiled", f"""SELECT 'd' || doc_id AS origin_folder, upper(source) AS modality, 'a , ' || coalesce(lang, '') AS "a ""b""\nc", {_CELLS},
+       CAST(doc_id AS string) AS doc_id FROM {{documents}}""")
+def many_headers_compiled(spark, sf_dir):
+    return S.compile_result_tables(spark, many_headers(spark, sf_dir))
+
+
+@query("tree_listed", """SELECT concat('ct_', doc_id % 7) AS top, source, count(*) AS files, min('d' || doc_id) AS first, max('d' || doc_id) AS last
+FROM {documents} GROUP BY ALL""")
+def tree_listed(spark, sf_dir):
+    """A tree of a folder per document, three levels deep."""
+    found = S.list_files(spark, many_headers(spark, sf_dir))
+    part = lambda i: F.element_at(F.split("path", "/"), i)
+    return found.where("size > 0 AND error IS NULL").groupBy(part(-4).alias("top"), part(-3).alias("source")).agg(
+        F.count(F.lit(1)).alias("files"), F.min(part(-2)).alias("first"), F.max(part(-2)).alias("last"))
+
+
 @query("empty_and_other_files_listed", """SELECT concat('source=', source) AS folder, CASE WHEN source = 'src4' THEN 'failed' WHEN source = 'src5' THEN 'skipped' ELSE 'ok' END AS status,
-       CASE WHEN source NOT IN ('src4', 'src5') THEN md5(CASE WHEN source = 'src3' THEN '' ELSE concat(text, chr(10)) END) END AS content_md5 FROM {documents}
-WHERE source IN ('src2', 'src3', 'src4', 'src5')""")
+       CASE WHEN source NOT IN ('src4', 'src5') THEN md5(CASE WHEN source = 'src3' THEN '' ELSE concat(text, chr(10)) END) END AS content_md5 FROM {documents}""")
 def empty_and_other_files_listed(spark, sf_dir):
     root = fresh_folder(spark, "reports")
-    docs = spread(load(spark, sf_dir, "documents").select("source", "text")).filter(F.col("source").isin("src2", "src3", "src4", "src5"))
+    docs = spread(load(spark, sf_dir, "documents").select("source", "text"))
     ending = {"src4": ".pdf", "src5": ".xlsx"}
 
     def write(batches):

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import csv
 import io
-import os
-import re
+import sys
 from collections.abc import Iterator, Mapping
-from urllib.parse import urlparse
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom.fixed_values import RESULT_COLUMNS, RESULT_FILES
@@ -19,78 +18,22 @@ from reportloom.functions.modality import folder_of, path_part
 from reportloom.functions.text import or_empty, utf8_dropping_bad_bytes
 from reportloom.operators.compiling import ORIGIN, distinct_names, header_union, inference_rows, with_origin
 from reportloom.operators.redaction import with_status
-from reportloom.session import fresh_folder
+from reportloom.sources.listing import FOLDER_ERROR, file_system, list_files, split_base, spread_by_size
 
 CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "inferSchema": False,
                "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-LINE_BYTES = 1 << 16
+ROWS_AT_ONCE, CHARACTERS_AT_ONCE = 1024, 1 << 22  # CSV rows of a batch
 
 
-def _plain_path(path: Column) -> Column:
-    return F.regexp_replace(path, r"^file:/+", "/")
-
-
-def _base(root: str) -> tuple[str, str]:
-    """The folder without a trailing slash, and what stands before a file system's own path in a full one."""
-    plain = re.sub(r"^file:/+", "/", root.rstrip("/"))
-    if not urlparse(plain).scheme:
-        return plain, ""
-    return plain, plain[: -len(fs.FileSystem.from_uri(plain)[1])]
-
-
-def file_system(root: str) -> tuple[fs.FileSystem, str]:
-    """File system of a folder and its path there."""
-    base, _ = _base(root)
-    return fs.FileSystem.from_uri(base) if urlparse(base).scheme else (fs.LocalFileSystem(), base)
-
-
-def _entries(files: fs.FileSystem, folder: str) -> Iterator[tuple[str, int | None]]:
-    """(path, size) of what a folder holds; no size for a folder, -1 for what is there but cannot be opened."""
-    if isinstance(files, fs.LocalFileSystem):  # the general listing leaves out broken links
-        for entry in os.scandir(folder):
-            try:
-                yield entry.path, None if entry.is_dir() else entry.stat().st_size
-            except OSError:
-                yield entry.path, -1
-        return
-    for found in files.get_file_info(fs.FileSelector(folder)):
-        yield found.path, None if found.type == fs.FileType.Directory else found.size if found.type == fs.FileType.File else -1
-
-
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, size, error) of everything below ``root`` but folders, empty files and broken links included.
-
-    The tree is walked in a task, so no list of paths builds up on the driver.
-    """
-    base, prefix = _base(root)
-    schema = pa.schema([("path", pa.string()), ("size", pa.int64()), ("error", pa.string())])
-
-    def walk(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, folder = file_system(base)
-        waiting = [folder]
-        while waiting:
-            found = list(_entries(files, waiting.pop()))
-            waiting += [path for path, size in found if size is None]
-            rows = [(prefix + path, max(size, 0), "unreadable" if size < 0 else None) for path, size in found if size is not None]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else ([], [], []), schema.types)], schema=schema)
-
-    return spark.range(0, 1, 1, 1).mapInArrow(walk, "path string, size long, error string")
-
-
-def _contents(listed: DataFrame, root: str, first_line: bool = False) -> DataFrame:
-    """Adds ``bytes`` (whole files, or their first lines) to listed files and ``error`` where one cannot be read."""
-    base, prefix = _base(root)
+def _contents(listed: DataFrame, root: str) -> DataFrame:
+    """Adds ``bytes`` to listed files and ``error`` where one cannot be read."""
+    base, prefix = split_base(root)
     schema = pa.schema([("path", pa.string()), ("bytes", pa.binary()), ("error", pa.string())])
 
     def one(files: fs.FileSystem, path: str) -> tuple:
         try:
             with files.open_input_stream(path.removeprefix(prefix), compression=None) as source:
-                if not first_line:
-                    return path, source.read(), None
-                head = b""
-                while b"\n" not in head and (more := source.read(LINE_BYTES)):
-                    head += more
-                return path, head.split(b"\n", 1)[0], None
+                return path, source.read(), None
         except OSError as problem:
             return path, None, f"unreadable: {type(problem).__name__}"
 
@@ -101,25 +44,28 @@ def _contents(listed: DataFrame, root: str, first_line: bool = False) -> DataFra
                 row = (path, None, error) if error else one(files, path)
                 yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, schema.types)], schema=schema)
 
-    tasks = listed.sparkSession.sparkContext.defaultParallelism
-    return listed.select("path", "error").repartition(tasks, "path").mapInArrow(read, "path string, bytes binary, error string")
+    return spread_by_size(listed).select("path", "error").mapInArrow(read, "path string, bytes binary, error string")
 
 
 def read_report_files(spark: SparkSession, root: str) -> DataFrame:
     """All files below ``root``: path, rel_path, folder, content, ext, status, error.
 
     Text files are decoded, malformed bytes dropped; empty ones have an empty text, unreadable ones status
-    ``failed``. Other files are listed without being opened.
+    ``failed``. Other files are listed without being opened. Folders that cannot be read and links to folders are rows
+    with status ``failed``.
     """
-    base, _ = _base(root)
+    base, _ = split_base(root)
     listed = list_files(spark, root)
-    texts = F.lower("path").endswith(".txt")
+    broken = F.coalesce(F.col("error"), F.lit("")).startswith(FOLDER_ERROR)
+    texts = F.lower("path").endswith(".txt") & ~broken
     read = _contents(listed.filter(texts), root).select("path", utf8_dropping_bad_bytes(F.col("bytes")).alias("content"), "error")
     others = listed.filter(~texts).select("path", F.lit(None).cast("string").alias("content"), "error")
     found = read.unionByName(others).withColumnRenamed("error", "__error")
     files = found.select("path", F.substring(F.col("path"), F.lit(len(base) + 2), F.length("path")).alias("rel_path"),
                          folder_of(F.col("path")).alias("folder"), "content", "__error")
-    return with_status(files).withColumn("error", F.when(F.col("status") == "failed", F.coalesce("__error", "error"))).drop("__error")
+    status = F.when(F.coalesce(F.col("__error"), F.lit("")).startswith(FOLDER_ERROR), "failed").otherwise(F.col("status"))
+    return with_status(files).withColumn("status", status).withColumn(
+        "error", F.when(F.col("status") == "failed", F.coalesce("__error", "error"))).drop("__error")
 
 
 def read_text_reports(spark: SparkSession, root: str) -> DataFrame:
@@ -163,39 +109,72 @@ def find_result_tables(spark: SparkSession, root: str) -> DataFrame:
     return list_files(spark, root).filter(F.lower(path_part(F.col("path"), 1)).isin(RESULT_FILES)).select("path")
 
 
+def _records(source: BinaryIO) -> Iterator[list[str]]:
+    """The records of a CSV file as it streams by, quoted line breaks included; bad bytes become U+FFFD."""
+    csv.field_size_limit(sys.maxsize)
+    return csv.reader(io.TextIOWrapper(source, encoding="utf-8-sig", errors="replace", newline=""))
+
+
+def _rows_by_name(listed: DataFrame, root: str, headers_only: bool = False) -> DataFrame:
+    """(path, cells): every row of the listed result tables as a map from column name to cell; with ``headers_only`` one
+    row a file, without cells' values. Of equal names in a header the first counts, blank ones do not, and a file
+    without names or that cannot be opened has no rows."""
+    base, prefix = split_base(root)
+    schema = pa.schema([("path", pa.string()), ("cells", pa.map_(pa.string(), pa.string()))])
+
+    def of_file(files: fs.FileSystem, path: str) -> Iterator[tuple]:
+        try:
+            source = files.open_input_stream(path.removeprefix(prefix), compression=None)
+        except OSError:
+            return
+        with source:
+            records = _records(source)
+            places: dict[str, int] = {}
+            for place, name in enumerate(next(records, [])):
+                if name.strip():
+                    places.setdefault(name, place)
+            if headers_only or not places:
+                if places:
+                    yield path, [(name, None) for name in places]
+                return
+            for record in records:
+                if record:
+                    yield path, [(name, record[place]) for name, place in places.items() if place < len(record)]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, _ = file_system(base)
+        block, held = [], 0
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                for row in of_file(files, path):
+                    block.append(row)
+                    held += sum(len(cell or "") for _, cell in row[1])
+                    if len(block) >= ROWS_AT_ONCE or held >= CHARACTERS_AT_ONCE:
+                        yield _batch_of(block, schema)
+                        block, held = [], 0
+        if block:
+            yield _batch_of(block, schema)
+
+    return spread_by_size(listed).select("path").mapInArrow(read, "path string, cells map<string,string>")
+
+
+def _batch_of(block: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*block), schema.types)], schema=schema)
+
+
 def compile_result_tables(spark: SparkSession, root: str) -> DataFrame | None:
     """All result tables below ``root`` as one table; None if there is none.
 
-    One scan reads all files by column place, and each row meets its file's header line, read
-    beforehand from the first bytes; only the distinct header lines reach the driver.
+    Headers may differ from file to file, however many there are: a row is a map from name to cell until the columns,
+    all names there are, are read out of it. Only these names reach the driver, and only result tables are opened.
     """
-    listed = list_files(spark, root).filter(F.lower(path_part(F.col("path"), 1)).isin(RESULT_FILES))
-    line = F.regexp_replace(F.col("bytes").cast("string"), r"\r$|\x{FEFF}", "")
-    heads = _contents(listed, root, first_line=True).filter(F.col("bytes").isNotNull()).select("path", line.alias("header"))
-    folder = fresh_folder(spark, "headers")
-    heads.write.parquet(folder)
-    heads = spark.read.schema("path string, header string").parquet(folder)
-    lines = sorted(r["header"] for r in heads.select("header").distinct().collect())
-    headers = {text: next(csv.reader(io.StringIO(text)), []) for text in lines}
-    headers = {text: names for text, names in headers.items() if any(n.strip() for n in names)}
-    if not headers:
+    listed = list_files(spark, root).filter(F.lower(path_part(F.col("path"), 1)).isin(RESULT_FILES) & F.col("error").isNull())
+    names = _rows_by_name(listed, root, headers_only=True).select(F.explode(F.map_keys("cells")).alias("name")).distinct()
+    columns = header_union([[r["name"] for r in names.collect()]])
+    if len(columns) == len(ORIGIN) and names.isEmpty():
         return None
-    columns = header_union(list(headers.values()))
-    schema = ", ".join(f"c{i} string" for i in range(max(map(len, headers.values()))))
-    raw = (spark.read.options(**CSV_OPTIONS).option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]")
-           .schema(schema).csv(root))
-    located = _plain_path(F.col("_metadata.file_path"))
-    rows = raw.select("*", F.try_url_decode(F.replace(located, F.lit("+"), F.lit("%2B"))).alias("__path"))
-    met = rows.join(heads, rows["__path"] == heads["path"]).drop("path")
-    def cell(name: str) -> Column:
-        value = F.lit(None).cast("string")
-        for text, names in headers.items():
-            if name in names:
-                value = F.when(F.col("header") == text, F.col(f"c{names.index(name)}")).otherwise(value)
-        return or_empty(value)
-
-    origin = with_origin(met.filter(F.col("header").isin(list(headers))), path="__path")
-    return origin.select(*ORIGIN, *[cell(n).alias(out) for n, out in distinct_names(columns).items() if n not in ORIGIN])
+    rows = with_origin(_rows_by_name(listed, root), path="path")
+    return rows.select(*ORIGIN, *[or_empty(F.col("cells")[n]).alias(out) for n, out in distinct_names(columns).items() if n not in ORIGIN])
 
 
 def read_splits(spark: SparkSession, path: str | None = None, *, train: str | None = None,

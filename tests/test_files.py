@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reportloom.fixed_values import RESULT_COLUMNS
 from reportloom.plans.anonymise import anonymise_folder
 from reportloom.session import fresh_folder, shared_folder
+from reportloom.sources import listing as L
 from reportloom.sources import readers as S
 from reportloom.sources import writers as K
 from reportloom.streaming.redaction import count_labels_stream, redact_stream
@@ -157,3 +158,71 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
     one, other = fresh_folder(spark, "x"), fresh_folder(spark, "x")
     assert one.startswith(shared_folder(spark)) and one != other
+
+
+def test_tree_level_by_level(spark, tmp_path, monkeypatch):
+    """Deep and wide trees, more entries than a batch holds, links, folders that cannot be read, names with blanks."""
+    monkeypatch.setattr(L, "ENTRIES", 7)
+    root, want = tmp_path / "tree", {}
+    folder = root
+    for depth in range(12):
+        folder = folder / f"level {depth}"
+        for i in range(9):
+            (folder / f"side{i}").mkdir(parents=True)
+            (folder / f"side{i}" / f"f{i}.txt").write_text("x" * i)
+            want[str(folder / f"side{i}" / f"f{i}.txt")] = (i, None)
+    for i in range(40):
+        (root / f"{i}é.csv").write_text("ab")
+        want[str(root / f"{i}é.csv")] = (2, None)
+    (root / "level 0" / "up").symlink_to(root)  # following it would never end
+    want[str(root / "level 0" / "up")] = (0, "folder: a link")
+    (root / "gone.txt").symlink_to(root / "nowhere")
+    want[str(root / "gone.txt")] = (0, "unreadable")
+    (root / "same.csv").symlink_to(root / "1é.csv")
+    want[str(root / "same.csv")] = (2, None)
+    (root / "empty" / "emptier").mkdir(parents=True)
+    found = S.list_files(spark, f"file://{root}/").collect()
+    assert {r.path: (r.size, r.error) for r in found} == want and len(found) == len(want)
+    files = {r.path: r for r in S.read_report_files(spark, str(root)).collect()}
+    assert (files[str(root / "level 0" / "up")].status, files[str(root / "level 0" / "up")].error) == ("failed", "folder: a link")
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        S.list_files(spark, str(tmp_path / "nowhere")).count()
+
+
+def test_folders_that_cannot_be_read(spark, tmp_path):
+    listed = list(L._listed(L.fs.LocalFileSystem(), str(tmp_path / "lost"), False))
+    assert listed == [(str(tmp_path / "lost"), 0, "folder: FileNotFoundError", False)]
+
+
+def test_one_walk_per_read(spark, reports, monkeypatch):
+    calls = []
+    real = L.list_files
+    monkeypatch.setattr(S, "list_files", lambda *a: calls.append(a) or real(*a))
+    frame = S.read_report_files(spark, reports)
+    assert len(calls) == 1 and frame.count() == 6 and frame.count() == 6
+    assert "MapInArrow" not in S.list_files(spark, reports)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_headers_by_name(spark, tmp_path):
+    """Quoted line breaks and quotes in headers, repeated and blank names, short, long and blank rows, CRLF, bad bytes, no rows."""
+    files = {"m/a/processed_result.csv": b'"x\ny","q""r",x\r\n1,"2\r\n3",4,5\r\n\r\n6\r\n', "m/b/processed_result.csv": b"k,k, ,z\nfirst,second,blank,\xffend",
+             "m/c/processed_result.csv": b"only,header\n", "m/d/processed_result.csv": b" , \n1,2\n", "m/e/processed_result.csv": b"\n"}
+    for name, content in files.items():
+        (tmp_path / name).parent.mkdir(parents=True)
+        (tmp_path / name).write_bytes(content)
+    table = S.compile_result_tables(spark, str(tmp_path))
+    assert table.columns == ["origin_folder", "modality", "header", "k", "only", 'q"r', "x", "x\ny", "z"]
+    assert {tuple(r) for r in table.collect()} == {
+        ("a", "M", "", "", "", "2\r\n3", "4", "1", ""), ("a", "M", "", "", "", "", "", "6", ""), ("b", "M", "", "first", "", "", "", "", "\ufffdend")}
+
+
+def test_plan_does_not_grow_with_the_headers(spark, tmp_path):
+    for i in range(60):
+        folder = tmp_path / "m" / f"f{i}"
+        folder.mkdir(parents=True)
+        names = [f"c{j}" for j in range(6) if i >> j & 1] + ["z"]
+        (folder / "processed_result.csv").write_text(",".join(names) + "\n" + ",".join(names) + "\n")
+    table = S.compile_result_tables(spark, str(tmp_path))
+    assert table.count() == 60 and len(table.columns) == 9
+    assert table._jdf.queryExecution().optimizedPlan().toString().count("CASE") <= 9
+    assert table.where("c3 = 'c3'").count() == sum(i >> 3 & 1 for i in range(60))
