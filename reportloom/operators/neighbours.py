@@ -1,12 +1,20 @@
-"""Exact top-k similarity join of two vector tables.
+"""Exact top-k similarity join of two vector tables, block pairs pruned by the triangle inequality.
 
-Both sides are cut into even blocks by the hash of their id and every pair of blocks is one bounded group: the same
-plan at every size, only the number of blocks follows from the row counts. No pair leaves a task except the k best of
-each query there; these are merged over groups of corpus blocks first, then per query.
+A corpus of more than one block is partitioned by its nearest pivots, and the cells are cut into rings by the distance
+to their pivot. A ring is known by its pivot, its least and largest distance and its longest vector; from these follows
+a bound of how near any of its vectors can be to a query. Every query first searches the rings that look best until
+they hold k vectors; its k-th best score then rules out the rings whose bound is worse, and it searches the others.
+Nothing is left out that could be among the k best, whatever the data: without structure in it, all rings are searched.
+
+Rings of many rows are split by hash, and so are the queries of a ring, so every search is one bounded group. No pair
+leaves a task except the k best of each query there; these are merged over groups of blocks first, then per query.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +26,9 @@ from reportloom.session import fresh_folder
 BLOCK_ROWS, BLOCK_BYTES = 50_000, 64 * 1024 * 1024  # largest block of either side
 MERGED_BLOCKS = 64  # corpus blocks whose results for a query are merged first
 CELLS = 2_000_000  # scores held at once in a task
+PIVOTS, RINGS = 256, 64  # at most; their product bounds what the driver and the tasks know of the corpus
+PIVOTS_A_BLOCK, RINGS_A_BLOCK = 4, 2
+SLACK = 1e-9  # relative; far above the rounding errors of the bounds
 DIGITS = 6  # of the scores given out; ranks use the full ones, ties go to the smaller id
 
 
@@ -98,40 +109,186 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int = 5, *, query_id: str =
     """(query_id, corpus_id, score, rank) of the k nearest corpus rows per query.
 
     Inner product, largest first, on normalised vectors; squared distance, smallest
-    first, otherwise. Fewer than k corpus rows give fewer results. Rows without an id or a
+    first, otherwise. Fewer than k corpus rows give fewer results, equal scores go to the smaller id. Rows without an id or a
     vector, or with a NULL or non-finite number in it, take no part; all others must have one dimension.
     """
     left, right = _side(queries, query_id, query_vector, "q"), _side(corpus, corpus_id, corpus_vector, "c")
     longest = right.agg(F.max(F.size("c_vec"))).first()[0] or 1
     rows = max(1, min(block_rows, BLOCK_BYTES // (8 * longest)))
-    found = _by_blocks(left, right, k, normalized, [max(1, -(-df.count() // rows)) for df in (left, right)])
     better = F.col("score").desc() if normalized else F.col("score").asc()
 
-    def best(rows: DataFrame, *group: str) -> DataFrame:
-        ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(better, "c_id")))
-        return ranked.filter(F.col("rank") <= k)
-
-    return best(best(found, "q_id", "merged").drop("rank"), "q_id").select(
+    def best(found: DataFrame, *group: str) -> DataFrame:
+        ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(better, "c_id")))
+        return ranked.filter(F.col("rank") <= k).drop("rank")
+
+    def searched(pairs: DataFrame) -> DataFrame:
+        return best(_by_groups(pairs, grouped, sizes, rows, k, normalized), "q_id", "merged").drop("merged")
+
+    grouped, rings = _grouped(right, rows)
+    sizes = {number: ring.rows for number, ring in enumerate(rings.rings)}
+    if len(sizes) <= 1:
+        found = searched(left.withColumn("group", F.lit(0)))
+    else:
+        first = best(_written(searched(_reached(left, rings, k, normalized, None)), "first-found"), "q_id")
+        border = (F.min if normalized else F.max)("score")
+        known = first.groupBy("q_id").agg(F.when(F.count(F.lit(1)) >= k, border).alias("border"))
+        rest = _reached(left.join(known, "q_id", "left"), rings, k, normalized, "border")
+        found = first.unionByName(searched(rest))
+    return best(found, "q_id").withColumn("rank", F.row_number().over(Window.partitionBy("q_id").orderBy(better, "c_id"))).select(
         F.col("q_id").alias(query_id), F.col("c_id").alias(corpus_id), F.round("score", DIGITS).alias("score"), "rank"
     )
 
 
+class Ring(NamedTuple):
+    """What is known of the vectors of a ring: its pivot, their number, distances to the pivot, and largest length."""
+
+    pivot: int
+    rows: int
+    near: float
+    far: float
+    long: float
+
+
+class Rings(NamedTuple):
+    pivots: np.ndarray
+    rings: list[Ring]
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    folder = fresh_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _mapped(df: DataFrame, more: list[tuple[str, pa.DataType, T.DataType]], work: Callable[[pa.RecordBatch], Iterator[tuple]]) -> DataFrame:
+    """Adds columns; ``work`` yields (rows to keep, their values) for a batch, in parts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for kept, *columns in work(batch):
+                taken = pa.Table.from_batches([batch]).take(pa.array(kept, pa.int64()))
+                for (name, kind, _), values in zip(more, columns):
+                    taken = taken.append_column(name, pa.array(values, kind))
+                yield from taken.to_batches()
+
+    schema = T.StructType([*df.schema.fields, *[T.StructField(name, kind) for name, _, kind in more]])
+    return df.mapInArrow(run, schema)
+
+
+def _distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """From differences, so that they are right far from the origin, too."""
+    if vectors.shape[1] != pivots.shape[1]:
+        raise ValueError(f"queries have {vectors.shape[1]} dimensions, the corpus {pivots.shape[1]}")
+    out, step = np.empty((len(vectors), len(pivots))), max(1, CELLS // max(1, vectors.shape[1]))
+    for j, pivot in enumerate(pivots):
+        for lo in range(0, len(vectors), step):
+            out[lo:lo + step, j] = np.sqrt(((vectors[lo:lo + step] - pivot) ** 2).sum(1))
+    return out
+
+
+def _grouped(corpus: DataFrame, rows: int) -> tuple[DataFrame, Rings]:
+    """The corpus with the number of each row's ring (group), and what is known of the rings.
+
+    Pivots are the vectors first by a hash of their id; a corpus of one block is one ring without a pivot.
+    """
+    count = corpus.count()
+    if count <= rows:
+        return corpus.withColumn("group", F.lit(0)), Rings(np.empty((0, 0)), [Ring(0, count, 0.0, 0.0, 0.0)] if count else [])
+    wanted = min(PIVOTS, PIVOTS_A_BLOCK * -(-count // rows))
+    drawn = corpus.orderBy(F.xxhash64("c_id"), "c_id").limit(wanted).select("c_vec").collect()  # PIVOTS vectors at most
+    if len({len(r.c_vec) for r in drawn}) > 1:
+        raise ValueError(f"vectors of different lengths: {sorted({len(r.c_vec) for r in drawn})}")
+    pivots = np.unique(np.array([r.c_vec for r in drawn], np.float64), axis=0)
+
+    def nearest(batch: pa.RecordBatch) -> Iterator[tuple]:
+        vectors = _matrix(batch.column("c_vec"))
+        step = max(1, CELLS // len(pivots))
+        for lo in range(0, len(vectors), step):
+            part = vectors[lo:lo + step]
+            apart = _distances(part, pivots)
+            cell = apart.argmin(1)
+            yield np.arange(lo, lo + len(part)), cell, apart[np.arange(len(part)), cell], np.sqrt((part**2).sum(1))
+
+    doubles = [(name, pa.float64(), T.DoubleType()) for name in ("apart", "long")]
+    placed = _written(_mapped(corpus, [("cell", pa.int32(), T.IntegerType()), *doubles], nearest), "cells")
+    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("apart").alias("low"), F.max("apart").alias("high"))
+    wide = F.least(F.lit(RINGS), F.greatest(F.lit(1), F.ceil(F.col("n") * RINGS_A_BLOCK / rows))).cast("int")
+    known = F.broadcast(cells.select("cell", "low", wide.alias("rings"), ((F.col("high") - F.col("low")) / wide).alias("width")))  # a row per pivot
+    ring = F.when(F.col("width") > 0, F.least(F.floor((F.col("apart") - F.col("low")) / F.col("width")), F.col("rings") - 1)).otherwise(0).cast("int")
+    ringed = placed.join(known, "cell").withColumn("ring", ring)
+    met = ringed.groupBy("cell", "ring").agg(F.count(F.lit(1)).alias("n"), F.min("apart").alias("near"), F.max("apart").alias("far"), F.max("long").alias("long"))
+    found = sorted(map(tuple, met.collect()))  # PIVOTS * RINGS rows at most
+    numbers = corpus.sparkSession.createDataFrame([(c, r, i) for i, (c, r, *_) in enumerate(found)], "cell int, ring int, group int")
+    grouped = ringed.join(F.broadcast(numbers), ["cell", "ring"]).select("c_id", "c_vec", "group")
+    return _written(grouped, "rings"), Rings(pivots, [Ring(c, *rest) for c, _, *rest in found])
+
+
+def _bounds(queries: np.ndarray, rings: Rings, largest: bool) -> np.ndarray:
+    """The least cost (squared distance, or negated product) any vector of each ring can have for each query."""
+    apart = _distances(queries, rings.pivots)
+    which = np.array([r.pivot for r in rings.rings])
+    near, far, long = (np.array([getattr(r, name) for r in rings.rings]) for name in ("near", "far", "long"))
+    apart = apart[:, which]
+    least = np.maximum(0.0, np.maximum(apart - far, near - apart) - SLACK * (apart + far))
+    if not largest:
+        return least**2
+    size = np.sqrt((queries**2).sum(1))[:, None]
+    by_pivot = (queries @ rings.pivots.T)[:, which] + size * far
+    by_distance = (size**2 + long**2 - least**2) / 2
+    # q.x is q.p + q.(x - p), and (|q|^2 + |x|^2 - |q - x|^2) / 2.
+    lengths = np.sqrt((rings.pivots**2).sum(1))[which]
+    return -(np.minimum(by_pivot, by_distance) + SLACK * (size**2 + long**2 + size * (lengths + far)))
+
+
+def _reached(queries: DataFrame, rings: Rings, k: int, largest: bool, border: str | None) -> DataFrame:
+    """(q_id, q_vec, group): without ``border`` the rings that look best, until they hold k vectors; with it all others
+    that may hold a vector as good as the query's border, all if it has none."""
+    sizes = np.array([r.rows for r in rings.rings])
+
+    def work(batch: pa.RecordBatch) -> Iterator[tuple]:
+        vectors = _matrix(batch.column("q_vec"))
+        held = batch.column(border).to_numpy(zero_copy_only=False).astype(np.float64) if border else None
+        step = max(1, CELLS // len(sizes))
+        for lo in range(0, len(vectors), step):
+            part = vectors[lo:lo + step]
+            cost = _bounds(part, rings, largest)
+            order = np.argsort(cost, axis=1, kind="stable")
+            before = np.cumsum(sizes[order], axis=1) - sizes[order]
+            first = np.empty_like(cost, dtype=bool)
+            np.put_along_axis(first, order, before < k, axis=1)
+            wanted = first
+            if held is not None:
+                limit = held[lo:lo + step]
+                limit = np.where(np.isnan(limit), np.inf, -limit if largest else limit)
+                wanted = ~first & (cost <= limit[:, None] + SLACK * np.abs(np.where(np.isinf(limit), 0.0, limit))[:, None])
+            row, ring = np.nonzero(wanted)
+            yield row + lo, ring
+
+    found = _mapped(queries, [("group", pa.int32(), T.IntegerType())], work)
+    return _written(found.select("q_id", "q_vec", "group"), "reached")
+
+
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(schema)
 
 
-def _by_blocks(left: DataFrame, right: DataFrame, k: int, largest: bool, blocks: list[int]) -> DataFrame:
-    """(q_id, c_id, score, merged): the k best of every pair of blocks."""
+def _by_groups(pairs: DataFrame, corpus: DataFrame, sizes: dict[int, int], rows: int, k: int, largest: bool) -> DataFrame:
+    """(q_id, c_id, score, merged): the k best of every query in each block of the groups it is paired with."""
+    asked = {r["group"]: r["n"] for r in pairs.groupBy("group").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per ring
+    cuts = [(g, -(-n // rows), -(-sizes[g] // rows)) for g, n in asked.items() if g in sizes]
+    table = pairs.sparkSession.createDataFrame(cuts, "group int, q_blocks int, c_blocks int")
 
-    def cut(df: DataFrame, id_: str, mine: str, n_mine: int, other: str, n_other: int) -> DataFrame:
-        return df.withColumn(mine, F.pmod(F.xxhash64(id_), F.lit(n_mine)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
-        )
+    def cut(df: DataFrame, id_: str, mine: str, other: str) -> DataFrame:
+        if len(cuts) == 1:
+            known = df.where(F.col("group") == cuts[0][0]).withColumns({"q_blocks": F.lit(cuts[0][1]), "c_blocks": F.lit(cuts[0][2])})
+        else:
+            known = df.join(F.broadcast(table), "group")  # a row per ring
+        return known.withColumn(mine, F.pmod(F.xxhash64(id_), F.col(f"{mine}s")).cast("int")).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1))).drop("q_blocks", "c_blocks")
 
     schema = T.StructType([
-        T.StructField("q_id", left.schema["q_id"].dataType), T.StructField("c_id", right.schema["c_id"].dataType),
+        T.StructField("q_id", pairs.schema["q_id"].dataType), T.StructField("c_id", corpus.schema["c_id"].dataType),
         T.StructField("score", T.DoubleType()), T.StructField("merged", T.IntegerType()),
     ])
     arrow = _arrow_schema(schema)
@@ -140,12 +297,10 @@ def _by_blocks(left: DataFrame, right: DataFrame, k: int, largest: bool, blocks:
         if not q.num_rows or not c.num_rows:
             return arrow.empty_table()
         row, ids, score = _best_in_block(_matrix(q["q_vec"]), _matrix(c["c_vec"]), _ids(c["c_id"]), k, largest)
-        merged = np.full(len(row), c["c_block"][0].as_py() // MERGED_BLOCKS, np.int32)
+        merged = np.full(len(row), (c["group"][0].as_py() * 31 + c["c_block"][0].as_py()) // MERGED_BLOCKS, np.int32)
         columns = [pa.array(_ids(q["q_id"])[row], arrow.field(0).type), pa.array(ids, arrow.field(1).type), pa.array(score), pa.array(merged)]
         return pa.Table.from_arrays(columns, schema=arrow)
 
-    queries = cut(left, "q_id", "q_block", blocks[0], "c_block", blocks[1])
-    corpus = cut(right, "c_id", "c_block", blocks[1], "q_block", blocks[0])
-    return queries.groupBy("q_block", "c_block").cogroup(corpus.groupBy("q_block", "c_block")).applyInArrow(
-        search, schema
-    )
+    keys = ["group", "q_block", "c_block"]
+    return cut(pairs, "q_id", "q_block", "c_block").groupBy(*keys).cogroup(
+        cut(corpus, "c_id", "c_block", "q_block").groupBy(*keys)).applyInArrow(search, schema)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from reportloom.functions.vectors import cosine, unit
 from reportloom.operators.models import encode, score_requests
+from reportloom.operators import neighbours as N
 from reportloom.operators.neighbours import top_k
 from reportloom.operators.vector_index import build_index, load_index, save_index
 
@@ -142,3 +143,64 @@ def test_one_bad_prompt_costs_few_calls(spark, tmp_path):
     got = score_requests(df, scorer, batch_size=64).collect()
     assert [r.id for r in got if r.status == "failed"] == [77] and len(got) == 256
     assert len(list(log.iterdir())) <= 4 + 2 * 6
+
+
+def clusters(rng, n, d=8, centres=12, spread=0.02):
+    at = rng.normal(size=(centres, d))
+    return at[rng.integers(0, centres, n)] + spread * rng.normal(size=(n, d))
+
+
+@pytest.mark.parametrize("normalized", [True, False])
+@pytest.mark.parametrize("kind", ["clustered", "uniform", "scaled", "far"])
+def test_pruned_search_is_exact(spark, kind, normalized):
+    rng = np.random.default_rng(11)
+    draw = {"clustered": lambda n: clusters(rng, n), "uniform": lambda n: rng.normal(size=(n, 8)),
+            "scaled": lambda n: rng.normal(size=(n, 8)) * 10.0 ** rng.integers(-3, 3, (n, 1)), "far": lambda n: 1e3 + rng.normal(size=(n, 8))}[kind]
+    c = draw(900)
+    c[300:330] = c[0]
+    q = np.vstack([draw(50), c[:10]])
+    got = top_k(*tables(spark, q, c), 7, normalized=normalized, block_rows=40)
+    found = {(r.query_id, r["rank"]): (r.corpus_id, r.score) for r in got.collect()}
+    w, v = c.astype(np.float32).astype(float), q.astype(np.float32).astype(float)
+    for i in range(len(v)):
+        score = (w * v[i]).sum(1) if normalized else ((w - v[i]) ** 2).sum(1)
+        order = np.lexsort((np.arange(len(w)), -score if normalized else score))[:7]
+        assert [found[i, r + 1][0] for r in range(7)] == order.tolist()
+        assert [found[i, r + 1][1] for r in range(7)] == pytest.approx(score[order], rel=1e-9, abs=1e-6)
+
+
+def rings_of(spark, corpus, rows):
+    _, c = tables(spark, corpus[:1], corpus)
+    grouped, rings = N._grouped(c.select(F.col("corpus_id").alias("c_id"), F.col("embedding").alias("c_vec")), rows)
+    return grouped, rings
+
+
+@pytest.mark.parametrize("largest", [True, False])
+def test_bounds_hold_for_every_vector(spark, largest):
+    rng = np.random.default_rng(12)
+    corpus = np.vstack([clusters(rng, 300), rng.normal(size=(200, 8)) * 5]).astype(np.float32)
+    grouped, rings = rings_of(spark, corpus, 30)
+    rows = {r.c_id: r.group for r in grouped.collect()}
+    assert len(rows) == 500 and sum(r.rows for r in rings.rings) == 500 and len(rings.rings) > 8
+    queries = np.vstack([rng.normal(size=(40, 8)), corpus[:40]]).astype(float)
+    bound = N._bounds(queries, rings, largest)
+    for i, group in rows.items():
+        x = corpus[i].astype(float)
+        cost = -(queries @ x) if largest else ((queries - x) ** 2).sum(1)
+        assert (bound[:, group] <= cost).all()
+
+
+def test_few_block_pairs_of_clustered_vectors(spark):
+    """What is skipped: nearly all pairs of clustered vectors; nothing is given up where there is no structure."""
+    rng = np.random.default_rng(13)
+    shares = {}
+    for kind, corpus in {"clustered": clusters(rng, 2000, centres=40), "uniform": rng.normal(size=(2000, 8))}.items():
+        _, rings = rings_of(spark, corpus, 50)
+        v = corpus[:100].astype(np.float32).astype(float)
+        queries = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "q_id bigint, q_vec array<double>")
+        exact = np.sort(((v[:, None] - corpus[None].astype(np.float32)) ** 2).sum(2), axis=1)[:, 4]
+        border = spark.createDataFrame([(i, float(b)) for i, b in enumerate(exact)], "q_id bigint, border double")
+        size = {i: r.rows for i, r in enumerate(rings.rings)}
+        pairs = N._reached(queries, rings, 5, False, None).unionByName(N._reached(queries.join(border, "q_id"), rings, 5, False, "border"))
+        shares[kind] = sum(size[r.group] for r in pairs.collect()) / (100 * 2000)
+    assert shares["clustered"] < 0.1 and shares["clustered"] < shares["uniform"] <= 1
