@@ -153,9 +153,10 @@ def mixed(docs: DataFrame, weights: dict[str | None, float], key: str = "doc_id"
           block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` in the order of the mix, rows repeated as ``schedule`` says, columns unchanged, whatever their names.
     Partitions hold ranges of slots, so files written from it are in order; ``storage.file_places`` finds it again."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    placed = _placed(docs, _checked(docs, weights, source), key, source, text, block_chars, whole)
-    return placed.repartitionByRange("_mix_slot", "_mix_at").sortWithinPartitions("_mix_slot", "_mix_at", "key").select("row.*")
+    own = {c: f"_doc_{i}" for i, c in enumerate(docs.columns)}  # names that none of the schedule's can be
+    placed = _placed(docs.toDF(*own.values()), _checked(docs, weights, source), own[key], own[source], own[text], block_chars, *map(F.col, own.values()))
+    in_order = placed.repartitionByRange("_mix_slot", "_mix_at").sortWithinPartitions("_mix_slot", "_mix_at", "key")
+    return in_order.select(*[F.col(name).alias(c) for c, name in own.items()])
 
 
 def _checked(docs: DataFrame, weights: dict[str | None, float], source: str) -> dict[str | None, float]:

@@ -145,15 +145,16 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     stay once in each of several components. Rows without a key stay only where their component has none with one, and
     then the first by text.
     """
-    number = F.col(key).cast("long").alias("key")
     own = stored(fingerprints(docs, key, text, shingle), "fingerprints")
     found = _components_of(own, max_bits)
     again = stored(own.where("key IS NOT NULL").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "repeated")
     dropped = stored(own.join(found, "fp").where(F.col("key") != F.col("component_id")).select("key").distinct(), "dropped")
-    rows = docs.select(number, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    names = {c: f"_doc_{i}" for i, c in enumerate(docs.columns)}  # so that none can be one of the operator's
+    given = [F.col(name).alias(c) for c, name in names.items()]
+    rows = docs.toDF(*names.values()).withColumn("key", F.col(names[key]).cast("long"))
     known = rows.where("key IS NOT NULL")
-    single = known.join(again, "key", "left_anti").join(dropped, "key", "left_anti").select("row.*")
-    double = known.join(again, "key", "left_semi").unionByName(rows.where("key IS NULL"))
+    single = known.join(again, "key", "left_anti").join(dropped, "key", "left_anti").select(*given)
+    double = known.join(again, "key", "left_semi").unionByName(rows.where("key IS NULL")).select("key", F.struct(*given).alias("row"))
     return single.unionByName(_first_of_component(double, found, text, shingle))
 
 
