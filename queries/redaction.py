@@ -12,7 +12,7 @@ from reportloom.functions.pii import DEFAULT_PATTERNS, STRICT_PATTERNS, Pattern,
 from reportloom.functions.text import WHITESPACE, utf8_dropping_bad_bytes, words
 from reportloom.operators import redaction as R
 from reportloom.session import fresh_folder
-from reportloom.streaming.redaction import count_labels_stream, redact_stream
+from reportloom.streaming.redaction import count_labels_stream, read_label_counts, redact_stream
 
 BY_LABEL = {p.label: p for p in DEFAULT_PATTERNS}
 
@@ -239,4 +239,4 @@ def stream_redacted(spark, sf_dir):
 def stream_label_counts(spark, sf_dir):
     target, checkpoint = fresh_folder(spark, "stream"), fresh_folder(spark, "stream-state")
     count_labels_stream(arriving(spark, sf_dir), target, checkpoint).awaitTermination()
-    return spark.read.parquet(target)
+    return read_label_counts(spark, target)

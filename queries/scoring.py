@@ -16,10 +16,11 @@ from reportloom.functions.similarity import (
 from reportloom.functions.text_scores import text_scores
 from reportloom.operators import evaluation as E
 from reportloom.operators.fewshot import PromptStyle
-from reportloom.operators.models import encode, score_requests
+from reportloom.operators.models import answer_log, encode, score_once, score_requests
 from reportloom.operators.overlap import equal_word_scores
 from reportloom.plans.answering import evaluate, infer, inference_table, summary
 from reportloom.session import fresh_folder
+from reportloom.sources.readers import read_log_runs
 from reportloom.sources.writers import append_log
 
 
@@ -269,4 +270,42 @@ def inference_log(spark, sf_dir):
     df = cases(spark, sf_dir)
     folder = fresh_folder(spark, "log")
     append_log(infer(asked(df), known(df), echo_scorer), folder, run_id="run-1")
-    return spark.read.json(folder).select("id", F.md5("prompt").alias("prompt_md5"), F.size("examples").alias("n_examples"), "run_id")
+    return read_log_runs(spark, folder).select("id", F.md5("prompt").alias("prompt_md5"), F.size("examples").alias("n_examples"), "run_id")
+
+
+def first_try():
+    """Stand-in model that is down for every prompt of odd length."""
+
+    def score(prompts):
+        if any(len(p) % 2 for p in prompts):
+            raise ConnectionError("down")
+        return [f"first {len(p)}" for p in prompts]
+
+    return score
+
+
+def second_try():
+    return lambda prompts: [f"second {len(p)}" for p in prompts]
+
+
+def asked_texts(spark, sf_dir):
+    return spread(load(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("prompt")))
+
+
+@query("scoring_resumed", """SELECT doc_id, CASE length(text) % 2 WHEN 0 THEN concat('first ', length(text)) ELSE concat('second ', length(text)) END AS content, 'ok' AS status FROM {documents}""")
+def scoring_resumed(spark, sf_dir):
+    """What the first run got is not asked again; the second run asks for the rest."""
+    log, rows = fresh_folder(spark, "answer-log"), asked_texts(spark, sf_dir)
+    score_once(rows, first_try, log)
+    return score_once(rows, second_try, log).select("doc_id", "content", "status")
+
+
+@query("scoring_log", """SELECT status, error, content, count(*) AS n FROM (
+SELECT DISTINCT text, 'ok' AS status, NULL AS error, CASE length(text) % 2 WHEN 0 THEN concat('first ', length(text)) ELSE concat('second ', length(text)) END AS content FROM {documents}
+UNION SELECT text, 'failed', 'ConnectionError: down', NULL FROM {documents} WHERE length(text) % 2 = 1) GROUP BY status, error, content""")
+def scoring_log(spark, sf_dir):
+    """The log after both runs: every distinct prompt once, and once more where its first try failed."""
+    log, rows = fresh_folder(spark, "answer-log"), asked_texts(spark, sf_dir)
+    score_once(rows, first_try, log)
+    score_once(rows, second_try, log)
+    return answer_log(spark, log).groupBy("status", "error", "content").agg(F.count("*").alias("n"))

@@ -20,6 +20,7 @@ from reportloom.plans.anonymise import anonymise_folder
 from reportloom.session import fresh_folder
 from reportloom.sources import readers as S
 from reportloom.sources import writers as K
+from reportloom.sources.runs import stage_run, with_run
 
 
 def report_files(spark, sf_dir):
@@ -99,7 +100,7 @@ def compiled_kept(spark, sf_dir):
 @query("inference_rows_from_csv", f"SELECT CAST(file_name AS string) AS id, folder AS organ, finding, result AS reference FROM ({PAIR_ROWS})")
 def inference_rows_from_csv(spark, sf_dir):
     folder = fresh_folder(spark, "rows")
-    K.append_csv(pair_rows(spark, sf_dir), folder, run_id="r")
+    pair_rows(spark, sf_dir).write.options(**K.CSV_OPTIONS).csv(folder)
     rows = S.read_rows(spark, folder, columns={"id": "file_name", "organ": "folder", "reference": "result"})
     return rows.drop("modality")
 
@@ -136,7 +137,21 @@ def runs_appended(spark, sf_dir):
     rows = load(spark, sf_dir, "events").select("event_id", F.format_string("%.4f", "value").alias("value"))
     for run_id in ("a", "b"):
         K.append_csv(rows, folder, run_id=run_id)
-    return S.read_csv(spark, folder)
+    return S.read_csv_runs(spark, folder)
+
+
+@query("runs_appended_again", """SELECT CAST(event_id AS string) AS event_id, printf('%.4f', CASE run_id WHEN 'a' THEN value + 1 ELSE value END) AS value, run_id
+FROM {events}, (SELECT unnest(['a', 'b']) AS run_id)""")
+def runs_appended_again(spark, sf_dir):
+    """Run a is done twice with other values, run b breaks off after its rows were written and is done again."""
+    folder = fresh_folder(spark, "runs")
+    events = load(spark, sf_dir, "events")
+    rows = events.select("event_id", F.format_string("%.4f", "value").alias("value"))
+    K.append_csv(rows, folder, run_id="a")
+    stage_run(with_run(rows, "b"), folder, lambda df, path: df.write.options(**K.CSV_OPTIONS).csv(path))
+    K.append_csv(rows, folder, run_id="b")
+    K.append_csv(events.select("event_id", F.format_string("%.4f", F.col("value") + 1).alias("value")), folder, run_id="a")
+    return S.read_csv_runs(spark, folder)
 
 
 @query("summary_kept", "SELECT round(avg(value), 6) AS mean FROM {events}")

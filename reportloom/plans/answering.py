@@ -12,7 +12,7 @@ from reportloom.functions.modality import modality
 from reportloom.functions.text import has_text, or_empty
 from reportloom.operators.evaluation import class_metrics, evaluation_rows, mean_metrics, text_metrics, with_soft_organ
 from reportloom.operators.fewshot import PromptStyle, gather_examples, with_prompts
-from reportloom.operators.models import score_requests
+from reportloom.operators.models import score_once, score_requests
 from reportloom.operators.neighbours import top_k
 from reportloom.session import fresh_folder
 
@@ -41,26 +41,33 @@ def few_shot_requests(rows: DataFrame, corpus: DataFrame, *, k: int = 5, style:
 
 
 def answered(requests: DataFrame, make_scorer: Callable[[], Callable[[Sequence[str]], Sequence[str]]], *,
-             json_output: bool = True) -> DataFrame:
+             json_output: bool = True, log: str | None = None, asker: str = "") -> DataFrame:
     """Requests with raw ``content`` and parsed ``answer``.
 
-    The scored table is written once: a model must not be asked again when a later step is retried.
+    The scored table is written once: a model must not be asked again when a later step is retried. With ``log``, a
+    folder that outlives the run, it is not asked again by a later run either (see ``score_once``).
     """
     spark = requests.sparkSession
     folder = fresh_folder(spark, "answers")
-    score_requests(requests, make_scorer).write.parquet(folder)
-    scored = spark.read.parquet(folder)
+    if log is None:
+        score_requests(requests, make_scorer).write.parquet(folder)
+        scored = spark.read.parquet(folder)
+    else:
+        requests.write.parquet(folder)
+        scored = score_once(spark.read.parquet(folder), make_scorer, log, asker=asker)
     return scored.withColumn("answer", parse_answer(F.col("content"), json_output)).withColumn(
         "predicted", F.col("answer.result")
     )
 
 
 def evaluate(rows: DataFrame, corpus: DataFrame, make_scorer: Callable, *, k: int = 5,
-             style: PromptStyle | None = None, organ_similarity: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """The evaluation table; ``organ_similarity`` adds ``acc_organ_cosine`` where an encoder is at hand."""
+             style: PromptStyle | None = None, organ_similarity: Callable[[DataFrame], DataFrame] | None = None,
+             log: str | None = None, asker: str = "") -> DataFrame:
+    """The evaluation table; ``organ_similarity`` adds ``acc_organ_cosine`` where an encoder is at hand. ``log`` and
+    ``asker``: see ``answered``."""
     style = style or PromptStyle(max_examples=k)
     requests = few_shot_requests(rows, corpus, k=k, style=style)
-    measured = class_metrics(text_metrics(answered(requests, make_scorer, json_output=style.json_output)))
+    measured = class_metrics(text_metrics(answered(requests, make_scorer, json_output=style.json_output, log=log, asker=asker)))
     soft = organ_similarity(measured) if organ_similarity else with_soft_organ(measured, F.lit(0.0))
     return evaluation_rows(soft)
 
@@ -70,14 +77,16 @@ def summary(evaluated: DataFrame, columns: Mapping[str, str] = SUMMARY) -> DataF
 
 
 def infer(rows: DataFrame, corpus: DataFrame, make_scorer: Callable, *, k: int = 5, style: PromptStyle | None = None,
-          default_organ: str = "") -> DataFrame:
-    """One nested row per input: input, prediction, metrics, examples, prompt and raw response."""
+          default_organ: str = "", log: str | None = None, asker: str = "") -> DataFrame:
+    """One nested row per input: input, prediction, metrics, examples, prompt and raw response. ``log`` and ``asker``:
+    see ``answered``."""
     style = style or PromptStyle(max_examples=k)
     stated = F.nullif(or_empty(F.col("organ")), F.lit(""))
     filled = rows.withColumn("organ", F.coalesce(stated, F.lit(default_organ))).withColumn(
         "modality", F.coalesce(F.nullif(or_empty(F.col("modality")), F.lit("")), modality(F.col("finding")))
     )
-    scored = answered(few_shot_requests(filled, corpus, k=k, style=style), make_scorer, json_output=style.json_output)
+    scored = answered(few_shot_requests(filled, corpus, k=k, style=style), make_scorer, json_output=style.json_output, log=log,
+                      asker=asker)
     measured = class_metrics(text_metrics(scored, zero_without_reference=True), finding_longer_than=0)
     now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyyMMdd'T'HHmmss'Z'")
     return measured.select(

@@ -19,6 +19,7 @@ from reportloom.functions.text import or_empty, utf8_dropping_bad_bytes
 from reportloom.operators.compiling import ORIGIN, distinct_names, header_union, inference_rows, with_origin
 from reportloom.operators.redaction import with_status
 from reportloom.sources.listing import FOLDER_ERROR, file_system, list_files, split_base, spread_by_size
+from reportloom.sources.runs import read_runs
 
 CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "inferSchema": False,
                "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -80,13 +81,23 @@ def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.options(**CSV_OPTIONS).csv(path).fillna("")
 
 
+def read_csv_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """All published runs of a growing CSV table; a run with other columns than the first one fails the read."""
+    return read_runs(spark, folder, lambda paths: spark.read.options(**CSV_OPTIONS, enforceSchema=False).csv(paths).fillna(""))
+
+
+def read_log_runs(spark: SparkSession, folder: str, schema: str | None = None) -> DataFrame:
+    """All published runs of an inference log."""
+    return read_runs(spark, folder, lambda paths: read_jsonl(spark, paths, schema), schema)
+
+
 def read_pairs_by_folder(spark: SparkSession, path: str) -> DataFrame:
     """(finding, file_name, result, folder) from CSV files in one directory per folder; folder names stay texts."""
     schema = ", ".join(f"{c} string" for c in [*RESULT_COLUMNS, "folder"])
     return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path).fillna("")
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
     """One object per line; blank lines are skipped, a bad line fails the read."""
     reader = spark.read.option("mode", "FAILFAST")
     return (reader.schema(schema) if schema else reader).json(path)

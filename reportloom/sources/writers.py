@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reportloom.fixed_values import RESULT_COLUMNS
 from reportloom.operators.redaction import counts_by_label, failures, totals
+from reportloom.sources.runs import append_run, with_run
 
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "emptyValue": "",
                "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -66,14 +67,13 @@ def write_splits(df: DataFrame, folder: str, *, split: str = "split") -> None:
 
 
 def append_csv(df: DataFrame, folder: str, *, run_id: str) -> None:
-    """Add a run's rows to a growing CSV table, marked by ``run_id``."""
-    df.withColumn("run_id", F.lit(run_id)).write.mode("append").options(**CSV_OPTIONS).csv(folder)
+    """Add a run's rows to a growing CSV table, marked by ``run_id``; a run done again takes its earlier rows' place."""
+    append_run(with_run(df, run_id), folder, run_id, lambda rows, path: rows.write.options(**CSV_OPTIONS).csv(path))
 
 
 def append_log(df: DataFrame, folder: str, *, run_id: str) -> None:
-    """Nested inference log as JSON, partitioned by run."""
-    df.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").option(
-        "ignoreNullFields", False).json(folder)
+    """Nested inference log as JSON, marked by ``run_id``; a run done again takes its earlier rows' place."""
+    append_run(with_run(df, run_id), folder, run_id, write_jsonl)
 
 
 def write_summary(one_row: DataFrame, folder: str) -> None:

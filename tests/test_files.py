@@ -11,7 +11,7 @@ from reportloom.session import fresh_folder, shared_folder
 from reportloom.sources import listing as L
 from reportloom.sources import readers as S
 from reportloom.sources import writers as K
-from reportloom.streaming.redaction import count_labels_stream, redact_stream
+from reportloom.streaming.redaction import count_labels_stream, read_label_counts, redact_stream
 
 
 @pytest.fixture()
@@ -150,7 +150,7 @@ def test_stream_equals_batch(spark, tmp_path):
     for _ in range(2):  # a second run with more input adds to the counts
         count_labels_stream(read(), str(tmp_path / "n"), str(tmp_path / "ck2")).awaitTermination()
         want = {r.label: r.n for r in counts_by_label(redact(spark.read.parquet(source))).collect()}
-        assert {r.label: r.n for r in spark.read.parquet(str(tmp_path / "n")).collect()} == want
+        assert {r.label: r.n for r in read_label_counts(spark, str(tmp_path / "n")).collect()} == want
         texts.write.mode("append").parquet(source)
 
 
