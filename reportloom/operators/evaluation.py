@@ -12,7 +12,7 @@ from reportloom.functions.similarity import (
 )
 from reportloom.functions.text import four_decimals, or_empty, words
 from reportloom.functions.text_scores import text_scores
-from reportloom.operators.overlap import COUNT_FIELDS, bleu_of, overlap_counts
+from reportloom.operators.overlap import COUNT_FIELDS, bleu, bleu_of, counts_of
 from reportloom.operators.split import with_row_id
 
 TEXT_METRICS = ["bleu", "rouge", "meteor", "levenshtein", "exact_match"]
@@ -37,15 +37,13 @@ def text_metrics(df: DataFrame, *, reference: str = "reference", prediction: str
     ``synonyms`` is a table (word, synonym) of any size; each row gets those of its own words.
     """
     ref, pred = F.col(reference), F.col(prediction)
-    rows = with_row_id(df, out="__row")
-    counts = overlap_counts(rows, key="__row", reference=reference, prediction=prediction)
-    counted = rows.join(counts.select("__row", F.struct(*COUNT_FIELDS).alias("__counts")), "__row")
-    known = None
+    counted, known = df, None
     if synonyms is not None:
-        counted, known = counted.join(_own_synonyms(rows, synonyms, prediction), "__row", "left"), F.col("__synonyms")
+        rows = with_row_id(df, out="__row")
+        counted, known = rows.join(_own_synonyms(rows, synonyms, prediction), "__row", "left"), F.col("__synonyms")
     scored = counted.withColumn("__scores", text_scores(ref, pred, synonyms=known))
     metrics = {
-        "bleu": bleu_of(F.col("__counts")),
+        "bleu": bleu(ref, pred),
         "rouge": F.col("__scores.rouge"),
         "meteor": F.col("__scores.meteor"),
         "levenshtein": edit_similarity(ref, pred),
@@ -53,7 +51,7 @@ def text_metrics(df: DataFrame, *, reference: str = "reference", prediction: str
     }
     if zero_without_reference:
         metrics = {n: F.when(or_empty(ref) != "", c).otherwise(0.0) for n, c in metrics.items()}
-    return scored.withColumns(metrics).drop("__scores", "__counts", "__row", "__synonyms")
+    return scored.withColumns(metrics).drop("__scores", "__row", "__synonyms")
 
 
 def _own_synonyms(rows: DataFrame, synonyms: DataFrame, prediction: str) -> DataFrame:
@@ -83,18 +81,15 @@ def mean_metrics(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 
 def corpus_bleu(df: DataFrame, *, reference: str = "reference", prediction: str = "predicted") -> DataFrame:
     """One row: BLEU over the summed counts of all rows."""
-    texts = df.select(F.col(reference).alias("r"), F.col(prediction).alias("c")).withColumn("__row", F.monotonically_increasing_id())
-    counted = overlap_counts(texts, key="__row", reference="r", prediction="c")
-    summed = counted.agg(*[F.coalesce(F.sum(f), F.lit(0)).alias(f) for f in COUNT_FIELDS])
+    counted = df.select(counts_of(F.col(reference), F.col(prediction)).alias("n"))
+    summed = counted.agg(*[F.coalesce(F.sum(F.col("n")[f]), F.lit(0)).alias(f) for f in COUNT_FIELDS])
     return summed.select(bleu_of(F.struct(*COUNT_FIELDS)).alias("bleu"))
 
 
 def sentence_bleu(df: DataFrame, *, reference: str = "reference", prediction: str = "predicted",
                   out: str = "bleu") -> DataFrame:
     """Add the BLEU score of each row alone."""
-    rows = with_row_id(df, out="__row")
-    counted = overlap_counts(rows, key="__row", reference=reference, prediction=prediction)
-    return rows.join(counted.select("__row", bleu_of(F.struct(*COUNT_FIELDS)).alias(out)), "__row").drop("__row")
+    return df.withColumn(out, bleu(F.col(reference), F.col(prediction)))
 
 
 def with_soft_organ(df: DataFrame, similarity: Column) -> DataFrame:

@@ -1,7 +1,7 @@
 """Word and n-gram overlap of two texts per row, relational and JVM-side.
 
-Rows are dealt out by their key once; every grouping and window after that is by the key and more, so Spark needs no
-second exchange and no n-gram is shuffled. Definitions: Papineni et al. 2002, exponential smoothing after Chen & Cherry
+n-grams are counted inside the row, without a shuffle. For the alignment rows are dealt out by their key once; every
+grouping and window after that is by the key and more, so Spark needs no second exchange. Definitions: Papineni et al. 2002, exponential smoothing after Chen & Cherry
 2014, tokens after Post 2018; Banerjee & Lavie 2005.
 """
 
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reportloom.fixed_values import METEOR_ALPHA, METEOR_BETA, METEOR_GAMMA, SCORE_LITERALS, SCORE_RULES
-from reportloom.functions.text import WHITESPACE, words
+from reportloom.functions.text import WHITESPACE, let, words
 
 ORDERS = 4
 COUNT_FIELDS = ["ref_len", "sys_len"] + [f"{p}{n}" for p in "mt" for n in range(1, ORDERS + 1)]
@@ -29,14 +29,43 @@ def score_tokens(text: Column) -> Column:
     return F.filter(F.split(text, BLANKS), lambda t: t != "")
 
 
-def _grams(tokens: Column, side: int) -> Column:
-    """All n-grams as numbers: a hash, then two bits for the order and one for the side."""
-    def of_order(n: int) -> Column:
-        firsts = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
-        return F.transform(firsts, lambda t, i: F.shiftleft(
-            F.xxhash64(t, *[F.get(tokens, i + k) for k in range(1, n)]), 3).bitwiseOR(F.lit((n - 1) * 2 + side).cast("bigint")))
+def _grams(tokens: Column, n: int, side: int) -> Column:
+    """The n-grams as numbers: 63 bits of a hash, then one for the side."""
+    firsts = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
+    return F.transform(firsts, lambda t, i: F.shiftleft(
+        F.xxhash64(t, *[F.get(tokens, i + k) for k in range(1, n)]), 1).bitwiseOR(F.lit(side).cast("bigint")))
 
-    return F.concat(*[of_order(n) for n in range(1, ORDERS + 1)])
+
+def _common(ref: Column, cand: Column, n: int) -> Column:
+    """How many n-grams both sides share, each as often as on the side that has it less often.
+
+    In order of their numbers equal n-grams stand together, the reference's first: one pass keeps how many of these are
+    still without a partner.
+    """
+    both = F.sort_array(F.concat(_grams(ref, n, 0), _grams(cand, n, 1)))
+    start = F.struct(F.lit(None).cast("bigint").alias("gram"), F.lit(0).alias("free"), F.lit(0).cast("bigint").alias("met"))
+
+    def step(at: Column, g: Column) -> Column:
+        gram, is_ref = F.shiftright(g, 1), g.bitwiseAND(F.lit(1).cast("bigint")) == 0
+        free = F.when(at["gram"] == gram, at["free"]).otherwise(0)
+        return F.struct(gram.alias("gram"), F.when(is_ref, free + 1).otherwise(F.greatest(free - 1, F.lit(0))).alias("free"),
+                        (at["met"] + F.when(~is_ref & (free > 0), 1).otherwise(0)).alias("met"))
+
+    return F.aggregate(both, start, step)["met"]
+
+
+def counts_of(reference: Column, prediction: Column) -> Column:
+    """Struct of COUNT_FIELDS: lengths, clipped n-gram matches and n-gram totals of the two texts.
+
+    n-grams of a row are told apart by 63 bits of a hash.
+    """
+    def fields(r: Column, c: Column) -> Column:
+        size = lambda t, n: F.greatest(F.size(t) - (n - 1), F.lit(0)).cast("bigint")
+        orders = range(1, ORDERS + 1)
+        return F.struct(size(r, 1).alias("ref_len"), size(c, 1).alias("sys_len"), *[_common(r, c, n).alias(f"m{n}") for n in orders],
+                        *[size(c, n).alias(f"t{n}") for n in orders])
+
+    return let(score_tokens(reference), lambda r: let(score_tokens(prediction), lambda c: fields(r, c)))
 
 
 def _dealt(df: DataFrame, key: str) -> DataFrame:
@@ -44,21 +73,9 @@ def _dealt(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
-def overlap_counts(df: DataFrame, *, key: str, reference: str = "reference", prediction: str = "predicted") -> DataFrame:
-    """(key, COUNT_FIELDS): lengths, clipped n-gram matches and n-gram totals per row; ``key`` must be unique.
-
-    n-grams of a row are told apart by 61 bits of a hash: two of 10,000 different ones fall together in one of
-    50 billion texts.
-    """
-    tokens = df.select(F.col(key), score_tokens(F.col(reference)).alias("r"), score_tokens(F.col(prediction)).alias("c"))
-    grams = _dealt(tokens, key).select(key, F.explode_outer(F.concat(_grams(F.col("r"), 0), _grams(F.col("c"), 1))).alias("g"))
-    in_cand = F.col("g").bitwiseAND(F.lit(1).cast("bigint"))
-    counted = grams.groupBy(key, F.shiftright("g", 1).alias("g")).agg(F.count("g").alias("n"), F.coalesce(F.sum(in_cand), F.lit(0)).alias("c"))
-    order, r = F.col("g").bitwiseAND(F.lit(3).cast("bigint")), F.col("n") - F.col("c")
-    of = lambda n, value: F.coalesce(F.sum(F.when(order == n - 1, value)), F.lit(0))
-    hits = [of(n, F.least(r, F.col("c"))).alias(f"m{n}") for n in range(1, ORDERS + 1)]
-    totals = [of(n, F.col("c")).alias(f"t{n}") for n in range(1, ORDERS + 1)]
-    return counted.groupBy(key).agg(of(1, r).alias("ref_len"), of(1, F.col("c")).alias("sys_len"), *hits, *totals)
+def bleu(reference: Column, prediction: Column) -> Column:
+    """BLEU of the row's two texts alone."""
+    return let(counts_of(reference, prediction), bleu_of)
 
 
 def bleu_of(counts: Column) -> Column:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from reportloom.functions.similarity import edit_similarity
 from reportloom.functions.text_scores import lcs_f_score, meteor, stem
-from reportloom.operators.evaluation import corpus_bleu, formatted, mean_metrics, text_metrics
-from reportloom.operators.overlap import equal_word_scores, overlap_counts, score_tokens
+from reportloom.operators.evaluation import corpus_bleu, formatted, mean_metrics, sentence_bleu, text_metrics
+from reportloom.operators.overlap import counts_of, equal_word_scores, score_tokens
 
 # Pairs given in the 1980 paper.
 STEMS = {
@@ -103,16 +103,30 @@ def test_score_tokens(spark):
 def test_overlap_counts(spark):
     rows = [(1, "the cat is on the mat", "the the the the the the the"), (2, "", ""), (3, "a", "a"), (4, None, None), (5, "x", "")]
     df = spark.createDataFrame(rows, "id int, reference string, predicted string")
-    got = {r.id: list(r)[1:] for r in overlap_counts(df, key="id").collect()}
+    got = {r.id: list(r.n) for r in df.select("id", counts_of(F.col("reference"), F.col("predicted")).alias("n")).collect()}
     assert got[1] == [6, 7, 2, 0, 0, 0, 7, 6, 5, 4]
     assert got[2] == [0] * 10 == got[4]
     assert got[3] == [1, 1, 1, 0, 0, 0, 1, 0, 0, 0] and got[5] == [1] + [0] * 9
 
 
-def test_no_ngram_is_shuffled(spark):
-    df = spark.createDataFrame([(1, "a b", "a c")], "id int, reference string, predicted string")
-    plan = overlap_counts(df, key="id")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
+def test_overlap_counts_equal_clipped_counts(spark):
+    draw = random.Random(3)
+    rows = [(i, " ".join(draw.choice("abc") for _ in range(draw.randint(0, 40))), " ".join(draw.choice("abcd") for _ in range(draw.randint(0, 40)))) for i in range(60)]
+    rows.append((60, "a " * 30_000, "a b " * 20_000))
+    df = spark.createDataFrame(rows, "id int, reference string, predicted string")
+    got = {r.id: list(r.n)[2:6] for r in df.select("id", counts_of(F.col("reference"), F.col("predicted")).alias("n")).collect()}
+
+    def grams(text, n):
+        words = text.split()
+        return Counter(tuple(words[i:i + n]) for i in range(len(words) - n + 1))
+
+    assert got == {i: [(grams(r, n) & grams(c, n)).total() for n in (1, 2, 3, 4)] for i, r, c in rows}
+
+
+def test_bleu_needs_no_shuffle(spark):
+    df = spark.range(9).selectExpr("id", "'a b' AS reference", "concat('a ', id) AS predicted")
+    plan = sentence_bleu(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan and "Generate" not in plan
 
 
 def test_equal_words(spark):
