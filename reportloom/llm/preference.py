@@ -37,20 +37,24 @@ def mask(turns: Column) -> Column:
 
 
 def _side(turns: DataFrame, side: str) -> DataFrame:
-    quoted = F.replace(F.coalesce("text", F.lit("")), F.lit(MARK), F.lit(MARK_QUOTED))
-    return turns.select("pair_id", F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
-                                            quoted.alias("text"), F.lit(side).alias("side")).alias("t"))
+    quoted = [F.replace(F.coalesce(c, F.lit("")), F.lit(MARK), F.lit(MARK_QUOTED)).alias(c) for c in ("role", "text")]
+    return turns.select("pair_id", F.when(F.col("pair_id").isNull(), F.monotonically_increasing_id()).alias("alone"),
+                        F.struct(F.col("turn").cast("long").alias("turn"), *quoted, F.lit(side).alias("side")).alias("t"))
 
 
 def preference_rows(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
-    """(pair_id, n_common, prompt, chosen, chosen_mask, rejected, rejected_mask), one row per pair_id on either side.
+    """(pair_id, n_common, prompt, chosen, chosen_mask, rejected, rejected_mask, has_preference), one row per pair_id on
+    either side.
 
     Both inputs have pair_id, turn, role, text; other columns are ignored. Turns are ordered by turn (NULL first), then
     role and text; repeated turns stay. NULL roles and texts are empty. A side without turns is an empty conversation.
-    Equal sides give a prompt and empty completions. Turn markers inside texts are broken up by a blank. A NULL pair_id
-    is a key like any other. A pair is one row, so a conversation must fit a row, as in any text format.
+    Equal sides give a prompt and empty completions. ``has_preference`` is true where both completions hold a turn; a
+    pair of which one side is a beginning of the other states none. Turn markers inside roles and texts are broken up by
+    a blank. A turn without a pair_id belongs to no conversation: it is a row of its own, with a NULL pair_id and without
+    a partner. A pair is one row, so a conversation must fit a row, as in any text format.
     """
-    met = _side(chosen, "chosen").unionByName(_side(rejected, "rejected")).groupBy("pair_id").agg(F.sort_array(F.collect_list("t")).alias("all"))
+    met = _side(chosen, "chosen").unionByName(_side(rejected, "rejected")).groupBy("pair_id", "alone", F.when(
+        F.col("pair_id").isNull(), F.col("t.side")).alias("alone_side")).agg(F.sort_array(F.collect_list("t")).alias("all"))
     own = met.select("pair_id", _of_side("chosen"), _of_side("rejected"))
     same = F.zip_with("chosen", "rejected", lambda c, r: F.coalesce((c["role"] == r["role"]) & (c["text"] == r["text"]), F.lit(False)))
     first_off = F.array_position(same, F.lit(False))
@@ -59,7 +63,8 @@ def preference_rows(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     return counted.select(
         "pair_id", F.col("n").cast("long").alias("n_common"), rendered(F.slice("chosen", F.lit(1), F.col("n"))).alias("prompt"),
         rendered(rest["chosen"]).alias("chosen"), mask(rest["chosen"]).alias("chosen_mask"),
-        rendered(rest["rejected"]).alias("rejected"), mask(rest["rejected"]).alias("rejected_mask"))
+        rendered(rest["rejected"]).alias("rejected"), mask(rest["rejected"]).alias("rejected_mask"),
+        ((F.size("chosen") > F.col("n")) & (F.size("rejected") > F.col("n"))).alias("has_preference"))
 
 
 def _of_side(side: str) -> Column:
@@ -68,10 +73,11 @@ def _of_side(side: str) -> Column:
 
 def with_other_answer(turns: DataFrame, key: str = "conv_id") -> tuple[DataFrame, DataFrame]:
     """Pairs from plain conversations: the conversation is chosen, rejected is the same one with its last assistant
-    turn's text taken from the last assistant turn of the conversation with the next key (none: only the turns before).
+    turn's text taken from the last assistant turn of the conversation whose key is larger by one. Where that is not there
+    or has no answer, the answer is left out and the pair has no preference.
 
     Turns behind the last assistant turn stay on both sides. Conversations without an assistant turn are equal on both
-    sides.
+    sides. Turns without a key stay on both sides, each alone.
     """
     all_turns = turns.select(F.col(key).alias("pair_id"), "turn", "role", "text")
     answers = all_turns.where(F.col("role") == TRAINED_ROLE).groupBy("pair_id").agg(

@@ -37,7 +37,7 @@ def op1_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Every conversation against itself with the last answer of the next one, turn by turn.
 PREFERENCE_SQL = """
-WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, replace(coalesce(text, ''), '<|im_', '< |im_') AS text FROM conversations),
+WITH turns AS (SELECT conv_id, turn, replace(coalesce(role, ''), '<|im_', '< |im_') AS role, replace(coalesce(text, ''), '<|im_', '< |im_') AS text FROM conversations),
 answers AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) AS place
             FROM turns WHERE role = 'assistant'),
 last_answers AS (SELECT * FROM answers WHERE place = 1),
@@ -63,7 +63,8 @@ SELECT conv_id, max(n) AS n_common,
        coalesce(string_agg(shown, '' ORDER BY place) FILTER (WHERE side = 'c' AND place > n), '') AS chosen,
        coalesce(string_agg(run, ',' ORDER BY place) FILTER (WHERE side = 'c' AND place > n), '') AS chosen_mask,
        coalesce(string_agg(shown, '' ORDER BY place) FILTER (WHERE side = 'r' AND place > n), '') AS rejected,
-       coalesce(string_agg(run, ',' ORDER BY place) FILTER (WHERE side = 'r' AND place > n), '') AS rejected_mask
+       coalesce(string_agg(run, ',' ORDER BY place) FILTER (WHERE side = 'r' AND place > n), '') AS rejected_mask,
+       count(*) FILTER (WHERE side = 'c' AND place > n) > 0 AND count(*) FILTER (WHERE side = 'r' AND place > n) > 0 AS has_preference
 FROM shown GROUP BY conv_id
 """
 

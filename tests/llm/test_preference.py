@@ -14,22 +14,24 @@ def runs(turns):
 
 
 def brute(chosen, rejected):
-    out = {}
-    for pair in {r[0] for r in chosen + rejected}:
-        sides = [sorted(((r[1] is not None, r[1] or 0), r[2] or "", (r[3] or "").replace("<|im_", "< |im_"))
-                        for r in rows if r[0] == pair) for rows in (chosen, rejected)]
+    out = []
+    quoted = lambda t: (t or "").replace("<|im_", "< |im_")
+    pairs = [(pair, *[[r for r in rows if r[0] == pair] for rows in (chosen, rejected)]) for pair in {r[0] for r in chosen + rejected} - {None}]
+    pairs += [(None, [r], []) for r in chosen if r[0] is None] + [(None, [], [r]) for r in rejected if r[0] is None]
+    for pair, *own in pairs:
+        sides = [sorted(((r[1] is not None, r[1] or 0), quoted(r[2]), quoted(r[3])) for r in rows) for rows in own]
         n = 0
         while n < min(map(len, sides)) and sides[0][n][1:] == sides[1][n][1:]:
             n += 1
         a, b = sides[0][n:], sides[1][n:]
-        out[pair] = (n, show(sides[0][:n]), show(a), runs(a), show(b), runs(b))
-    return out
+        out.append((pair, n, show(sides[0][:n]), show(a), runs(a), show(b), runs(b), bool(a and b)))
+    return sorted(out, key=repr)
 
 
 def check(spark, chosen, rejected):
     frames = [spark.createDataFrame([(*r, 1, "x") for r in rows], TURNS) for rows in (chosen, rejected)]
-    got = {r[0]: tuple(r)[1:] for r in preference.preference_rows(*frames).collect()}
-    assert got == brute(chosen, rejected)
+    got = [tuple(r) for r in preference.preference_rows(*frames).collect()]
+    assert sorted(got, key=repr) == brute(chosen, rejected)
 
 
 def test_pairs(spark):
@@ -47,6 +49,14 @@ def test_odd_turns(spark):
     check(spark, chosen, rejected)
 
 
+def test_turns_without_a_key_stand_alone(spark):
+    many = [(None, 0, "user", f"t{i % 3}") for i in range(500)]
+    check(spark, [*many, (1, 0, "<|im_start|>", "a")], many[:40])
+    turns = spark.createDataFrame(many, "conv_id long, turn long, role string, text string")
+    rows = preference.preference_rows(*preference.with_other_answer(turns))
+    assert rows.count() == 1000 and rows.filter("length(chosen) > 60 OR length(rejected) > 60 OR has_preference").count() == 0
+
+
 def test_no_rows(spark):
     none = spark.createDataFrame([], TURNS)
     assert preference.preference_rows(none, none).collect() == []
