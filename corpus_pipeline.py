@@ -15,6 +15,7 @@ from reportloom.llm import mixing, rank_order, secrets, simhash, wfst
 from reportloom.llm.queries import MIX_EXPONENT
 from reportloom.llm.storage import documents, file_places, public_vocabulary, stored
 
+ROWS_A_BATCH = 1024  # documents that Spark hands a Python worker at once; whole texts are many times a row of numbers
 LEAST_SCORE = 0.1  # least agreement with the best language's profile, whatever the scores of the labelled texts are
 
 
@@ -60,6 +61,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order, each written as Parquet and read back as the next one's documents."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_A_BATCH)
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
