@@ -65,3 +65,14 @@ def test_inference_scores_nothing_without_a_reference(tables):
     for id_, _, _, _, reference, vector in ROWS:
         if reference:
             assert got[id_].metrics.rouge == pytest.approx(lcs_f_score(reference, nearest(vector)))
+
+
+def test_a_log_of_answers_changes_nothing_and_is_not_asked_past(tables, tmp_path):
+    log, shown = str(tmp_path / "log"), ["id", "predicted_result", "bleu", "rouge", "acc_modality"]
+
+    def never():
+        raise AssertionError("asked again")
+
+    want = sorted(evaluate(*tables, first_example, k=3).select(*shown).collect())
+    assert sorted(evaluate(*tables, first_example, k=3, log=log, asker="m").select(*shown).collect()) == want
+    assert sorted(evaluate(*tables, never, k=3, log=log, asker="m").select(*shown).collect()) == want
