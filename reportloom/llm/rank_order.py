@@ -25,7 +25,7 @@ LONGEST = 3
 BLANK = 1  # stands for everything that is not a letter
 SHIFT = 21  # bits of a code point
 PIECE = 1 << 20  # characters handled at once
-GRAMS_AT_ONCE = 1 << 21  # n-grams of texts held before they are summed
+GRAMS_AT_ONCE = 1 << 19  # n-grams of texts held before they are summed
 LEAST_SHARE = 0.5  # of the middle score of labelled texts; a text with less counts as no language
 LEAST_ROWS = 30  # labelled texts of a length for a middle of their own
 
@@ -180,4 +180,4 @@ def accepted(docs: DataFrame, profiles: Profiles, least: float, text: str = "tex
             yield batch.filter(pc.and_(pa.array([n != UNKNOWN for _, n, _ in found], pa.bool_()),
                                        pa.array([enough(t, s) for t, _, s in found], pa.bool_())))
 
-    return docs.mapInArrow(work, docs.schema)
+    return mapped(docs, work, docs.schema)

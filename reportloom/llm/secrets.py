@@ -173,4 +173,4 @@ def mask_secrets(docs: DataFrame, text: str = "text", length: str = "n_chars") -
             yield batch
 
     assert kinds[text] == "string"
-    return docs.mapInArrow(work, docs.schema)
+    return mapped(docs, work, docs.schema)

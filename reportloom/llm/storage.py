@@ -6,6 +6,7 @@ Nothing here is removed by the library, as the tables returned to a caller read
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 from urllib.parse import urlparse
@@ -15,6 +16,7 @@ from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reportloom.session import fresh_folder
 
@@ -79,9 +81,17 @@ def rows_of(batches: Batches, *names: str) -> Iterator[tuple]:
         yield from zip(*columns, strict=True)
 
 
-def mapped(df: DataFrame, work: Callable[[Batches], Batches], schema: str) -> DataFrame:
-    """``mapInArrow`` under one name, so that the operators read alike."""
-    return df.mapInArrow(work, schema)
+def mapped(df: DataFrame, work: Callable[[Batches], Batches], schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` whose workers, which Spark keeps for later tasks, give free memory back at the end of a task."""
+
+    def work_and_tidy(batches: Batches) -> Batches:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library's, where it has one
+        if trim:
+            trim(0)
+
+    return df.mapInArrow(work_and_tidy, schema)
 
 
 def batches_of(rows: Iterator[tuple], schema: pa.Schema, size: int = 2048, weight: Callable[[tuple], int] | None = None,
