@@ -13,6 +13,7 @@ from reportloom.functions.text import WHITESPACE, utf8_dropping_bad_bytes, words
 from reportloom.operators import redaction as R
 from reportloom.session import fresh_folder
 from reportloom.streaming.redaction import count_labels_stream, read_label_counts, redact_stream
+from reportloom.streaming.versions import read_latest, redact_latest_stream
 
 BY_LABEL = {p.label: p for p in DEFAULT_PATTERNS}
 
@@ -240,3 +241,33 @@ def stream_label_counts(spark, sf_dir):
     target, checkpoint = fresh_folder(spark, "stream"), fresh_folder(spark, "stream-state")
     count_labels_stream(arriving(spark, sf_dir), target, checkpoint).awaitTermination()
     return read_label_counts(spark, target)
+
+
+FIRST_SENT = 1_714_521_600  # seconds; what the times below count from
+
+
+def sent_again(docs, number):
+    """The reports that arrive in one of three deliveries: all; English ones unchanged and German ones in a version ten
+    minutes newer; older French ones and the new German ones once more."""
+    row = lambda part, text, minutes: part.select(
+        F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"),
+        F.timestamp_seconds(F.lit(FIRST_SENT + 60 * minutes)).alias("modified"), text.alias("content"))
+    text, of = F.col("text"), lambda lang: docs.filter(F.col("lang") == lang)
+    german = row(of("de"), F.concat(text, F.lit("; v2")), 10)
+    return [row(docs, text, 0), row(of("en"), text, 0).union(german), row(of("fr"), F.lit("older"), -5).union(german)][number]
+
+
+@query("stream_reports_sent_again", f"""{DOC_SPANS}{REDACTED_SQL}
+SELECT source || '/' || CAST(d.doc_id AS VARCHAR) AS path, CASE WHEN lang = 'de' THEN 10 ELSE 0 END AS minutes,
+       CASE WHEN lang = 'de' THEN r.redacted || '; v2' ELSE r.redacted END AS redacted,
+       CAST(CASE WHEN lang = 'de' THEN 2 ELSE 1 END AS BIGINT) AS n_versions
+FROM {{documents}} d JOIN redacted r ON r.doc_id = d.doc_id""")
+def stream_reports_sent_again(spark, sf_dir):
+    source, target, checkpoint = (fresh_folder(spark, n) for n in ("sent", "latest", "latest-state"))
+    docs = spread(load(spark, sf_dir, "documents"))
+    for number in range(3):  # every delivery is a run of its own, which goes on from the checkpoint
+        sent_again(docs, number).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema("path string, modified timestamp, content string").parquet(source)
+        redact_latest_stream(arriving, target, checkpoint, lateness="1 hour").awaitTermination()
+    minutes = ((F.unix_seconds("modified") - FIRST_SENT) / 60).cast("bigint")
+    return read_latest(spark, target).select("path", minutes.alias("minutes"), "redacted", "n_versions")
