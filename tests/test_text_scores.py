@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from reportloom.functions.similarity import edit_similarity
+from reportloom.functions.similarity import edit_distance, edit_similarity
 from reportloom.functions.text_scores import lcs_f_score, meteor, stem
 from reportloom.operators.evaluation import corpus_bleu, formatted, mean_metrics, sentence_bleu, text_metrics
 from reportloom.operators.overlap import counts_of, equal_word_scores, score_tokens
@@ -173,3 +173,17 @@ def test_means_of_nothing_are_zero(spark):
     df = spark.createDataFrame([], "x double")
     assert mean_metrics(df, {"m": "x"}).first().m == 0.0
     assert formatted(spark.createDataFrame([(0.12345,)], "bleu double"), ["bleu"]).first().bleu == "0.1235"
+
+
+def test_edit_distance_in_bands(spark):
+    """Equal to the full distance within, at and beyond the bands; NULL stays NULL."""
+    rng = random.Random(3)
+    words = ["", "a", "é", "яя", "kitten", "sitting", "😀x"] + ["".join(rng.choice("ab") for _ in range(rng.randrange(90))) for _ in range(25)]
+    long_text = "".join(rng.choice("abcd ") for _ in range(2000))
+    pairs = [(x, y) for x in words for y in words] + [(long_text, long_text[:k] + "Z" + long_text[k + 1:]) for k in (0, 999, 1999)]
+    pairs += [(long_text, long_text[70:]), (long_text, long_text[64:]), (long_text, long_text[::-1])]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for bands in [(2, 8), (64, 1024)]:
+        assert df.filter(edit_distance(F.col("a"), F.col("b"), bands) != F.levenshtein("a", "b")).count() == 0
+    none = spark.createDataFrame([(None, "a"), (None, None)], "a string, b string")
+    assert [r[0] for r in none.select(edit_distance(F.col("a"), F.col("b"))).collect()] == [None, None]
