@@ -6,8 +6,9 @@ a bound of how near any of its vectors can be to a query. Every query first sear
 they hold k vectors; its k-th best score then rules out the rings whose bound is worse, and it searches the others.
 Nothing is left out that could be among the k best, whatever the data: without structure in it, all rings are searched.
 
-Rings of many rows are split by hash, and so are the queries of a ring, so every search is one bounded group. No pair
-leaves a task except the k best of each query there; these are merged over groups of blocks first, then per query.
+Neighbouring rings are bundled, so a query is sent once to all it searches there; bundles and rings of many rows are split
+by hash, and so are the queries of a bundle, so every search is one bounded group. No pair leaves a task except the k best
+of each query there that reach its border; these are merged over groups of blocks first, then per query.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql import types as T
 from reportloom.session import fresh_folder
 
 BLOCK_ROWS, BLOCK_BYTES = 50_000, 64 * 1024 * 1024  # largest block of either side
+BUNDLES, LEAST_ASKED = 8, 2_000  # bundles a corpus is cut into below that, and queries a task gets at least
+QUERY_ROWS = 2_048  # queries searched at once in a task
 MERGED_BLOCKS = 64  # corpus blocks whose results for a query are merged first
 CELLS = 2_000_000  # scores held at once in a task
 PIVOTS, RINGS = 256, 64  # at most; their product bounds what the driver and the tasks know of the corpus
@@ -55,16 +58,23 @@ def _keep_best(q: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int, larges
     return q[within < k], ids[within < k], score[within < k]
 
 
-def _candidates(queries: np.ndarray, part: np.ndarray, k: int, largest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query row, vector row) that can be among the k best, by a fast score and a bound of its error."""
-    sizes = (queries**2).sum(1)[:, None] + (part**2).sum(1)[None, :]
-    product = queries @ part.T
-    cost = -product if largest else sizes - 2.0 * product
-    error = 4 * (queries.shape[1] + 4) * np.finfo(float).eps * sizes
-    if cost.shape[1] <= k:
-        return np.nonzero(np.ones_like(cost, dtype=bool))
-    border = np.partition(cost + error, k - 1, axis=1)[:, k - 1][:, None]
-    return np.nonzero(cost - error <= border)
+def _candidates(queries: np.ndarray, part: np.ndarray, k: int, largest: bool, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query row, vector row) that can be among the k best and cost no more than the query's limit, by a fast
+    score and a bound of its error. Distances are taken from the middle of the vectors: the error grows with lengths."""
+    if not largest:
+        middle = part.mean(0)
+        queries, part = queries - middle, part - middle
+    q_size, size = (queries**2).sum(1), (part**2).sum(1)
+    error = 8 * (queries.shape[1] + 4) * np.finfo(float).eps
+    gain = (queries if largest else 2.0 * queries) @ part.T  # with the vector's size and error: the most it can be
+    gain += (error if largest else error - 1.0) * size
+    least = -error * q_size - limit if largest else (1.0 - error) * q_size - limit
+    free = np.flatnonzero(np.isinf(limit))
+    if len(free) and len(part) > k:
+        sure = (gain if len(free) == len(gain) else gain[free]) - 2.0 * error * size
+        least[free] = np.partition(sure, len(part) - k, axis=1)[:, len(part) - k] - 2.0 * error * q_size[free]
+    flat = np.flatnonzero(~(gain < least[:, None]).ravel())  # much faster than over two dimensions
+    return flat // len(part), flat % len(part)
 
 
 def _scores(queries: np.ndarray, part: np.ndarray, row: np.ndarray, col: np.ndarray, largest: bool) -> np.ndarray:
@@ -76,18 +86,31 @@ def _scores(queries: np.ndarray, part: np.ndarray, row: np.ndarray, col: np.ndar
     return out
 
 
-def _best_in_block(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, largest: bool):
-    """The k best ids per query row, worked off in slices of bounded size."""
-    if queries.shape[1] != vectors.shape[1]:
-        raise ValueError(f"queries have {queries.shape[1]} dimensions, the corpus {vectors.shape[1]}")
-    best = (np.empty(0, np.int64), ids[:0], np.empty(0))
-    step = max(1, CELLS // max(1, len(queries)))
-    for lo in range(0, len(vectors), step):
-        part = vectors[lo:lo + step]
-        row, col = _candidates(queries, part, k, largest)
-        found = (row, ids[lo + col], _scores(queries, part, row, col, largest))
-        best = _keep_best(*(np.concatenate(pair) for pair in zip(best, found)), k, largest)
-    return best
+def _best_in_rings(queries: np.ndarray, wanted: np.ndarray, limit: np.ndarray, rings: list[tuple[np.ndarray, np.ndarray]],
+                   k: int, largest: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best ids per query row among the (vectors, ids) of its wanted rings, worked off in slices of bounded size.
+
+    ``limit`` is the cost no pair may exceed; the k-th best score found so far lowers it from slice to slice.
+    """
+    kept = []
+    for lo in range(0, len(queries), QUERY_ROWS):
+        block, asked, reach = queries[lo:lo + QUERY_ROWS], wanted[lo:lo + QUERY_ROWS], limit[lo:lo + QUERY_ROWS].copy()
+        best = (np.empty(0, np.int64), rings[0][1][:0], np.empty(0))
+        for number, (vectors, ids) in enumerate(rings):
+            rows = np.flatnonzero(asked[:, number])
+            mine, step = block if len(rows) == len(block) else block[rows], max(1, CELLS // max(1, len(rows)))
+            for at in range(0, len(vectors) if len(rows) else 0, step):
+                part = vectors[at:at + step]
+                row, col = _candidates(mine, part, k, largest, reach[rows])
+                if not len(row):
+                    continue
+                found = (rows[row], ids[at + col], _scores(mine, part, row, col, largest))
+                best = _keep_best(*(np.concatenate(pair) for pair in zip(best, found)), k, largest)
+                full = np.flatnonzero(np.bincount(best[0], minlength=len(block)) >= k)
+                border = best[2][np.searchsorted(best[0], full, "right") - 1]
+                reach[full] = np.minimum(reach[full], -border if largest else border)
+        kept.append((best[0] + lo, *best[1:]))
+    return tuple(np.concatenate(parts) for parts in zip(*kept))
 
 
 def _finite(vector: str) -> Column:
@@ -114,25 +137,27 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int = 5, *, query_id: str =
     """
     left, right = _side(queries, query_id, query_vector, "q"), _side(corpus, corpus_id, corpus_vector, "c")
     longest = right.agg(F.max(F.size("c_vec"))).first()[0] or 1
-    rows = max(1, min(block_rows, BLOCK_BYTES // (8 * longest)))
+    most = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * longest)))
+    rows = min(block_rows, most)
     better = F.col("score").desc() if normalized else F.col("score").asc()
 
     def best(found: DataFrame, *group: str) -> DataFrame:
         ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(better, "c_id")))
         return ranked.filter(F.col("rank") <= k).drop("rank")
 
+    grouped, rings = _grouped(right, rows)
+    bundles = _bundles(rings, rows, most)
+
     def searched(pairs: DataFrame) -> DataFrame:
-        return best(_by_groups(pairs, grouped, sizes, rows, k, normalized), "q_id", "merged").drop("merged")
+        return best(_by_groups(pairs, grouped, rings, bundles, most, k, normalized), "q_id", "merged").drop("merged")
 
-    grouped, rings = _grouped(right, rows)
-    sizes = {number: ring.rows for number, ring in enumerate(rings.rings)}
-    if len(sizes) <= 1:
-        found = searched(left.withColumn("group", F.lit(0)))
+    if len(rings.rings) <= 1:
+        found = searched(left.select("q_id", "q_vec", F.lit(None).cast("double").alias("border"), F.lit(0).alias("group"), F.unhex(F.lit("80")).alias("wanted")))
     else:
-        first = best(_written(searched(_reached(left, rings, k, normalized, None)), "first-found"), "q_id")
+        first = best(_written(searched(_reached(left, rings, k, normalized, None, bundles)), "first-found"), "q_id")
         border = (F.min if normalized else F.max)("score")
         known = first.groupBy("q_id").agg(F.when(F.count(F.lit(1)) >= k, border).alias("border"))
-        rest = _reached(left.join(known, "q_id", "left"), rings, k, normalized, "border")
+        rest = _reached(left.join(known, "q_id", "left"), rings, k, normalized, "border", bundles)
         found = first.unionByName(searched(rest))
     return best(found, "q_id").withColumn("rank", F.row_number().over(Window.partitionBy("q_id").orderBy(better, "c_id"))).select(
         F.col("q_id").alias(query_id), F.col("c_id").alias(corpus_id), F.round("score", DIGITS).alias("score"), "rank"
@@ -239,10 +264,27 @@ def _bounds(queries: np.ndarray, rings: Rings, largest: bool) -> np.ndarray:
     return -(np.minimum(by_pivot, by_distance) + SLACK * (size**2 + long**2 + size * (lengths + far)))
 
 
-def _reached(queries: DataFrame, rings: Rings, k: int, largest: bool, border: str | None) -> DataFrame:
-    """(q_id, q_vec, group): without ``border`` the rings that look best, until they hold k vectors; with it all others
-    that may hold a vector as good as the query's border, all if it has none."""
+def _bundles(rings: Rings, rows: int, most: int) -> list[tuple[int, int]]:
+    """Neighbouring rings (first, one behind the last) that are searched in one task, so that a query goes there once:
+    ``rows`` vectors or an eighth of the corpus, ``most`` at most unless one ring has more."""
+    wide = min(most, max(rows, -(-sum(r.rows for r in rings.rings) // BUNDLES)))
+    bundles, held = [], 0
+    for number, ring in enumerate(rings.rings):
+        if bundles and held + ring.rows <= wide:
+            bundles[-1], held = (bundles[-1][0], number + 1), held + ring.rows
+        else:
+            bundles.append((number, number + 1))
+            held = ring.rows
+    return bundles
+
+
+def _reached(queries: DataFrame, rings: Rings, k: int, largest: bool, border: str | None,
+             bundles: list[tuple[int, int]] | None = None) -> DataFrame:
+    """(q_id, q_vec, border, group, wanted): the bundles of rings (of one each if not given) a query goes to, and a bit per
+    ring it searches there. Without ``border`` these are the rings that look best, until they hold k vectors; with it all
+    others that may hold a vector as good as the query's border, all if it has none."""
     sizes = np.array([r.rows for r in rings.rings])
+    bundles = bundles or [(i, i + 1) for i in range(len(sizes))]
 
     def work(batch: pa.RecordBatch) -> Iterator[tuple]:
         vectors = _matrix(batch.column("q_vec"))
@@ -260,11 +302,15 @@ def _reached(queries: DataFrame, rings: Rings, k: int, largest: bool, border: st
                 limit = held[lo:lo + step]
                 limit = np.where(np.isnan(limit), np.inf, -limit if largest else limit)
                 wanted = ~first & (cost <= limit[:, None] + SLACK * np.abs(np.where(np.isinf(limit), 0.0, limit))[:, None])
-            row, ring = np.nonzero(wanted)
-            yield row + lo, ring
+            for number, (start, end) in enumerate(bundles):
+                row = np.flatnonzero(wanted[:, start:end].any(1))
+                if len(row):
+                    bits = np.packbits(wanted[row, start:end], axis=1)
+                    yield row + lo, np.full(len(row), number, np.int32), [b.tobytes() for b in bits]
 
-    found = _mapped(queries, [("group", pa.int32(), T.IntegerType())], work)
-    return _written(found.select("q_id", "q_vec", "group"), "reached")
+    asked = queries if border else queries.withColumn("border", F.lit(None).cast("double"))
+    found = _mapped(asked, [("group", pa.int32(), T.IntegerType()), ("wanted", pa.binary(), T.BinaryType())], work)
+    return _written(found.select("q_id", "q_vec", F.col(border or "border").alias("border"), "group", "wanted"), "reached")
 
 
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
@@ -273,19 +319,28 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def _by_groups(pairs: DataFrame, corpus: DataFrame, sizes: dict[int, int], rows: int, k: int, largest: bool) -> DataFrame:
-    """(q_id, c_id, score, merged): the k best of every query in each block of the groups it is paired with."""
-    asked = {r["group"]: r["n"] for r in pairs.groupBy("group").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per ring
-    cuts = [(g, -(-n // rows), -(-sizes[g] // rows)) for g, n in asked.items() if g in sizes]
-    table = pairs.sparkSession.createDataFrame(cuts, "group int, q_blocks int, c_blocks int")
-
-    def cut(df: DataFrame, id_: str, mine: str, other: str) -> DataFrame:
-        if len(cuts) == 1:
-            known = df.where(F.col("group") == cuts[0][0]).withColumns({"q_blocks": F.lit(cuts[0][1]), "c_blocks": F.lit(cuts[0][2])})
+def _by_groups(pairs: DataFrame, corpus: DataFrame, rings: Rings, bundles: list[tuple[int, int]], most: int, k: int,
+               largest: bool) -> DataFrame:
+    """(q_id, c_id, score, merged): the k best of every query in each block of the bundles it is paired with."""
+    asked = {r["group"]: r["n"] for r in pairs.groupBy("group").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per bundle
+    cuts = {}
+    for group, n in asked.items():
+        if group < len(bundles):
+            start, end = bundles[group]
+            few = min(most, max(LEAST_ASKED, -(-n // BUNDLES)))
+            cuts[group] = -(-n // few), -(-sum(r.rows for r in rings.rings[start:end]) // most)
+    by_bundle = [(g, g, 0, *cut) for g, cut in cuts.items()]
+    by_ring = [(i, g, i - bundles[g][0], *cut) for g, cut in cuts.items() for i in range(*bundles[g])]
+
+    def cut(df: DataFrame, known: list[tuple], id_: str, mine: str, other: str) -> DataFrame:
+        names = ["bundle", "place", "q_blocks", "c_blocks"]
+        if len(known) == 1:
+            met = df.where(F.col("group") == known[0][0]).withColumns({n: F.lit(v) for n, v in zip(names, known[0][1:])})
         else:
-            known = df.join(F.broadcast(table), "group")  # a row per ring
-        return known.withColumn(mine, F.pmod(F.xxhash64(id_), F.col(f"{mine}s")).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1))).drop("q_blocks", "c_blocks")
+            table = df.sparkSession.createDataFrame(known, ", ".join(f"{n} int" for n in ["group", *names]))
+            met = df.join(F.broadcast(table), "group")  # a row per ring
+        return met.withColumn(mine, F.pmod(F.xxhash64(id_), F.col(f"{mine}s")).cast("int")).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1))).drop("group", "q_blocks", "c_blocks")
 
     schema = T.StructType([
         T.StructField("q_id", pairs.schema["q_id"].dataType), T.StructField("c_id", corpus.schema["c_id"].dataType),
@@ -296,11 +351,20 @@ def _by_groups(pairs: DataFrame, corpus: DataFrame, sizes: dict[int, int], rows:
     def search(q: pa.Table, c: pa.Table) -> pa.Table:
         if not q.num_rows or not c.num_rows:
             return arrow.empty_table()
-        row, ids, score = _best_in_block(_matrix(q["q_vec"]), _matrix(c["c_vec"]), _ids(c["c_id"]), k, largest)
-        merged = np.full(len(row), (c["group"][0].as_py() * 31 + c["c_block"][0].as_py()) // MERGED_BLOCKS, np.int32)
+        queries, vectors, ids, place = _matrix(q["q_vec"]), _matrix(c["c_vec"]), _ids(c["c_id"]), c["place"].to_numpy()
+        if queries.shape[1] != vectors.shape[1]:
+            raise ValueError(f"queries have {queries.shape[1]} dimensions, the corpus {vectors.shape[1]}")
+        limit = q["border"].to_numpy().astype(np.float64)
+        limit = np.where(np.isnan(limit), np.inf, -limit if largest else limit)
+        bits = np.frombuffer(b"".join(q["wanted"].to_pylist()), np.uint8).reshape(len(queries), -1)
+        order = np.argsort(place, kind="stable")
+        places, starts = np.unique(place[order], return_index=True)
+        cells = [(vectors[rows], ids[rows]) for rows in np.split(order, starts[1:])]
+        row, ids, score = _best_in_rings(queries, np.unpackbits(bits, axis=1)[:, places].astype(bool), limit, cells, k, largest)
+        merged = np.full(len(row), (c["bundle"][0].as_py() * 31 + c["c_block"][0].as_py()) // MERGED_BLOCKS, np.int32)
         columns = [pa.array(_ids(q["q_id"])[row], arrow.field(0).type), pa.array(ids, arrow.field(1).type), pa.array(score), pa.array(merged)]
         return pa.Table.from_arrays(columns, schema=arrow)
 
-    keys = ["group", "q_block", "c_block"]
-    return cut(pairs, "q_id", "q_block", "c_block").groupBy(*keys).cogroup(
-        cut(corpus, "c_id", "c_block", "q_block").groupBy(*keys)).applyInArrow(search, schema)
+    keys = ["bundle", "q_block", "c_block"]
+    return cut(pairs, by_bundle, "q_id", "q_block", "c_block").groupBy(*keys).cogroup(
+        cut(corpus, by_ring, "c_id", "c_block", "q_block").groupBy(*keys)).applyInArrow(search, schema)

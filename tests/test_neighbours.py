@@ -204,3 +204,32 @@ def test_few_block_pairs_of_clustered_vectors(spark):
         pairs = N._reached(queries, rings, 5, False, None).unionByName(N._reached(queries.join(border, "q_id"), rings, 5, False, "border"))
         shares[kind] = sum(size[r.group] for r in pairs.collect()) / (100 * 2000)
     assert shares["clustered"] < 0.1 and shares["clustered"] < shares["uniform"] <= 1
+
+
+def test_far_from_the_origin_few_pairs_are_scored_exactly():
+    rng = np.random.default_rng(14)
+    c = 1e6 + rng.normal(size=(3000, 16))
+    row, _ = N._candidates(c[:50], c, 5, False, np.full(50, np.inf))
+    assert len(row) < 50 * 20
+
+
+def test_a_known_border_leaves_few_pairs():
+    rng = np.random.default_rng(15)
+    c = rng.normal(size=(3000, 16))
+    border = np.sort(-(c[:50] @ c.T), axis=1)[:, 4]
+    row, _ = N._candidates(c[:50], c, 5, True, border)
+    assert len(row) == 50 * 5
+
+
+@pytest.mark.parametrize("largest", [True, False])
+def test_small_blocks_do_not_multiply_the_queries(spark, largest):
+    """However small the blocks are, a query is sent to a bounded number of tasks."""
+    rng = np.random.default_rng(16)
+    _, rings = rings_of(spark, rng.normal(size=(2000, 8)), 10)
+    assert len(rings.rings) > 150
+    queries = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(50)], "q_id bigint, q_vec array<double>")
+    bundles = N._bundles(rings, 10, N.BLOCK_ROWS)
+    reached = N._reached(queries, rings, 5000, largest, None, bundles)
+    assert reached.count() <= 50 * 2 * N.BUNDLES
+    asked = sum(np.unpackbits(np.frombuffer(r.wanted, np.uint8)).sum() for r in reached.collect())
+    assert asked == 50 * len(rings.rings)
