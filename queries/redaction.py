@@ -226,7 +226,8 @@ def word_tokens(spark, sf_dir):
 # ---- streams -----------------------------------------------------------------------------------
 def arriving(spark, sf_dir):
     schema = load(spark, sf_dir, "documents").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    # A pattern, as a table can be one file or a folder of files and a stream takes only folders by name.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parque[t]")
 
 
 @query("stream_redacted", f"{DOC_SPANS}{REDACTED_SQL} SELECT doc_id, redacted FROM redacted")
