@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from queries.preparing import EVAL, TRIM, compiled, ranked_sql
@@ -23,11 +24,34 @@ from reportloom.sources import writers as K
 from reportloom.sources.runs import stage_run, with_run
 
 
+# What Spark puts in place of characters that a folder name of a partitioned table cannot have.
+FOLDER_ESCAPES = {c: f"%{c:02X}" for c in [*range(1, 32), *map(ord, "\"#%'*/:=?\\{[]^"), 127]}
+
+
 def report_files(spark, sf_dir):
-    """One text file per document, below a folder per source."""
+    """One text file per document, below a folder per source.
+
+    Tasks write the files in their place: a table written with a file a row renames every one of them on the driver.
+    Names follow from partition and row, so a repeated task writes the same files again.
+    """
     root = fresh_folder(spark, "reports")
     docs = spread(load(spark, sf_dir, "documents").select("source", "text"))
-    docs.write.partitionBy("source").option("maxRecordsPerFile", 1).text(root)
+
+    def write(batches):
+        files, folder = S.file_system(root)
+        task, row, made = TaskContext.get().partitionId(), 0, set()
+        for batch in batches:
+            for source, text in zip(batch.column("source").to_pylist(), batch.column("text").to_pylist()):
+                place = f"{folder}/source={source.translate(FOLDER_ESCAPES) if source else '__HIVE_DEFAULT_PARTITION__'}"
+                if place not in made:
+                    files.create_dir(place, recursive=True)
+                    made.add(place)
+                with files.open_output_stream(f"{place}/part-{task:05d}-{row:09d}.txt") as out:
+                    out.write(f"{text or ''}\n".encode())
+                row += 1
+            yield batch.slice(0, 0)
+
+    docs.mapInArrow(write, docs.schema).write.format("noop").mode("overwrite").save()
     return root
 
 

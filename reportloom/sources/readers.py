@@ -24,6 +24,21 @@ from reportloom.sources.runs import read_runs
 CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "inferSchema": False,
                "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 ROWS_AT_ONCE, CHARACTERS_AT_ONCE = 1024, 1 << 22  # CSV rows of a batch
+FILES_AT_ONCE, BYTES_AT_ONCE = 1024, 1 << 22  # files of a batch; one that is larger has a batch of its own
+
+
+def _in_batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """(path, bytes, error) of many small files or a large one at once."""
+    block, held = [], 0
+    for row in rows:
+        size = len(row[1] or b"")
+        if block and (len(block) == FILES_AT_ONCE or held + size > BYTES_AT_ONCE):
+            yield _batch_of(block, schema)
+            block, held = [], 0
+        block.append(row)
+        held += size
+    if block:
+        yield _batch_of(block, schema)
 
 
 def _contents(listed: DataFrame, root: str) -> DataFrame:
@@ -41,9 +56,8 @@ def _contents(listed: DataFrame, root: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, _ = file_system(base)
         for batch in batches:
-            for path, error in zip(batch.column("path").to_pylist(), batch.column("error").to_pylist()):
-                row = (path, None, error) if error else one(files, path)
-                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, schema.types)], schema=schema)
+            named = zip(batch.column("path").to_pylist(), batch.column("error").to_pylist())
+            yield from _in_batches(((path, None, error) if error else one(files, path) for path, error in named), schema)
 
     return spread_by_size(listed).select("path", "error").mapInArrow(read, "path string, bytes binary, error string")
 
