@@ -187,3 +187,14 @@ def test_edit_distance_in_bands(spark):
         assert df.filter(edit_distance(F.col("a"), F.col("b"), bands) != F.levenshtein("a", "b")).count() == 0
     none = spark.createDataFrame([(None, "a"), (None, None)], "a string, b string")
     assert [r[0] for r in none.select(edit_distance(F.col("a"), F.col("b"))).collect()] == [None, None]
+
+
+def test_lines_the_prediction_has_need_no_table(monkeypatch):
+    """A line that is in the prediction as it stands, and one without a common word, are settled without the LCS tables."""
+    from reportloom.functions import text_scores
+
+    calls = []
+    monkeypatch.setattr(text_scores, "_table_rows", lambda *given, full=text_scores._table_rows: calls.append(given[0]) or full(*given))
+    assert lcs_f_score("alpha beta gamma\nomega", "beta\nalpha beta gamma\nother words") == pytest.approx(2 * 3 / (4 + 6))
+    assert calls == []
+    assert lcs_f_score("alpha beta delta", "alpha beta gamma") == pytest.approx(2 / 3) and len(calls) == 1
