@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from reportloom.session import fresh_folder
 
 BLOCK_ROWS, BLOCK_BYTES = 50_000, 64 * 1024 * 1024  # largest block of either side
-BUNDLES, LEAST_ASKED = 8, 2_000  # bundles a corpus is cut into below that, and queries a task gets at least
+BUNDLES, LEAST_ASKED = 8, 2_000  # bundles a corpus of few rows is cut into, and queries a task gets at least
 QUERY_ROWS = 2_048  # queries searched at once in a task
 MERGED_BLOCKS = 64  # corpus blocks whose results for a query are merged first
 CELLS = 2_000_000  # scores held at once in a task
@@ -146,7 +146,7 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int = 5, *, query_id: str =
         return ranked.filter(F.col("rank") <= k).drop("rank")
 
     grouped, rings = _grouped(right, rows)
-    bundles = _bundles(rings, rows, most)
+    bundles = _bundles(rings, most)
 
     def searched(pairs: DataFrame) -> DataFrame:
         return best(_by_groups(pairs, grouped, rings, bundles, most, k, normalized), "q_id", "merged").drop("merged")
@@ -264,10 +264,10 @@ def _bounds(queries: np.ndarray, rings: Rings, largest: bool) -> np.ndarray:
     return -(np.minimum(by_pivot, by_distance) + SLACK * (size**2 + long**2 + size * (lengths + far)))
 
 
-def _bundles(rings: Rings, rows: int, most: int) -> list[tuple[int, int]]:
+def _bundles(rings: Rings, most: int) -> list[tuple[int, int]]:
     """Neighbouring rings (first, one behind the last) that are searched in one task, so that a query goes there once:
-    ``rows`` vectors or an eighth of the corpus, ``most`` at most unless one ring has more."""
-    wide = min(most, max(rows, -(-sum(r.rows for r in rings.rings) // BUNDLES)))
+    an eighth of the corpus, ``most`` vectors at most unless one ring has more."""
+    wide = min(most, -(-sum(r.rows for r in rings.rings) // BUNDLES))
     bundles, held = [], 0
     for number, ring in enumerate(rings.rings):
         if bundles and held + ring.rows <= wide:

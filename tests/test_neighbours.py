@@ -228,7 +228,7 @@ def test_small_blocks_do_not_multiply_the_queries(spark, largest):
     _, rings = rings_of(spark, rng.normal(size=(2000, 8)), 10)
     assert len(rings.rings) > 150
     queries = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(50)], "q_id bigint, q_vec array<double>")
-    bundles = N._bundles(rings, 10, N.BLOCK_ROWS)
+    bundles = N._bundles(rings, N.BLOCK_ROWS)
     reached = N._reached(queries, rings, 5000, largest, None, bundles)
     assert reached.count() <= 50 * 2 * N.BUNDLES
     asked = sum(np.unpackbits(np.frombuffer(r.wanted, np.uint8)).sum() for r in reached.collect())
