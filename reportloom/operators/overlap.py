@@ -1,32 +1,50 @@
 """Word and n-gram overlap of two texts per row, relational and JVM-side.
 
-n-grams are counted inside the row, without a shuffle. For the alignment rows are dealt out by their key once; every
-grouping and window after that is by the key and more, so Spark needs no second exchange. Definitions: Papineni et al. 2002, exponential smoothing after Chen & Cherry
+n-grams are counted inside the row in the JVM, without a shuffle. For the alignment rows are dealt out by their key once, and
+words are aligned row by row in Arrow batches. Definitions: Papineni et al. 2002, exponential smoothing after Chen & Cherry
 2014, tokens after Post 2018; Banerjee & Lavie 2005.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections import defaultdict
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reportloom.fixed_values import METEOR_ALPHA, METEOR_BETA, METEOR_GAMMA, SCORE_LITERALS, SCORE_RULES
 from reportloom.functions.text import WHITESPACE, let, words
 
 ORDERS = 4
+ALIGNED = ["n_ref", "n_cand", "m", "chunks"]
+ROWS_ALIGNED = 512  # texts as Python objects at once
 COUNT_FIELDS = ["ref_len", "sys_len"] + [f"{p}{n}" for p in "mt" for n in range(1, ORDERS + 1)]
 BLANKS = r"[\s\x1c-\x1f\x85\p{Z}]+"
+# What SCORE_RULES set apart: marks but for points and commas between digits, and a dash behind a digit.
+SET_APART = r"[!-&(-+:-@/\[-`{-~]|[.,](?:(?<![0-9][.,])|(?![0-9]))|-(?<=[0-9]-)"
 
 
 def score_tokens(text: Column) -> Column:
-    """Tokens for n-gram scores; none for NULL."""
+    """Tokens for n-gram scores; none for NULL.
+
+    Where no two points or commas stand side by side, no match of a rule takes a character that another one needs, and one
+    pass does what the rules do.
+    """
     text = F.rtrim(F.coalesce(text, F.lit("")), F.lit(WHITESPACE))
     for old, new in SCORE_LITERALS:
         text = F.replace(text, F.lit(old), F.lit(new))
-    text = F.concat(F.lit(" "), text, F.lit(" "))
-    for pattern, new in SCORE_RULES:
-        text = F.regexp_replace(text, pattern, new.replace("\\", "$"))
-    return F.filter(F.split(text, BLANKS), lambda t: t != "")
+
+    def by_rules(padded: Column) -> Column:
+        for pattern, new in SCORE_RULES:
+            padded = F.regexp_replace(padded, pattern, new.replace("\\", "$"))
+        return padded
+
+    padded = let(F.concat(F.lit(" "), text, F.lit(" ")), lambda t: F.when(
+        t.rlike(r"[.,][.,]"), by_rules(t)).otherwise(F.regexp_replace(t, SET_APART, " $0 ")))
+    return F.array_remove(F.split(padded, BLANKS), "")
 
 
 def _grams(tokens: Column, n: int, side: int) -> Column:
@@ -62,7 +80,7 @@ def counts_of(reference: Column, prediction: Column) -> Column:
     def fields(r: Column, c: Column) -> Column:
         size = lambda t, n: F.greatest(F.size(t) - (n - 1), F.lit(0)).cast("bigint")
         orders = range(1, ORDERS + 1)
-        return F.struct(size(r, 1).alias("ref_len"), size(c, 1).alias("sys_len"), *[_common(r, c, n).alias(f"m{n}") for n in orders],
+        return F.struct(size(r, 1).alias("ref_len"), size(c, 1).alias("sys_len"), *[F.when(r == c, size(c, n)).otherwise(_common(r, c, n)).alias(f"m{n}") for n in orders],
                         *[size(c, n).alias(f"t{n}") for n in orders])
 
     return let(score_tokens(reference), lambda r: let(score_tokens(prediction), lambda c: fields(r, c)))
@@ -96,25 +114,58 @@ def bleu_of(counts: Column) -> Column:
     return F.when(any_match, brevity * F.exp(log_sum / F.greatest(used, F.lit(1)))).otherwise(0.0)
 
 
+def _aligned(pairs: list[tuple[list[str], list[str]]]) -> list[tuple[int, int, int, int]]:
+    """(words of the reference, words of the prediction, matches, chunks) of the texts of one key; words meet only where
+    texts of equal lengths hold them."""
+    places: tuple[dict, dict] = defaultdict(list), defaultdict(list)
+    for texts in pairs:
+        sizes = len(texts[0]), len(texts[1])
+        for side, listed in zip(places, texts):
+            for i, word in enumerate(listed):
+                side[word].append((i, sizes))
+    found = []
+    for word, left in places[0].items():
+        right = places[1].get(word)
+        if right:
+            if len(pairs) > 1:
+                left, right = sorted(left), sorted(right)
+            found += [(i, j, sizes) for (j, sizes), (i, other) in zip(reversed(left), reversed(right)) if sizes == other]
+    found.sort()
+    summed = {(len(r), len(c)): [0, 0] for r, c in pairs}
+    last = None
+    for i, j, sizes in found:
+        counts = summed[sizes]
+        counts[0] += 1
+        counts[1] += (i - 1, j - 1) != last
+        last = i, j
+    return [(*sizes, *counts) for sizes, counts in summed.items()]
+
+
 def equal_word_scores(df: DataFrame, *, key: str, reference: str = "reference", prediction: str = "predicted") -> DataFrame:
-    """(key, meteor): alignment of equal words, the last with the last; ``key`` must be unique."""
+    """(key, meteor): alignment of equal words, the last with the last; ``key`` must be unique.
+
+    Texts are cut into words where the rows are read; the texts of a key meet once and are aligned in one Arrow call per batch.
+    """
     def listed(column: str) -> Column:
-        return words(F.lower(F.coalesce(F.col(column), F.lit(""))))
-
-    def placed(column: str, side: int) -> Column:
-        return F.transform(F.col(column), lambda w, i: F.struct(w.alias("w"), i.alias("i"), F.lit(side).alias("side")))
-
-    sides = df.select(F.col(key), listed(reference).alias("r"), listed(prediction).alias("c"))
-    each = _dealt(sides, key).select(key, F.size("r").alias("n_ref"), F.size("c").alias("n_cand"),
-                        F.explode_outer(F.concat(placed("r", 0), placed("c", 1))).alias("p")).select(key, "n_ref", "n_cand", "p.*")
-    nth = F.row_number().over(Window.partitionBy(key, "w", "side").orderBy(F.desc("i")))
-    met = each.withColumn("k", nth).groupBy(key, "n_ref", "n_cand", "w", "k").agg(
-        F.max(F.when(F.col("side") == 1, F.col("i"))).alias("i"), F.max(F.when(F.col("side") == 0, F.col("i"))).alias("j"))
-    pairs = met.withColumns({"i": F.when(F.col("j").isNotNull(), F.col("i"))}).withColumn("j", F.when(F.col("i").isNotNull(), F.col("j")))
-    before = Window.partitionBy(key).orderBy(F.col("i").asc_nulls_last())
-    follows = (F.col("i") == F.lag("i").over(before) + 1) & (F.col("j") == F.lag("j").over(before) + 1)
-    chunked = pairs.withColumn("new", F.when(F.col("i").isNotNull(), F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1)))
-    summed = chunked.groupBy(key, "n_ref", "n_cand").agg(F.count("i").alias("m"), F.sum("new").alias("chunks"))
+        # No word holds a blank.
+        return F.array_join(words(F.lower(F.coalesce(F.col(column), F.lit("")))), " ")
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_ALIGNED):
+                part = batch.slice(at, ROWS_ALIGNED)
+                rows, found = [], []
+                for row, pairs in enumerate(part.column("p").to_pylist()):
+                    for counts in _aligned([(pair["r"].split(), pair["c"].split()) for pair in pairs]):
+                        rows.append(row)
+                        found.append(counts)
+                columns = [pa.array(column, pa.int64()) for column in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows)), *columns], [key, *ALIGNED])
+
+    sides = df.select(F.col(key), F.struct(listed(reference).alias("r"), listed(prediction).alias("c")).alias("p"))
+    met = _dealt(sides, key).groupBy(key).agg(F.collect_list("p").alias("p"))
+    schema = T.StructType([met.schema[key], *[T.StructField(name, T.LongType()) for name in ALIGNED]])
+    summed = met.mapInArrow(align, schema)
     precision, recall = F.col("m") / F.col("n_cand"), F.col("m") / F.col("n_ref")
     mean = precision * recall / (METEOR_ALPHA * precision + (1 - METEOR_ALPHA) * recall)
     penalty = METEOR_GAMMA * F.pow(F.col("chunks") / F.col("m"), F.lit(METEOR_BETA))

@@ -2,15 +2,17 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from reportloom.fixed_values import SCORE_LITERALS, SCORE_RULES
 from reportloom.functions.similarity import edit_distance, edit_similarity
 from reportloom.functions.text_scores import lcs_f_score, meteor, stem
 from reportloom.operators.evaluation import corpus_bleu, formatted, mean_metrics, sentence_bleu, text_metrics
-from reportloom.operators.overlap import counts_of, equal_word_scores, score_tokens
+from reportloom.operators.overlap import SET_APART, counts_of, equal_word_scores, score_tokens
 
 # Pairs given in the 1980 paper.
 STEMS = {
@@ -100,6 +102,24 @@ def test_score_tokens(spark):
         ["Hello", ",", "world", "!", "3.5", "-", "4", "a-b", '"', "x", '"', "it's", "1,000", "."], ["hyphenated", "text"], [], []]
 
 
+def test_score_tokens_come_from_one_pass_where_no_marks_touch(spark):
+    draw = random.Random(5)
+    texts = ["".join(draw.choice("ab 15.,-/!{~'\"`[]\\^_|é \t\n") for _ in range(draw.randint(0, 30))) for _ in range(3000)]
+
+    def plain(text):
+        text = text.rstrip()
+        for old, new in SCORE_LITERALS:
+            text = text.replace(old, new)
+        text = f" {text} "
+        for pattern, new in SCORE_RULES:
+            text = re.sub(pattern, new, text)
+        return text.split()
+
+    asked = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", score_tokens(F.col("t")).alias("w"))
+    assert {r.i: r.w for r in asked.collect()} == {i: plain(t) for i, t in enumerate(texts)}
+    assert SET_APART in asked._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_overlap_counts(spark):
     rows = [(1, "the cat is on the mat", "the the the the the the the"), (2, "", ""), (3, "a", "a"), (4, None, None), (5, "x", "")]
     df = spark.createDataFrame(rows, "id int, reference string, predicted string")
@@ -138,6 +158,19 @@ def test_equal_words(spark):
     assert got == {i: pytest.approx(meteor(r, p, stemmed=False)) for i, r, p in rows}
 
 
+def test_equal_words_are_aligned_without_a_row_per_word(spark):
+    df = spark.createDataFrame([(1, "a b a", "a a c"), (2, "x", "x")], "id int, reference string, predicted string")
+    plan = equal_word_scores(df, key="id")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Generate" not in plan
+
+
+def test_equal_words_of_a_key_that_comes_twice(spark):
+    rows = [(1, "a b", "a b"), (1, "a b c", "c a b"), (None, "a", "a")]
+    df = spark.createDataFrame(rows, "id int, reference string, predicted string")
+    got = [(r.id, round(r.meteor, 6)) for r in equal_word_scores(df, key="id").collect()]
+    assert len(got) == 3 and {k for k, _ in got} == {1, None}
+
+
 def test_synonyms_are_a_table(spark):
     df = spark.createDataFrame([(1, "big", "large"), (2, "big", "tiny"), (3, "big", None)], "id int, reference string, predicted string")
     table = spark.createDataFrame([("Large", "big"), ("large", "big"), ("huge", "big"), (None, "x")], "word string, synonym string")
