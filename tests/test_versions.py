@@ -2,8 +2,10 @@
 
 import datetime as dt
 
+import pandas as pd
+
 from reportloom.operators.redaction import redact
-from reportloom.streaming.versions import read_latest, redact_latest_stream
+from reportloom.streaming.versions import _newest, read_latest, redact_latest_stream
 
 SCHEMA = "path string, modified timestamp, content string, sent int"
 DAY = dt.datetime(2024, 5, 1)
@@ -50,3 +52,26 @@ def test_empty_input(spark, tmp_path):
     latest = redact_latest_stream(arriving, str(tmp_path / "out"), str(tmp_path / "state"))
     latest.awaitTermination()
     assert latest.exception() is None
+
+
+def test_newest_version_is_found_without_sorting_frames(monkeypatch):
+    class State:
+        exists, hasTimedOut = True, False
+        get = (5, "a")
+
+        def update(self, value):
+            self.kept = value
+
+        def setTimeoutTimestamp(self, millis):
+            self.until = millis
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+    frames = [pd.DataFrame({"path": "p", "content": list("xyz"), "micros": [4, 5, 5], "digest": ["z", "b", "a"]}),
+              pd.DataFrame({"path": "p", "content": [None], "micros": [6], "digest": [""]})]
+    monkeypatch.delattr(pd.DataFrame, "sort_values")
+    state = State()
+    got = [row for frame in _newest(("p",), iter(frames), state) for row in frame.itertuples(index=False, name=None)]
+    assert got == [("p", 6, None)] and state.kept == (6, "")
+    assert not list(_newest(("p",), iter([frames[0].head(1)]), state))
