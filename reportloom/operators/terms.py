@@ -8,8 +8,10 @@ letters, digits and underscores.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ from reportloom.session import fresh_folder
 
 WORD = re.compile(r"\w+")
 ROWS_A_BATCH = 20_000
+BITS_A_TERM = 16
+LEAST_BITS, MOST_BITS = 1 << 15, 1 << 28  # of one row of Spark's bitmaps, and what a task reads at most (32 MB)
 MATCHES = "array<struct<start:int,end:int,label:string>>"
 
 
@@ -45,10 +49,27 @@ def spelled_terms(terms: DataFrame, *, term: str = "term", label: str = "label")
     return usable.groupBy("gram", "n_words").agg(F.min("label").alias("label"))
 
 
-def _grams(texts: DataFrame, lengths: Sequence[int]) -> DataFrame:
-    """(digest, start, end, gram): every run of words of the given lengths, in batches of bounded size."""
+def _marked(known: DataFrame) -> np.ndarray:
+    """A bit per checksum of a term, ``BITS_A_TERM`` times as many bits as terms but ``MOST_BITS`` at most: of the runs of
+    words that are no term few share a bit with one. Bits reach the driver packed, not the terms."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_A_TERM * known.count() - 1).bit_length()))
+    place = F.crc32(F.col("gram").cast("binary")).bitwiseAND(F.lit(bits - 1).cast("bigint")) + 1  # Spark's bitmaps count from 1
+    packed = known.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    marks = np.zeros((bits // LEAST_BITS, LEAST_BITS // 8), np.uint8)
+    for row in packed.collect():  # 4 KB each
+        marks[row.bucket - 1] = np.frombuffer(row.bits, np.uint8)
+    return marks.ravel()
+
+
+def _grams(texts: DataFrame, lengths: Sequence[int], marks: np.ndarray) -> DataFrame:
+    """(digest, start, end, gram): the runs of words of the given lengths that may be terms, by their bit in ``marks``, in
+    batches of bounded size."""
+    shared = texts.sparkSession.sparkContext.broadcast(marks.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, crc32 = shared.value, zlib.crc32
+        mask = len(bits) * 8 - 1
         rows: list[tuple[bytes, int, int, str]] = []
         for batch in batches:
             for digest, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -59,7 +80,10 @@ def _grams(texts: DataFrame, lengths: Sequence[int]) -> DataFrame:
                     for n in lengths:
                         if n > len(recent):
                             break
-                        rows.append((digest, recent[-n][0], word.end(), " ".join(w for _, w in recent[-n:])))
+                        gram = " ".join([w for _, w in recent[-n:]])
+                        place = crc32(gram.encode()) & mask
+                        if bits[place >> 3] >> (place & 7) & 1:
+                            rows.append((digest, recent[-n][0], word.end(), gram))
                     if len(rows) >= ROWS_A_BATCH:
                         yield _batch(rows)
                         rows = []
@@ -84,8 +108,8 @@ def term_matches(texts: DataFrame, terms: DataFrame, *, text: str = "text", term
     Of the terms that start at one word the longest counts. Runs of words meet the terms by
     equality; the terms are written once, so Spark knows their size: it sends a small table to
     the tasks and shuffles both sides otherwise, where AQE splits words that are very frequent.
-    One row per text and length of term in words leaves a task for each word, so lengths should
-    be few. Copies of a text fall together in the partial aggregation.
+    A run of words leaves its task only if a bit of its checksum says that it may be a term; the join
+    decides. Copies of a text fall together in the partial aggregation.
     """
     spark = texts.sparkSession
     folder = fresh_folder(spark, "terms")
@@ -95,7 +119,7 @@ def term_matches(texts: DataFrame, terms: DataFrame, *, text: str = "text", term
     if not lengths:
         return spark.createDataFrame([], f"digest binary, matches {MATCHES}")
     given = texts.select(F.unhex(F.md5(text)).alias("digest"), F.col(text).cast("string").alias("text")).filter("text <> ''")
-    hits = _grams(given, lengths).join(known.select("gram", "label"), "gram")
+    hits = _grams(given, lengths, _marked(known)).join(known.select("gram", "label"), "gram")
     longest = hits.groupBy("digest", "start").agg(F.max(F.struct("end", "label")).alias("m"))
     found = longest.groupBy("digest").agg(F.sort_array(F.collect_list(
         F.struct("start", F.col("m.end").alias("end"), F.col("m.label").alias("label")))).alias("matches"))

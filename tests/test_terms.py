@@ -3,11 +3,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from reportloom.fixed_values import PII_PATTERNS
 from reportloom.operators.redaction import RegexStage
-from reportloom.operators.terms import redact_terms, spelled_terms
+from reportloom.operators.terms import _grams, _marked, redact_terms, spelled_terms
 from tests.test_redaction import expected
 
 ALPHABET = ["anna", "Anna", "BERG", "berg", "von", "Ünal", "x9", "a_b", "mail", "7"]
@@ -80,3 +81,15 @@ def test_defined_cases(spark):
 def test_one_row_a_term(spark):
     table = spark.createDataFrame([("Anna  Berg", "B"), ("anna-BERG", "A"), (" ", "C")], "term string, label string")
     assert [tuple(r) for r in spelled_terms(table).collect()] == [("anna berg", 2, "A")]
+
+
+def test_only_runs_that_may_be_terms_leave_their_task(spark):
+    draw = random.Random(11)
+    text = " ".join("".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(5000))
+    texts = spark.createDataFrame([(b"1", text)], "digest binary, text string")
+    words = text.split()
+    wanted = {words[7], " ".join(words[40:43]), words[-1]}
+    known = spark.createDataFrame([(w,) for w in wanted] + [(f"other {i}",) for i in range(3000)], "gram string")
+    marks = _marked(known)
+    grams = [r.gram for r in _grams(texts, [1, 3], marks).collect()]
+    assert wanted <= set(grams) and len(grams) < 1500 and np.unpackbits(marks).sum() > 2500
