@@ -1,4 +1,4 @@
-"""Word and n-gram overlap of two texts per row, relational and JVM-side.
+"""Word and n-gram overlap of two texts per row: n-grams in the JVM, equal words in Arrow batches.
 
 n-grams are counted inside the row in the JVM, without a shuffle. For the alignment rows are dealt out by their key once, and
 words are aligned row by row in Arrow batches. Definitions: Papineni et al. 2002, exponential smoothing after Chen & Cherry
