@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
@@ -30,7 +30,8 @@ def score_requests(df: DataFrame, make_scorer: Callable[[], Callable[[Sequence[s
 
     ``make_scorer`` runs once per task and gets ``batch_size`` prompts at a time. A batch that fails
     is halved until the failing prompts stand alone, so one costs two calls per halving at most; such
-    a row keeps NULL content and status ``failed``. Only the prompt column travels to Python.
+    a row keeps NULL content and status ``failed``. Only the prompt column travels to Python, in Arrow batches of bounded
+    bytes; of these, ``batch_size`` prompts at a time become Python texts.
     """
 
     def answers(scorer: Callable, texts: list) -> list[tuple]:
@@ -45,15 +46,19 @@ def score_requests(df: DataFrame, make_scorer: Callable[[], Callable[[Sequence[s
             half = len(texts) // 2
             return answers(scorer, texts[:half]) + answers(scorer, texts[half:])
 
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    fields = ["content", "status", "error"]
+
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = make_scorer()
-        for prompts in batches:
-            texts = list(prompts)
-            rows = [row for at in range(0, len(texts), batch_size) for row in answers(scorer, texts[at:at + batch_size])]
-            yield pd.DataFrame(rows, columns=["content", "status", "error"])
 
-    score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    answer = F.pandas_udf(score, "content string, status string, error string").asNondeterministic()
+        def answered(prompts: pa.Array) -> pa.Array:
+            rows = [row for at in range(0, len(prompts), batch_size) for row in answers(scorer, prompts.slice(at, batch_size).to_pylist())]
+            return pa.StructArray.from_arrays([pa.array([row[i] for row in rows], pa.string(), from_pandas=True) for i in range(len(fields))], fields)
+
+        yield from map(answered, batches)  # no name holds a batch while the next one is read
+
+    score.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    answer = F.arrow_udf(score, "content string, status string, error string").asNondeterministic()
     return df.withColumn("__a", answer(F.col(prompt))).select(
         *[F.col(c) for c in df.columns], "__a.content", "__a.status", "__a.error"
     )

@@ -145,6 +145,26 @@ def test_one_bad_prompt_costs_few_calls(spark, tmp_path):
     assert len(list(log.iterdir())) <= 4 + 2 * 6
 
 
+def test_few_prompts_at_a_time_are_python_texts(spark):
+    def scorer():
+        import tracemalloc
+
+        class Score:
+            def __init__(self):
+                tracemalloc.start()
+
+            def __call__(self, prompts):
+                return [str(tracemalloc.get_traced_memory()[0]) for _ in prompts]
+
+            def __del__(self):
+                tracemalloc.stop()
+        return Score()
+
+    df = spark.range(0, 2_000, 1, 1).select("id", F.concat(F.repeat(F.lit("words "), 1_000), F.lit("\U0001f600"), F.col("id").cast("string")).alias("prompt"))
+    got = score_requests(df, scorer, batch_size=64).agg(F.count("content").alias("n"), F.max(F.col("content").cast("long")).alias("most")).first()
+    assert got.n == 2_000 and got.most < 30_000_000, got  # a batch of 12 MB and 64 texts of 24 kB, not all 48 MB of them
+
+
 def clusters(rng, n, d=8, centres=12, spread=0.02):
     at = rng.normal(size=(centres, d))
     return at[rng.integers(0, centres, n)] + spread * rng.normal(size=(n, d))
