@@ -2,13 +2,15 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
 from reportloom.fixed_values import PII_PATTERNS
 from reportloom.operators.redaction import RegexStage
-from reportloom.operators.terms import _grams, _marked, redact_terms, spelled_terms
+from reportloom.operators import terms as T
+from reportloom.operators.terms import _grams, _marked, redact_terms, spelled_terms, term_matches
 from tests.test_redaction import expected
 
 ALPHABET = ["anna", "Anna", "BERG", "berg", "von", "Ünal", "x9", "a_b", "mail", "7"]
@@ -93,3 +95,57 @@ def test_only_runs_that_may_be_terms_leave_their_task(spark):
     marks = _marked(known)
     grams = [r.gram for r in _grams(texts, [1, 3], marks).collect()]
     assert wanted <= set(grams) and len(grams) < 1500 and np.unpackbits(marks).sum() > 2500
+
+
+def test_few_runs_that_are_no_terms_leave_their_task(spark):
+    draw = random.Random(12)
+    words = ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(5000)]
+    texts = spark.createDataFrame([(b"1", " ".join(words))], "digest binary, text string")
+    wanted = {words[7], " ".join(words[40:43])}
+    known = spark.createDataFrame([(w,) for w in wanted] + [(f"other {i}",) for i in range(3000)], "gram string")
+    grams = [r.gram for r in _grams(texts, [1, 3], _marked(known)).collect()]
+    assert wanted <= set(grams) and len(grams) < 100
+
+
+def test_matches_are_written_and_their_shuffles_dropped(spark):
+    """Whole texts are shuffled beside the matches alone, not beside runs of words and terms."""
+    df = spark.createDataFrame([(1, "see Anna BERG"), (2, "anna")], "id int, text string")
+    table = spark.createDataFrame([("anna berg", "NAME"), ("Anna", "FIRST")], "term string, label string")
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f.getName() for f in map(blocks.getAllFiles().apply, range(blocks.getAllFiles().size()))}
+    before = files()
+    found = term_matches(df, table)
+    for _ in range(50):  # files go in the background
+        left = [f for f in files() - before if f.startswith("shuffle_")]
+        time.sleep(0.1 if left else 0)
+    assert not left
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "MapInArrow" not in plan
+    got = sorted([tuple(m) for m in r.matches] for r in found.collect())
+    assert got == [[(0, 4, "FIRST")], [(4, 13, "NAME")]]
+
+
+@pytest.mark.parametrize("size", [1, 7, 60, 1 << 18])
+def test_texts_in_parts(monkeypatch, size):
+    """Whatever the size of parts, runs are found once; letters whose lower case is longer or depends on what follows."""
+    monkeypatch.setattr(T, "CHARS_AT_ONCE", size)
+    draw = random.Random(3)
+    some = ["Anna", "BERG", "\u0130x", "A\u03a3", "\u03a3", "i", "\u0307", "\ufdd0", "7", "\U0001f600", "\u00dc_"]
+    texts = ["".join(draw.choice(some) + draw.choice(["", " ", ".", "\n-"]) for _ in range(draw.randrange(60))) for _ in range(40)]
+    everything = np.full(T.LEAST_BITS // 8, 255, np.uint8)
+    parts = [part for i, text in enumerate(texts) for part in T._parts(str(i).encode(), text, 3)]
+    got = [(int(r["digest"]), r["start"], r["end"], r["gram"]) for b in T._candidates(parts, [1, 3], everything) for r in b.to_pylist()]
+    wanted = []
+    for i, text in enumerate(texts):
+        words = list(re.finditer(r"\w+", text))
+        wanted += [(i, words[k].start(), words[k + n - 1].end(), " ".join(w.group().lower() for w in words[k:k + n]))
+                   for n in (1, 3) for k in range(len(words) - n + 1)]
+    assert sorted(got) == sorted(wanted)
+    assert not list(T._candidates([], [1, 3], everything))
+
+
+def test_terms_with_a_dotted_i(spark):
+    df = spark.createDataFrame([(1, "in \u0130zmir, \u0130ZM\u0130R"), (2, "i\u0307zmir")], "id int, text string")
+    table = spark.createDataFrame([("\u0130zmir", "A"), ("\u0130ZM\u0130R", "B")], "term string, label string")
+    done = {r.id: r.redacted for r in redact_terms(df, table, RegexStage(patterns=())).collect()}
+    assert done == {1: "in [A], [B]", 2: "i\u0307zmir"}
