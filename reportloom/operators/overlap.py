@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportloom.fixed_values import METEOR_ALPHA, METEOR_BETA, METEOR_GAMMA, SCORE_LITERALS, SCORE_RULES
+from reportloom.functions.shared_runs import shared_runs
 from reportloom.functions.text import WHITESPACE, let, words
 
 ORDERS = 4
@@ -47,41 +48,16 @@ def score_tokens(text: Column) -> Column:
     return F.array_remove(F.split(padded, BLANKS), "")
 
 
-def _grams(tokens: Column, n: int, side: int) -> Column:
-    """The n-grams as numbers: 63 bits of a hash, then one for the side."""
-    firsts = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
-    return F.transform(firsts, lambda t, i: F.shiftleft(
-        F.xxhash64(t, *[F.get(tokens, i + k) for k in range(1, n)]), 1).bitwiseOR(F.lit(side).cast("bigint")))
-
-
-def _common(ref: Column, cand: Column, n: int) -> Column:
-    """How many n-grams both sides share, each as often as on the side that has it less often.
-
-    In order of their numbers equal n-grams stand together, the reference's first: one pass keeps how many of these are
-    still without a partner.
-    """
-    both = F.sort_array(F.concat(_grams(ref, n, 0), _grams(cand, n, 1)))
-    start = F.struct(F.lit(None).cast("bigint").alias("gram"), F.lit(0).alias("free"), F.lit(0).cast("bigint").alias("met"))
-
-    def step(at: Column, g: Column) -> Column:
-        gram, is_ref = F.shiftright(g, 1), g.bitwiseAND(F.lit(1).cast("bigint")) == 0
-        free = F.when(at["gram"] == gram, at["free"]).otherwise(0)
-        return F.struct(gram.alias("gram"), F.when(is_ref, free + 1).otherwise(F.greatest(free - 1, F.lit(0))).alias("free"),
-                        (at["met"] + F.when(~is_ref & (free > 0), 1).otherwise(0)).alias("met"))
-
-    return F.aggregate(both, start, step)["met"]
-
-
 def counts_of(reference: Column, prediction: Column) -> Column:
-    """Struct of COUNT_FIELDS: lengths, clipped n-gram matches and n-gram totals of the two texts.
+    """Struct of COUNT_FIELDS: lengths, clipped n-gram matches and n-gram totals of the two texts."""
+    orders = range(1, ORDERS + 1)
+    size = lambda t, n: F.greatest(F.size(t) - (n - 1), F.lit(0)).cast("bigint")
 
-    n-grams of a row are told apart by 63 bits of a hash.
-    """
     def fields(r: Column, c: Column) -> Column:
-        size = lambda t, n: F.greatest(F.size(t) - (n - 1), F.lit(0)).cast("bigint")
-        orders = range(1, ORDERS + 1)
-        return F.struct(size(r, 1).alias("ref_len"), size(c, 1).alias("sys_len"), *[F.when(r == c, size(c, n)).otherwise(_common(r, c, n)).alias(f"m{n}") for n in orders],
-                        *[size(c, n).alias(f"t{n}") for n in orders])
+        same = F.array(*[size(c, n) for n in orders])
+        return let(F.when(r == c, same).otherwise(shared_runs(r, c)), lambda m: F.struct(
+            size(r, 1).alias("ref_len"), size(c, 1).alias("sys_len"), *[F.get(m, F.lit(n - 1)).alias(f"m{n}") for n in orders],
+            *[size(c, n).alias(f"t{n}") for n in orders]))
 
     return let(score_tokens(reference), lambda r: let(score_tokens(prediction), lambda c: fields(r, c)))
 

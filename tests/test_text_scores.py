@@ -149,6 +149,16 @@ def test_bleu_needs_no_shuffle(spark):
     assert "Exchange" not in plan and "Python" not in plan and "Generate" not in plan
 
 
+def test_runs_of_words_are_counted_in_one_call_a_row(spark):
+    """Not element by element; also in a session of its own, with words that are alike and texts shorter than a run."""
+    rows = [(0, "x", "x y"), (1, "a b a b a", "a b b a b"), (2, "aa a", "a aa"), (3, "\u0434\u0430 \U0001f600 \u0434\u0430 ! ?", "\U0001f600 \u0434\u0430 ! ? \u0434\u0430")]
+    df = spark.newSession().createDataFrame(rows, "id int, reference string, predicted string")
+    counted = df.select("id", counts_of(F.col("reference"), F.col("predicted")).alias("n"))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "reportloom_shared_runs" in plan and "aggregate(" not in plan and "array_sort" not in plan
+    assert {r.id: list(r.n)[2:6] for r in counted.collect()} == {0: [1, 0, 0, 0], 1: [4, 3, 1, 0], 2: [2, 0, 0, 0], 3: [5, 3, 2, 1]}
+
+
 def test_equal_words(spark):
     draw = random.Random(4)
     rows = [(i, " ".join(draw.choice("abcd.") for _ in range(draw.randint(0, 9))), " ".join(draw.choice("abcd.") for _ in range(draw.randint(0, 9)))) for i in range(80)]
