@@ -23,6 +23,13 @@ package reportloom;
 public class SharedRuns implements org.apache.spark.sql.api.java.UDF2, java.io.Serializable {
     static final int ORDERS = 4;
 
+    public org.apache.spark.sql.expressions.UserDefinedFunction function(String name) {
+        org.apache.spark.sql.api.java.UDF2 self = this;
+        org.apache.spark.sql.types.DataType numbers = org.apache.spark.sql.types.DataTypes.createArrayType(
+            org.apache.spark.sql.types.DataTypes.LongType);
+        return org.apache.spark.sql.functions.udf(self, numbers).withName(name);
+    }
+
     /** Words, set apart by single blanks, as numbers; equal words have equal numbers. */
     static int[] words(String text, java.util.HashMap known) {
         int n = text.length() == 0 ? 0 : 1;
@@ -106,9 +113,8 @@ def _function() -> JavaObject:
             for name in compiled:
                 out.writestr(name.replace(".", "/") + ".class", bytes(compiled[name]))
         context._jsc.addJar(str(packed))
-        made = compiler.getClassLoader().loadClass(CLASS).newInstance()
-        numbers = context._jvm.org.apache.spark.sql.types.DataType.fromDDL("array<bigint>")
-        context._reportloom_shared_runs = context._jvm.org.apache.spark.sql.functions.udf(made, numbers).withName(NAME)
+        # Called from here, udf() may as well take the class for a Scala function.
+        context._reportloom_shared_runs = compiler.getClassLoader().loadClass(CLASS).newInstance().function(NAME)
     return context._reportloom_shared_runs
 
 
