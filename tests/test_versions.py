@@ -3,9 +3,10 @@
 import datetime as dt
 
 import pandas as pd
+import pytest
 
 from reportloom.operators.redaction import redact
-from reportloom.streaming.versions import _newest, read_latest, redact_latest_stream
+from reportloom.streaming.versions import _newest, _newest_of_bucket, read_latest, redact_latest_stream
 
 SCHEMA = "path string, modified timestamp, content string, sent int"
 DAY = dt.datetime(2024, 5, 1)
@@ -75,3 +76,54 @@ def test_newest_version_is_found_without_sorting_frames(monkeypatch):
     got = [row for frame in _newest(("p",), iter(frames), state) for row in frame.itertuples(index=False, name=None)]
     assert got == [("p", 6, None)] and state.kept == (6, "")
     assert not list(_newest(("p",), iter([frames[0].head(1)]), state))
+
+
+class Bucket:
+    """A state as Spark gives it, kept over calls."""
+
+    def __init__(self):
+        self.kept, self.watermark, self.hasTimedOut, self.until = None, 0, False, None
+
+    exists = property(lambda self: self.kept is not None)
+    get = property(lambda self: self.kept)
+
+    def update(self, value):
+        self.kept = value
+
+    def remove(self):
+        self.kept = None
+
+    def setTimeoutTimestamp(self, millis):
+        assert millis > self.watermark
+        self.until = millis
+
+    def getCurrentWatermarkMs(self):
+        return self.watermark
+
+
+def test_paths_of_a_bucket_share_one_call():
+    state = Bucket()
+
+    def sent(*rows):
+        frames = [pd.DataFrame([row], columns=["path", "micros", "digest", "content"], dtype=object) for row in rows]
+        return [r for f in _newest_of_bucket((1,), iter(frames), state) for r in f.itertuples(index=False, name=None)]
+
+    assert sent(("a", 5000, "x", "1"), ("b", 7000, "x", None), ("a", 6000, "x", "2"), ("a", 5000, "y", "3")) == [("a", 6000, "2"), ("b", 7000, None)]
+    assert sent(("a", 6000, "x", "2"), ("b", 6000, "z", "older")) == [] and state.until == 7
+    assert sent(("a", 6000, "y", "4"), ("c", 9000, "", "5")) == [("a", 6000, "4"), ("c", 9000, "5")]
+    state.watermark = 8  # paths behind it are compared once more, then forgotten
+    assert sent(("b", 6500, "", "late"), ("b", 7500, "", "6")) == [("b", 7500, "6")]
+    assert state.kept[0] == ["c"] and state.until == 10
+    state.watermark, state.hasTimedOut = 11, True
+    assert sent() == [] and not state.exists
+
+
+@pytest.mark.parametrize("buckets", [1, 3, None])
+def test_any_number_of_buckets(spark, tmp_path, buckets):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for number, rows in enumerate(BATCHES):
+        spark.createDataFrame([(*r, number) for r in rows], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(SCHEMA).parquet(source)
+        redact_latest_stream(arriving, target, checkpoint, lateness="1 day", buckets=buckets).awaitTermination()
+    got = {(r.path, r.modified, r.n_versions) for r in read_latest(spark, target).collect() if r.path and r.modified}
+    assert got == {("a", at(0), 1), ("b", at(101), 3), ("d", at(2), 1), ("e", at(4), 1), ("f", at(4), 1), ("g", at(100), 1)}
