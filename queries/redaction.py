@@ -267,7 +267,7 @@ def stream_reports_sent_again(spark, sf_dir):
     source, target, checkpoint = (fresh_folder(spark, n) for n in ("sent", "latest", "latest-state"))
     docs = spread(load(spark, sf_dir, "documents"))
     for number in range(3):  # every delivery is a run of its own, which goes on from the checkpoint
-        sent_again(docs, number).write.mode("append").parquet(source)
+        sent_again(docs, number).write.mode("append").parquet(source, compression="zstd")
         arriving = spark.readStream.schema("path string, modified timestamp, content string").parquet(source)
         redact_latest_stream(arriving, target, checkpoint, lateness="1 hour").awaitTermination()
     minutes = ((F.unix_seconds("modified") - FIRST_SENT) / 60).cast("bigint")

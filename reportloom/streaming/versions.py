@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from reportloom.operators.redaction import RegexStage, redact
+from reportloom.session import shuffles_dropped
 
 STATE = "micros bigint, digest string"
 BUCKETS = 4096  # of paths; a call of a state function costs as much as some hundred reports
@@ -94,11 +95,11 @@ def redact_latest_stream(arriving: DataFrame, target: str, checkpoint: str, stag
 
     Started again with its checkpoint it goes on where it stopped.
     """
-    return (
-        redact(latest_versions(arriving, **columns), stage, text="content").withColumn("digest", F.md5("content"))
-        .drop("content").writeStream.format("parquet").outputMode("append")
-        .option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    versions = redact(latest_versions(arriving, **columns), stage, text="content").withColumn("digest", F.md5("content"))
+    writer = versions.drop("content").writeStream.format("parquet").outputMode("append").options(
+        path=target, checkpointLocation=checkpoint, compression="zstd").trigger(availableNow=True)
+    with shuffles_dropped(arriving.sparkSession):  # a query keeps the settings it is started with
+        return writer.start()
 
 
 def read_latest(spark: SparkSession, target: str) -> DataFrame:

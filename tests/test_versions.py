@@ -1,6 +1,7 @@
 """Reports sent again, over several micro-batches and a restart."""
 
 import datetime as dt
+import time
 
 import pandas as pd
 import pytest
@@ -127,3 +128,16 @@ def test_any_number_of_buckets(spark, tmp_path, buckets):
         redact_latest_stream(arriving, target, checkpoint, lateness="1 day", buckets=buckets).awaitTermination()
     got = {(r.path, r.modified, r.n_versions) for r in read_latest(spark, target).collect() if r.path and r.modified}
     assert got == {("a", at(0), 1), ("b", at(101), 3), ("d", at(2), 1), ("e", at(4), 1), ("f", at(4), 1), ("g", at(100), 1)}
+
+
+def test_a_run_leaves_no_shuffle_files(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state"))
+    spark.createDataFrame([(*r, 0) for r in BATCHES[0]], SCHEMA).coalesce(1).write.parquet(source)
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f.getName() for f in map(blocks.getAllFiles().apply, range(blocks.getAllFiles().size()))}
+    before = files()
+    redact_latest_stream(spark.readStream.schema(SCHEMA).parquet(source), target, checkpoint).awaitTermination()
+    for _ in range(50):  # files go in the background
+        left = [f for f in files() - before if f.startswith("shuffle_")]
+        time.sleep(0.1 if left else 0)
+    assert not left
